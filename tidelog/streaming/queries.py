@@ -1 +1,151 @@
+"""Registered queries that run a stream over the given tables until it is drained."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidelog import workloads as w
+from tidelog.operators import failures, queue, records
+from tidelog.queries import query
+from tidelog.session import shared_folder
+from tidelog.streaming import deliver as d
+from tidelog.streaming import progress, state
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream of its files. The pattern fits one file as well as a folder of files."""
+    path = f"{sf_dir}/events*.parquet"
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query
+def stream_exactly_once(spark, sf):
+    folder = shared_folder(spark)
+    upper = lambda s: s.select("event_id", F.upper("event_type").alias("value"))
+    d.drain(d.exactly_once(events_stream(spark, sf), upper, f"{folder}/out", f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query
+def stream_dedup(spark, sf):
+    """Every 13th record is delivered twice."""
+    folder = shared_folder(spark)
+    stream = events_stream(spark, sf).select("event_id", "user_id")
+    twice = stream.unionByName(stream.filter(F.col("event_id") % 13 == 0))
+    d.drain(d.exactly_once(d.dedup_stream(twice, ["event_id"]), lambda s: s, f"{folder}/out", f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/out")
+
+
+def _delivered_twice_over(spark, sf, mode):
+    """The same stream drained twice with a lost checkpoint in between: how often each record took effect."""
+    folder = shared_folder(spark)
+    stream = events_stream(spark, sf).select("event_id", "user_id")
+    for run in ("first", "second"):
+        d.drain(d.deliver(stream, d.append_effect(f"{folder}/effects"), mode, f"{folder}/checkpoint-{run}",
+                          started=f"{folder}/started", ledger=d.effect_ledger(f"{folder}/effects", ["event_id"]), ids=["event_id"]))
+    return spark.read.parquet(f"{folder}/effects").groupBy("event_id").agg(F.count(F.lit(1)).alias("effects"))
+
+
+@query
+def stream_at_least_once(spark, sf):
+    return _delivered_twice_over(spark, sf, d.AT_LEAST_ONCE)
+
+
+@query
+def stream_at_most_once(spark, sf):
+    return _delivered_twice_over(spark, sf, d.AT_MOST_ONCE)
+
+
+@query
+def stream_effectively_once(spark, sf):
+    return _delivered_twice_over(spark, sf, d.EFFECTIVELY_ONCE)
+
+
+@query
+def stream_retry_entries(spark, sf):
+    """Retry-topic deliveries of a stream: the attempts are worked out per record, without state."""
+    folder = shared_folder(spark)
+    log = records.parse_plan(events_stream(spark, sf).select(F.lit("orders").alias("topic"), "event_id", w.retry_key().alias("key")))
+    policy = failures.RetryPolicy(initial_ms=1000, max_ms=10_000)
+    entries = failures.retry_topic_entries(log, failures.scripted_handler, policy).select("event_id", "attempt", "error", "due_ms", "via")
+    d.drain(d.exactly_once(entries, lambda s: s, f"{folder}/out", f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/out")
+
+
+def _handle_script(id_: str, payload: str, attempt: int) -> str | None:
+    if payload.startswith("poison"):
+        return failures.UNDECODABLE
+    if payload.startswith("fatal"):
+        return failures.FATAL
+    if payload.startswith("flaky"):
+        return failures.TRANSIENT if attempt <= int(payload[len("flaky"):payload.index("-")]) else None
+    return None
+
+
+@query
+def stream_retry_topics(spark, sf):
+    """The same deliveries by keyed state and timers: failed records really wait and come back."""
+    state.use_rocksdb(spark)
+    folder = shared_folder(spark)
+    stream = events_stream(spark, sf).select(F.col("event_id").cast("string").alias("id"), w.retry_key().alias("payload"))
+    policy = failures.RetryPolicy(initial_ms=200, max_ms=2000)
+    entries = state.retry_topics(stream, "orders", _handle_script, policy)
+    running = entries.writeStream.format("parquet").option("path", f"{folder}/out").option(
+        "checkpointLocation", f"{folder}/checkpoint").trigger(processingTime="500 milliseconds").start()
+    try:
+        wait_until_quiet(running)
+    finally:
+        running.stop()
+    return spark.read.parquet(f"{folder}/out").select(F.col("id").cast("bigint").alias("event_id"), "attempt", "error", "via")
+
+
+def wait_until_quiet(running, quiet_batches: int = 8, timeout_s: int = 240) -> None:
+    """Until no rows came in and no timer fired for a number of micro-batches."""
+    import time
+
+    deadline = time.time() + timeout_s
+    while time.time() < deadline:
+        if running.exception() is not None:
+            raise running.exception()
+        recent = [p for p in running.recentProgress][-quiet_batches:]
+        if len(recent) == quiet_batches and all(_is_quiet(p) for p in recent):
+            return
+        time.sleep(0.2)
+    raise TimeoutError("stream did not come to rest")
+
+
+def _is_quiet(p) -> bool:
+    import json
+
+    told = json.loads(p.json)
+    fired = sum((o.get("customMetrics") or {}).get("numExpiredTimers", 0) for o in told.get("stateOperators", []))
+    return told["numInputRows"] == 0 and fired == 0
+
+
+@query
+def stream_queue_state(spark, sf):
+    state.use_rocksdb(spark)
+    folder = shared_folder(spark)
+    rows = events_stream(spark, sf).select("event_id", F.unix_micros("ts").alias("ts_us"))
+    acked = queue.queue_worker(rows, lambda n: queue.scripted_decision("explicit", F.col("event_id"), n), limit=5)
+    took = F.when(F.col("event_id") % 20 == 0, 3_000_000).otherwise(1_000_000)
+    delivered = F.col("ts_us") + (F.col("delivery") - 1) * 10_000_000
+    acks = acked.select(F.col("event_id").cast("string").alias("id"), "delivery", delivered.alias("delivered_us"),
+                        (delivered + took).alias("acked_us"), "type", (F.col("event_id") * 8 + F.col("delivery")).alias("seq"))
+    updates = state.queue_state_stream(acks, limit=2, lock_us=2_000_000)
+    d.drain(updates.writeStream.outputMode("update").foreachBatch(d.append_effect(f"{folder}/states")).option(
+        "checkpointLocation", f"{folder}/checkpoint"))
+    return state.latest_states(spark.read.parquet(f"{folder}/states")).withColumn("event_id", F.col("id").cast("bigint")).drop("id")
+
+
+@query
+def stream_progress(spark, sf):
+    """Rows that went through a query, from its own progress reports."""
+    folder = shared_folder(spark)
+    tapped, _ = records.tap(events_stream(spark, sf), "seen", errors=F.count_if(F.col("event_type") == "error"))
+    running = d.drain(d.exactly_once(tapped.select("event_id"), lambda s: s, f"{folder}/out", f"{folder}/checkpoint"))
+    table = progress.progress_table(spark, running)
+    errors = F.get_json_object("observed", "$.seen.errors").cast("bigint")
+    return table.agg(F.sum("input_rows").alias("input_rows"), F.sum(errors).alias("errors"))
