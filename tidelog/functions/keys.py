@@ -80,17 +80,15 @@ def key_partition(key: Column, n: int) -> Column:
     return (murmur2(key).bitwiseAND(_bigint(0x7FFFFFFF)) % n).cast("int")
 
 
-def tenant_partition(key: Column, n: int, ordinal: Column | None = None) -> Column:
+def tenant_partition(key: Column, n: int, turn: Column) -> Column:
     """Partition 0 is reserved for ``vip-`` keys, every other key is hashed over 1..n-1.
 
-    ``ordinal`` is a per-row counter that spreads rows without a key evenly over 1..n-1; without
-    it they are spread by a random draw.
+    ``turn`` is a counter over the rows without a key; it spreads them evenly over 1..n-1.
     """
     if n <= 1:
         return F.lit(0)
-    keyless = F.floor(F.rand() * (n - 1)) if ordinal is None else F.pmod(ordinal, F.lit(n - 1))
     return (
-        F.when(key.isNull(), keyless + 1)
+        F.when(key.isNull(), F.pmod(turn, F.lit(n - 1)) + 1)
         .when(key.startswith(VIP_PREFIX), F.lit(0))
         .otherwise(key_partition(key, n - 1) + 1)
         .cast("int")

@@ -54,12 +54,13 @@ def decode(df: DataFrame, schema: T.StructType, value: str = "value", out: str =
     Unknown fields are ignored and a null value passes as a null struct.
     """
     text = F.col(value).cast("string")
+    # The JSON word null is a null order, not a broken one.
+    content = F.when(F.trim(text) != "null", text)
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = df.withColumn("__p", F.from_json(text, wide, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}))
-    broken = F.col(value).isNotNull() & (
-        F.col(f"__p.{_CORRUPT}").isNotNull() | (F.col("__p").isNull() & (F.trim(text) != "null")) | (F.trim(text) == ""))
-    is_null = F.col("__p").isNull() | (F.trim(text) == "null")
-    clean = F.when(~broken & ~is_null, F.struct(*[F.col(f"__p.{f.name}").alias(f.name) for f in schema.fields]))
+    parsed = df.withColumn("__p", F.from_json(content, wide, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}))
+    broken = content.isNotNull() & (
+        F.col(f"__p.{_CORRUPT}").isNotNull() | F.col("__p").isNull() | (F.trim(text) == ""))
+    clean = F.when(~broken & F.col("__p").isNotNull(), F.struct(*[F.col(f"__p.{f.name}").alias(f.name) for f in schema.fields]))
     return parsed.withColumn("decode_error", F.when(broken, F.lit("DeserializationException"))).withColumn(out, clean).drop("__p")
 
 

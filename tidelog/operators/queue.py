@@ -100,15 +100,25 @@ def queue_state(acks: DataFrame, ids: Sequence[str], order: str, limit: int, loc
     last one (default: it has).
     """
     ids = list(ids)
-    judged = judge_acks(acks, ids, order, lock_us, chunk_rows)
-    settled = F.col("applied") & (F.col("type") != RENEW)
-    per_delivery = judged.groupBy(*ids, "delivery").agg(
-        F.max(F.when(settled, F.col("type"))).alias("__end"),
-        F.count_if("applied").alias("applied"),
-        F.count_if(F.col("type").isNotNull() & ~F.col("applied")).alias("refused"),
-        F.max(F.when(F.col("applied"), F.col("acked_us")).otherwise(F.col("delivered_us"))).alias("__alive"))
-    held = F.lit(False) if now_us is None else F.lit(now_us) <= F.col("__alive") + lock_us
-    outcome = F.when(F.col("__end").isNotNull(), F.col("__end")).when(held, "HELD").otherwise("EXPIRED")
+    group = [*ids, "delivery"]
+    placed = scans.scan(acks, group, [order], scans.id_chunk(order, chunk_rows),
+                        __i=scans.index(), __since=scans.previous(F.col("acked_us")))
+    final = F.col("type").isNotNull() & (F.col("type") != RENEW)
+    late = F.col("acked_us") - F.coalesce("__since", F.col("delivered_us")) > lock_us
+    # Acks count from the first one up to the settling one, unless an earlier gap lost the lock: both are positions,
+    # so a few minima per delivery replace a look at its acks one by one.
+    answered = F.count("type")
+    settled_at = F.min(F.when(final, F.col("__i")))
+    lost_at = F.min(F.when(late, F.col("__i")))
+    per_delivery = placed.groupBy(*group).agg(
+        answered.alias("__n"), settled_at.alias("__settled"), lost_at.alias("__lost"),
+        F.min_by("type", F.when(final, F.col("__i"))).alias("__type"),
+        F.coalesce(F.max("acked_us"), F.max("delivered_us")).alias("__alive"),
+    ).withColumn("applied", F.least(F.col("__n"), F.col("__settled") + 1, F.col("__lost"))).withColumn(
+        "refused", F.col("__n") - F.col("applied"))
+    ended = F.col("__settled").isNotNull() & (F.col("__lost").isNull() | (F.col("__settled") < F.col("__lost")))
+    held = F.lit(False) if now_us is None else F.col("__lost").isNull() & (F.lit(now_us) <= F.col("__alive") + lock_us)
+    outcome = F.when(ended, F.col("__type")).when(held, "HELD").otherwise("EXPIRED")
     per_id = per_delivery.withColumn("__outcome", outcome).groupBy(*ids).agg(
         F.max_by("__outcome", "delivery").alias("__last"), F.max("delivery").alias("deliveries"),
         F.sum("applied").alias("applied"), F.sum("refused").alias("refused"),

@@ -24,8 +24,8 @@ def rank_percentile(df: DataFrame, column: str, probabilities: Sequence[float],
     """
     by = list(by)
     present = df.filter(F.col(column).isNotNull())
-    cut = scans.value_chunk(present, column, cut_rows)
-    histogram = present.groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n")).withColumn(CHUNK, cut)
+    histogram = scans.with_value_chunk(present, column, CHUNK, cut_rows).groupBy(*by, CHUNK, column).agg(
+        F.count(F.lit(1)).alias("__n"))
     ranges = histogram.groupBy(*by, CHUNK).agg(F.sum("__n").alias("__t"))
     up_to = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*by)

@@ -13,14 +13,17 @@ partition numbers, so a recomputed task lands on the same chunks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_ROWS = 1_000_000
+CHUNK_ROWS = 250_000
+MAX_CUTS = 10_000
 CHUNK = "__chunk"
 _FIRST = "__first"
 _LAST = "__last"
@@ -32,23 +35,30 @@ def id_chunk(id_column: str | Column, rows: int = CHUNK_ROWS) -> Column:
     return F.floor(c / F.lit(rows)).cast("bigint")
 
 
-def value_chunk(df: DataFrame, column: str, rows: int = CHUNK_ROWS) -> Column:
-    """Chunk of any numeric or time column, cut at approximate quantiles.
+def with_chunk(df: DataFrame, column: str, out: str, rows: int = CHUNK_ROWS) -> DataFrame:
+    """Add a chunk number that follows the order of a unique column of any integer, float or time type.
 
-    Reads one column once and brings back only the cut points. Rounding a value to double keeps the order, so
-    results stay exact whatever the cut points are; only the balance depends on them.
+    Integers are divided, without looking at the data. Other types are cut at approximate quantiles: one pass over
+    that column alone, which brings back only the cut points. Rounding a value to double keeps the order, so
+    results are exact whatever the cuts are; they only balance the chunks.
     """
-    total = df.count()
-    pieces = max(1, -(-total // rows))
-    if pieces == 1:
-        return F.lit(0).cast("bigint")
-    as_number = _as_double(df, column)
-    probabilities = [i / pieces for i in range(1, pieces)]
-    error = 1.0 / (4 * pieces)
-    cuts = sorted(set(df.select(as_number.alias("v")).approxQuantile("v", probabilities, error)))
+    if isinstance(df.schema[column].dataType, T.IntegralType):
+        return df.withColumn(out, id_chunk(column, rows))
+    return with_value_chunk(df, column, out, rows)
+
+
+def with_value_chunk(df: DataFrame, column: str, out: str, rows: int = CHUNK_ROWS) -> DataFrame:
+    pieces = min(MAX_CUTS, max(1, -(-df.count() // rows)))
+    cuts: list[float] = []
+    numbered = df.withColumn("__as_number", _as_double(df, column))
+    if pieces > 1:
+        probabilities = [i / pieces for i in range(1, pieces)]
+        cuts = sorted(set(numbered.select("__as_number").approxQuantile("__as_number", probabilities, 1.0 / (4 * pieces))))
     if not cuts:
-        return F.lit(0).cast("bigint")
-    return _position_in(cuts, as_number)
+        return df.withColumn(out, F.lit(0).cast("bigint"))
+    # A value that is not a number sorts last in Spark and gets the last bucket here.
+    place = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="__as_number", outputCol=out, handleInvalid="keep")
+    return place.transform(numbered).withColumn(out, F.col(out).cast("bigint")).drop("__as_number")
 
 
 def _as_double(df: DataFrame, column: str) -> Column:
@@ -59,25 +69,6 @@ def _as_double(df: DataFrame, column: str) -> Column:
     return c.cast("double")
 
 
-def _position_in(cuts: Sequence[float], value: Column) -> Column:
-    """How many cuts lie at or below the value, by halving: log2(len) comparisons per row."""
-    def halve(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo).cast("bigint")
-        mid = (lo + hi) // 2
-        return F.when(value < F.lit(cuts[mid]), halve(lo, mid)).otherwise(halve(mid + 1, hi))
-
-    if len(cuts) <= 64:
-        return halve(0, len(cuts))
-    # Many cuts: first the block of 64 they fall into, then the place inside, both over literal arrays.
-    edges = F.array(*[F.lit(c) for c in cuts])
-    width = 64
-    coarse = F.array(*[F.lit(c) for c in cuts[width - 1::width]])
-    block = F.size(F.filter(coarse, lambda c: c <= value))
-    inside = F.size(F.filter(F.slice(edges, block * width + 1, width), lambda c: c <= value))
-    return (block * width + inside).cast("bigint")
-
-
 @dataclass(frozen=True)
 class Step:
     """One output of a scan. ``kind`` is one of index, sum, max, last_known, previous, following."""

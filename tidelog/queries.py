@@ -308,8 +308,8 @@ def reacquired(spark, sf):
 
 @query
 def resolve_writer(spark, sf):
-    rows = w.log6(spark, sf).withColumn("schema_id", F.col("event_id") % 7)
-    versions = w.table(spark, sf, "nation").filter(F.col("n_nationkey") < 5).select(
+    rows = w.log6(spark, sf).withColumn("schema_id", F.col("event_id") % 30)
+    versions = w.table(spark, sf, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("id"), F.concat(F.lit("v"), F.col("n_nationkey").cast("string")).alias("label"))
     return fo.resolve_writer(rows, versions).groupBy("writer").agg(F.count(F.lit(1)).alias("records"))
 

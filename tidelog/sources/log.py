@@ -49,16 +49,14 @@ def as_log(
     Offsets are dense from 0 per partition, along ``order``, a column that is unique per row. ``keep`` carries
     further columns of ``df`` along.
     """
-    chunk = (scans.id_chunk(order, chunk_rows) if isinstance(df.schema[order].dataType, T.IntegralType)
-             else scans.value_chunk(df, order, chunk_rows))
-    placed = df.select(
+    placed = scans.with_chunk(df, order, "__cut", chunk_rows).select(
         F.lit(topic).alias("topic"),
         (key_partition(key, n) if partition is None else partition).cast("int").alias("partition"),
         timestamp.cast("timestamp").alias("timestamp"),
         key.cast("string").alias("key"),
         value.alias("value"),
         F.col(order).alias("__order"),
-        chunk.alias("__cut"),
+        "__cut",
         *[F.col(c) for c in keep],
     )
     numbered = scans.scan(placed, ["topic", "partition"], ["__order"], F.col("__cut"), offset=scans.index())
@@ -166,9 +164,8 @@ def append_log(
     spark = df.sparkSession
     checked = df.withColumn("reason", unplaceable(df, n))
     good = checked.filter(F.col("reason").isNull()).drop("reason", "offset")
-    chunk = (scans.id_chunk(order, chunk_rows) if isinstance(df.schema[order].dataType, T.IntegralType)
-             else scans.value_chunk(good, order, chunk_rows))
-    numbered = scans.scan(good, ["topic", "partition"], [order], chunk, offset=scans.index())
+    cut = scans.with_chunk(good, order, "__cut", chunk_rows)
+    numbered = scans.scan(cut, ["topic", "partition"], [order], F.col("__cut"), offset=scans.index())
     if exists(spark, path):
         ends = log_ends(read_log(spark, path)).select("topic", "partition", F.col("end").alias("__end"))
         numbered = attach(numbered, ends, ["topic", "partition"], spread=order).withColumn(

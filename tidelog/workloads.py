@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators.progress import bounds
+from tidelog.plans.scans import CHUNK_ROWS
 from tidelog.sources.log import as_log
 
 PARTITIONS = 6
 # Chunk length of the ordered scans in the registered queries.
-QUERY_CHUNK = 50_000
+QUERY_CHUNK = CHUNK_ROWS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
