@@ -1,7 +1,15 @@
-"""Key placement as pure Column expressions (no UDF, no shuffle)."""
+"""Key placement: the key hash and the partitioners built on it. No shuffle anywhere.
+
+The hash exists twice with equal results. ``murmur2`` runs over whole Arrow columns of keys; only the key column
+goes to Python. ``murmur2_expression`` is built from Spark expressions alone. Spark has no function from bytes to
+numbers but ``conv(hex(..))``, and shares no subexpressions inside higher-order functions, so the expression took
+seven times as long (3 M keys on 8 cores: 5.0 s against 0.7 s); it serves sessions without Python workers.
+"""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,8 +53,8 @@ def _swap_bytes(word: Column) -> Column:
     )
 
 
-def murmur2(key: Column) -> Column:
-    """Unsigned 32-bit murmur2 of the key's UTF-8 bytes, as BIGINT; null for a null key."""
+def murmur2_expression(key: Column) -> Column:
+    """``murmur2`` from Spark expressions alone."""
     size = F.octet_length(key)
     starts = F.when(size >= 4, F.sequence(F.lit(1), F.shiftright(size, 2) * 8, F.lit(8)))
     starts = F.coalesce(starts, F.array().cast("array<int>"))
@@ -69,6 +77,48 @@ def murmur2(key: Column) -> Column:
     return F.when(key.isNotNull(), _let(folded, lambda h: _fold(h, 15)))
 
 
+def hash_arrow(keys: pa.Array) -> pa.Array:
+    """murmur2 of an Arrow string column.
+
+    Walks the words of all keys at once: the first word of every key, then the second of those that have one, and
+    so on. The work is the sum of the key lengths, also when one key is far longer than the rest.
+    """
+    keys = keys.cast(pa.large_string())
+    if keys.offset:
+        keys = pa.concat_arrays([keys])
+    _, offsets, data = keys.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[: len(keys) + 1]
+    text = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(1, np.uint8)
+    m, mask = np.uint64(MURMUR2_MULTIPLIER), np.uint64(MASK32)
+    start, size = ends[:-1], np.diff(ends)
+    whole, left = size >> 2, size & 3
+    byte = lambda at, n: text[at + n].astype(np.uint64) << np.uint64(8 * n)
+    h = size.astype(np.uint64) ^ np.uint64(MURMUR2_SEED)
+    rows = np.flatnonzero(whole > 0)
+    word = 0
+    while rows.size:
+        at = start[rows] + 4 * word
+        w = ((byte(at, 0) | byte(at, 1) | byte(at, 2) | byte(at, 3)) * m) & mask
+        w = ((w ^ (w >> np.uint64(24))) * m) & mask
+        h[rows] = ((h[rows] * m) & mask) ^ w
+        word += 1
+        rows = rows[whole[rows] > word]
+    tail = start + 4 * whole
+    for n in (0, 1, 2):
+        rows = np.flatnonzero(left > n)
+        h[rows] ^= byte(tail[rows], n)
+    rows = np.flatnonzero(left)
+    h[rows] = (h[rows] * m) & mask
+    h = ((h ^ (h >> np.uint64(13))) * m) & mask
+    h ^= h >> np.uint64(15)
+    return pa.array(h.astype(np.int64), mask=keys.is_null().to_numpy(zero_copy_only=False) if keys.null_count else None)
+
+
+def murmur2(key: Column) -> Column:
+    """Unsigned 32-bit murmur2 of the key's UTF-8 bytes, as BIGINT; null for a null key."""
+    return F.arrow_udf(hash_arrow, "bigint")(key.cast("string"))
+
+
 def murmur2_signed(key: Column) -> Column:
     """The same hash as a signed 32-bit number."""
     h = murmur2(key)

@@ -57,7 +57,10 @@ def decode(df: DataFrame, schema: T.StructType, value: str = "value", out: str =
     # The JSON word null is a null order, not a broken one.
     content = F.when(F.trim(text) != "null", text)
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = df.withColumn("__p", F.from_json(content, wide, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}))
+    # Exploding a one-element array keeps the parse in one place: a filter on the outcome is not pushed below it,
+    # where it would parse every value once more.
+    parse = F.from_json(content, wide, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
+    parsed = df.select("*", F.explode(F.array(parse)).alias("__p"))
     broken = content.isNotNull() & (
         F.col(f"__p.{_CORRUPT}").isNotNull() | F.col("__p").isNull() | (F.trim(text) == ""))
     clean = F.when(~broken & F.col("__p").isNotNull(), F.struct(*[F.col(f"__p.{f.name}").alias(f.name) for f in schema.fields]))

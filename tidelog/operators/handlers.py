@@ -18,19 +18,22 @@ PART = ["topic", "partition"]
 STATUS = "status string, error_class string, error_message string"
 
 
-def guard(handle: Callable[[pd.Series], None]) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """A frame handler that calls ``handle`` once per record, in order, and reports ok or error per record."""
+def guard(handle: Callable[[dict], None]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A frame handler that calls ``handle`` with each record as a dict, in order, and reports ok or error per record."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        results = []
-        for _, record in frame.iterrows():
+        status, kind, message = [], [], []
+        names = list(frame.columns)
+        for values in frame.itertuples(index=False, name=None):
             try:
-                handle(record)
-                results.append(("ok", None, None))
+                handle(dict(zip(names, values)))
+                outcome = ("ok", None, None)
             except Exception as e:  # noqa: BLE001 - a handler may raise anything
-                results.append(("error", type(e).__name__, str(e)))
-        out = frame.copy()
-        out[["status", "error_class", "error_message"]] = pd.DataFrame(results, index=frame.index, columns=["s", "c", "m"])
-        return out
+                outcome = ("error", type(e).__name__, str(e))
+            status.append(outcome[0])
+            kind.append(outcome[1])
+            message.append(outcome[2])
+        return frame.assign(status=status, error_class=pd.Series(kind, index=frame.index, dtype=object),
+                            error_message=pd.Series(message, index=frame.index, dtype=object))
     return run
 
 

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from tidelog.plans import scans
 
 ACCEPT, RELEASE, REJECT, RENEW = "ACCEPT", "RELEASE", "REJECT", "RENEW"
+TYPE_CODES = {ACCEPT: 0, RELEASE: 1, REJECT: 2}
+_HELD, _EXPIRED = 4, 5
+
+
+def type_code(kind: Column) -> Column:
+    return F.when(kind == ACCEPT, TYPE_CODES[ACCEPT]).when(kind == RELEASE, TYPE_CODES[RELEASE]).otherwise(TYPE_CODES[REJECT])
 
 
 def worker_distribution(deliveries: DataFrame) -> DataFrame:
@@ -107,24 +113,27 @@ def queue_state(acks: DataFrame, ids: Sequence[str], order: str, limit: int, loc
     late = F.col("acked_us") - F.coalesce("__since", F.col("delivered_us")) > lock_us
     # Acks count from the first one up to the settling one, unless an earlier gap lost the lock: both are positions,
     # so a few minima per delivery replace a look at its acks one by one.
+    # The settling ack's type travels in the low digits of its position, so all of these are numbers that aggregate
+    # in place.
     answered = F.count("type")
-    settled_at = F.min(F.when(final, F.col("__i")))
+    settled = F.min(F.when(final, F.col("__i") * 4 + type_code(F.col("type"))))
     lost_at = F.min(F.when(late, F.col("__i")))
     per_delivery = placed.groupBy(*group).agg(
-        answered.alias("__n"), settled_at.alias("__settled"), lost_at.alias("__lost"),
-        F.min_by("type", F.when(final, F.col("__i"))).alias("__type"),
+        answered.alias("__n"), settled.alias("__s"), lost_at.alias("__lost"),
         F.coalesce(F.max("acked_us"), F.max("delivered_us")).alias("__alive"),
-    ).withColumn("applied", F.least(F.col("__n"), F.col("__settled") + 1, F.col("__lost"))).withColumn(
+    ).withColumn("__settled", F.floor(F.col("__s") / 4)).withColumn(
+        "applied", F.least(F.col("__n"), F.col("__settled") + 1, F.col("__lost"))).withColumn(
         "refused", F.col("__n") - F.col("applied"))
     ended = F.col("__settled").isNotNull() & (F.col("__lost").isNull() | (F.col("__settled") < F.col("__lost")))
     held = F.lit(False) if now_us is None else F.col("__lost").isNull() & (F.lit(now_us) <= F.col("__alive") + lock_us)
-    outcome = F.when(ended, F.col("__type")).when(held, "HELD").otherwise("EXPIRED")
+    outcome = F.when(ended, F.col("__s") % 4).when(held, _HELD).otherwise(_EXPIRED)
     per_id = per_delivery.withColumn("__outcome", outcome).groupBy(*ids).agg(
-        F.max_by("__outcome", "delivery").alias("__last"), F.max("delivery").alias("deliveries"),
+        F.max(F.col("delivery") * 8 + F.col("__outcome")).alias("__last"), F.max("delivery").alias("deliveries"),
         F.sum("applied").alias("applied"), F.sum("refused").alias("refused"),
-        F.count_if(F.col("__outcome") == "EXPIRED").alias("expired"))
+        F.count_if(F.col("__outcome") == _EXPIRED).alias("expired"))
+    last = F.col("__last") % 8
     state = (
-        F.when(F.col("__last") == ACCEPT, "acknowledged").when(F.col("__last") == REJECT, "archived")
-        .when(F.col("__last") == "HELD", "acquired").when(F.col("deliveries") >= limit, "archived").otherwise("available")
+        F.when(last == TYPE_CODES[ACCEPT], "acknowledged").when(last == TYPE_CODES[REJECT], "archived")
+        .when(last == _HELD, "acquired").when(F.col("deliveries") >= limit, "archived").otherwise("available")
     )
     return per_id.select(*ids, state.alias("state"), "deliveries", "applied", "refused", "expired")

@@ -20,10 +20,22 @@ def with_outcome(log: DataFrame, markers: DataFrame) -> DataFrame:
         "outcome", F.when(F.col("txn_id").isNotNull(), F.coalesce("__end", F.lit("open")))).drop("__end")
 
 
+def _open_starts(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("outcome") == "open").groupBy(*PART).agg(F.min("offset").alias("last_stable"))
+
+
 def last_stable_offsets(log: DataFrame, markers: DataFrame) -> DataFrame:
     """First offset of the oldest open transaction per partition, for the partitions that have one."""
-    return with_outcome(log.select(*PART, "offset", "txn_id"), markers).filter(F.col("outcome") == "open").groupBy(*PART).agg(
-        F.min("offset").alias("last_stable"))
+    return _open_starts(with_outcome(log.select(*PART, "offset", "txn_id"), markers))
+
+
+def with_visibility(log: DataFrame, markers: DataFrame) -> DataFrame:
+    """Each record with ``visible``: whether a committed read returns it."""
+    judged = with_outcome(log, markers)
+    judged = attach(judged, _open_starts(judged), PART, spread="offset")
+    below = F.col("last_stable").isNull() | (F.col("offset") < F.col("last_stable"))
+    ended_well = F.col("outcome").isNull() | (F.col("outcome") == "commit")
+    return judged.withColumn("visible", below & ended_well).select(*log.columns, "visible")
 
 
 def read_committed(log: DataFrame, markers: DataFrame) -> DataFrame:
@@ -31,10 +43,7 @@ def read_committed(log: DataFrame, markers: DataFrame) -> DataFrame:
 
     Committed records above an open transaction stay hidden: a reader must not pass it.
     """
-    stable = last_stable_offsets(log, markers)
-    judged = attach(with_outcome(log, markers), stable, PART, spread="offset")
-    below = F.col("last_stable").isNull() | (F.col("offset") < F.col("last_stable"))
-    return judged.filter(below & (F.col("outcome").isNull() | (F.col("outcome") == "commit"))).select(*log.columns)
+    return with_visibility(log, markers).filter("visible").drop("visible")
 
 
 def read_uncommitted(log: DataFrame) -> DataFrame:
@@ -44,12 +53,15 @@ def read_uncommitted(log: DataFrame) -> DataFrame:
 
 def visibility_report(log: DataFrame, markers: DataFrame) -> DataFrame:
     """Per isolation level: records seen and the sorted key families among them."""
-    views = read_uncommitted(log).select("key", F.lit("read_uncommitted").alias("isolation")).unionByName(
-        read_committed(log, markers).select("key", F.lit("read_committed").alias("isolation")))
-    # Counted per family first, so the list below holds families, not records.
-    families = views.groupBy("isolation", key_family(F.col("key")).alias("family")).agg(F.count(F.lit(1)).alias("n"))
-    return families.groupBy("isolation").agg(
-        F.sum("n").alias("records"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"))
+    judged = with_visibility(log, markers).select(key_family(F.col("key")).alias("family"), "visible")
+    # Counted per family first, so the lists below hold families, not records; both levels from the same pass.
+    families = judged.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.count_if("visible").alias("n_visible"))
+    levels = F.explode(F.array(
+        F.struct(F.lit("read_uncommitted").alias("isolation"), F.col("n").alias("n")),
+        F.struct(F.lit("read_committed").alias("isolation"), F.col("n_visible").alias("n"))))
+    return families.select("family", levels.alias("l")).groupBy(F.col("l.isolation").alias("isolation")).agg(
+        F.sum("l.n").alias("records"),
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("l.n") > 0, F.col("family")))), ",").alias("families"))
 
 
 def fence_zombies(log: DataFrame, order: str = "log_order", chunk_rows: int = scans.CHUNK_ROWS) -> DataFrame:

@@ -118,7 +118,8 @@ def scan(df: DataFrame, by: Sequence[str], order: Sequence[str], chunk: Column,
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     across = Window.partitionBy(*by).orderBy(CHUNK)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    place = F.struct(*[F.col(o) for o in order])
+    # One order column stays as it is: numbers then aggregate in place, where a struct would need a sort.
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order])
 
     local, summary, carry, merged = [], [], [], []
     kinds = {s.kind for s in steps.values()}

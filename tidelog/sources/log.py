@@ -45,13 +45,15 @@ def as_log(
 ) -> DataFrame:
     """Give a table log coordinates.
 
-    The partition comes from the key hash unless ``partition`` says otherwise (rows without a key then need it).
-    Offsets are dense from 0 per partition, along ``order``, a column that is unique per row. ``keep`` carries
-    further columns of ``df`` along.
+    The partition comes from the key hash unless ``partition`` says otherwise; rows without a key are spread over
+    all partitions. Offsets are dense from 0 per partition, along ``order``, a column that is unique per row.
+    ``keep`` carries further columns of ``df`` along.
     """
+    # Never null, so that no null check is planned that would compute the hash a second time.
+    by_key = F.coalesce(key_partition(key, n), F.pmod(F.xxhash64(order), F.lit(n)).cast("int"), F.lit(0))
     placed = scans.with_chunk(df, order, "__cut", chunk_rows).select(
         F.lit(topic).alias("topic"),
-        (key_partition(key, n) if partition is None else partition).cast("int").alias("partition"),
+        (by_key if partition is None else partition).cast("int").alias("partition"),
         timestamp.cast("timestamp").alias("timestamp"),
         key.cast("string").alias("key"),
         value.alias("value"),
