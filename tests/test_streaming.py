@@ -219,3 +219,44 @@ def test_idle_sessions(spark, folder):
     d.drain(d.exactly_once(d.idle_sessions(stream, "10 seconds", "1 second"), lambda s: s, folder + "/out", folder + "/checkpoint"))
     got = sorted(r["records"] for r in spark.read.parquet(folder + "/out").collect())
     assert got == [1, 2, 3]
+
+
+def test_append_stream_hides_an_attempt_that_died(spark, folder, monkeypatch):
+    from tidelog.operators import visibility
+    from tidelog.sources import sinks
+
+    path = write_records(spark, folder, 300, 100)
+    log, markers = folder + "/log", folder + "/markers"
+    real = d.write_marker
+
+    def dies_once(session, where, txn_id, outcome, epoch=0):
+        if outcome == "commit" and "-1-" in txn_id and not os.path.exists(folder + "/died"):
+            os.mkdir(folder + "/died")
+            raise Crash("after the rows, before the marker")
+        real(session, where, txn_id, outcome, epoch)
+
+    monkeypatch.setattr(d, "write_marker", dies_once)
+    writer = lambda: d.append_log_stream(
+        source.read_log_stream(spark, path, files_per_trigger=1).select("topic", "partition", "timestamp", "key", "value", F.col("offset").alias("seq")),
+        log, markers, "copy", "seq", 1, folder + "/checkpoint")
+    with pytest.raises(StreamingQueryException):
+        d.drain(writer())
+    d.drain(writer())
+    everything = source.read_log(spark, log)
+    seen = visibility.read_committed(everything, sinks.read_markers(spark, markers))
+    assert everything.count() == 400
+    assert seen.count() == 300 and seen.select("key").distinct().count() == 300
+    assert everything.select("offset").distinct().count() == 400
+
+
+def test_bounded_dedup_forgets_what_is_later_than_its_delay(spark, folder):
+    rows = [(i, 1_000_000 + i * 60) for i in range(10)] + [(0, 1_000_003)]
+    for i, (id_, s) in enumerate(rows):
+        spark.createDataFrame([(id_, s)], "id long, s long").coalesce(1).write.mode("append").parquet(folder + "/in")
+        for name in os.listdir(folder + "/in"):
+            full = os.path.join(folder + "/in", name)
+            if name.endswith(".parquet") and os.path.getmtime(full) > 1_750_000_000:
+                os.utime(full, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    stream = spark.readStream.schema("id long, s long").option("maxFilesPerTrigger", 1).parquet(folder + "/in").withColumn("at", F.timestamp_seconds("s"))
+    d.drain(d.exactly_once(d.dedup_stream(stream, ["id"], "at", "30 seconds"), lambda x: x, folder + "/out", folder + "/checkpoint"))
+    assert sorted(r["id"] for r in spark.read.parquet(folder + "/out").collect()) == list(range(10))

@@ -59,10 +59,10 @@ def eos_check(committed: DataFrame, everything: DataFrame) -> DataFrame:
     """Committed output rows, distinct key@value pairs, duplicates, and all rows including aborted ones."""
     pairs = committed.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
     visible = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("committed_rows"), F.count(F.lit(1)).alias("distinct_rows"))
-    total = everything.agg(F.count(F.lit(1)).alias("all_rows"))
-    # Two one-row results side by side.
-    return visible.join(F.broadcast(total)).select(
-        "committed_rows", "distinct_rows", (F.col("committed_rows") - F.col("distinct_rows")).alias("duplicates"), "all_rows")
+    total = everything.agg(F.count(F.lit(1))).scalar()
+    return visible.select(
+        "committed_rows", "distinct_rows", (F.col("committed_rows") - F.col("distinct_rows")).alias("duplicates"),
+        total.alias("all_rows"))
 
 
 def reacquired(held: DataFrame, deliveries: DataFrame, ids: Sequence[str]) -> DataFrame:

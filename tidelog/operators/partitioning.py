@@ -12,10 +12,8 @@ from tidelog.plans import scans
 def partition_spread(df: DataFrame) -> DataFrame:
     """Records and share in percent per partition."""
     counts = df.groupBy("partition").agg(F.count(F.lit(1)).alias("records"))
-    # One row, so the broadcast cannot grow.
-    total = counts.agg(F.sum("records").alias("total"))
-    return counts.join(F.broadcast(total)).select(
-        "partition", "records", F.round(F.lit(100.0) * F.col("records") / F.col("total"), 1).alias("share"))
+    total = counts.agg(F.sum("records")).scalar()
+    return counts.select("partition", "records", F.round(F.lit(100.0) * F.col("records") / total, 1).alias("share"))
 
 
 def key_partitions(df: DataFrame) -> DataFrame:
@@ -39,10 +37,9 @@ def moved_keys_report(df: DataFrame) -> DataFrame:
 def hot_keys(df: DataFrame, k: int) -> DataFrame:
     """The k heaviest keys and their share in percent; equal counts are ordered by key."""
     counts = df.groupBy("key").agg(F.count(F.lit(1)).alias("records"))
-    total = counts.agg(F.sum("records").alias("total"))
+    total = counts.agg(F.sum("records")).scalar()
     top = counts.orderBy(F.desc("records"), F.asc_nulls_first("key")).limit(k)
-    return top.join(F.broadcast(total)).select(
-        "key", "records", F.round(F.lit(100.0) * F.col("records") / F.col("total"), 2).alias("share"))
+    return top.select("key", "records", F.round(F.lit(100.0) * F.col("records") / total, 2).alias("share"))
 
 
 def number_records(df: DataFrame, order: str, out: str, by: tuple[str, ...] = ("topic",),

@@ -67,6 +67,7 @@ on_log("start_policy_earliest", """SELECT e.topic, e."partition", committed, coa
 FROM ends e LEFT JOIN commits c ON e."partition" = c."partition\"""", more=ENDS)
 on_log("start_policy_latest", """SELECT e.topic, e."partition", committed, coalesce(committed, "end") AS "start"
 FROM ends e LEFT JOIN commits c ON e."partition" = c."partition\"""", more=ENDS)
+on_log("start_policy_none", """SELECT topic, "partition", "end" // 2 AS committed, "end" // 2 AS "start" FROM ends""", more=ENDS)
 SQL["with_headers"] = """
 SELECT 'routed' AS topic, event_id, 3 AS n_headers, upper(event_type) AS type_header, event_id::VARCHAR AS trace_header,
        NULL::VARCHAR AS absent_header FROM events"""
@@ -522,6 +523,10 @@ queue_state("queue_state_long_lock", "true")
 queue_state("queue_state_renewed", "event_id % 20 <> 0 OR event_id % 60 <> 0", "(event_id % 20 = 0)::INT",
             "(event_id % 20 = 0 AND event_id % 60 <> 0)::INT")
 
+on_log("judge_acks", "SELECT event_id, delivery, type, event_id % 20 <> 0 AS applied FROM acks", more=DELIVERIES)
+SQL["recover"] = """
+SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'REJECT' WHEN 1 THEN 'REJECT' WHEN 2 THEN 'RELEASE' WHEN 3 THEN 'RELEASE' ELSE 'ACCEPT' END AS type FROM events"""
+
 # ---- handlers ---------------------------------------------------------------------------------------------------
 
 on_log("process_in_order", """SELECT "partition", "offset", event_id, 'ok' AS status FROM log6 LEFT JOIN f ON "partition" = p
@@ -549,3 +554,5 @@ FROM (SELECT event_id, max(delivery) AS deliveries, count(*) FILTER (ok) AS appl
              count(*) FILTER (NOT ok) AS expired, arg_max(ok, delivery) AS last_ok, arg_max(type, delivery) AS last_type
       FROM (SELECT *, event_id % 20 <> 0 AS ok FROM acks) GROUP BY 1)""", more=DELIVERIES)
 SQL["stream_progress"] = "SELECT count(*) AS input_rows, count(*) FILTER (event_type = 'error') AS errors FROM events"
+on_log("stream_append_log", 'SELECT topic, "partition", count(*) AS records, count(*) AS offsets, count(*) AS "end" FROM log6 GROUP BY ALL')
+on_log("stream_read_log", 'SELECT "partition", "offset", event_type AS value FROM log6')

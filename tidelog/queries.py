@@ -11,6 +11,7 @@ from tidelog import workloads as w
 from tidelog.functions import headers as hdr
 from tidelog.functions import keys as fk
 from tidelog.functions import orders as fo
+from tidelog.plans import scans
 from tidelog.operators import (
     audit, failures, handlers, partitioning, progress, queue, records, runs, schemas, timelines, visibility)
 from tidelog.session import shared_folder
@@ -82,6 +83,15 @@ def start_policy_latest(spark, sf):
     return _start(spark, sf, "latest")
 
 
+@query
+def start_policy_none(spark, sf):
+    """Every partition has a commit, so the strict policy has nothing to object to."""
+    log = w.log6(spark, sf)
+    bounds = progress.bounds(log)
+    committed = bounds.select("topic", "partition", F.floor(F.col("end") / 2).cast("bigint").alias("committed"))
+    return source.start_policy(bounds, committed, "none").select("topic", "partition", "committed", "start")
+
+
 @query
 def with_headers(spark, sf):
     log = w.log6(spark, sf, keep=("event_id", "event_type"))
@@ -559,8 +569,6 @@ def head_of_line(spark, sf):
 @query
 def counter_rate(spark, sf):
     """A counter per event type that restarts every day."""
-    from tidelog.plans import scans
-
     day = F.floor(F.unix_seconds("ts") / 86400).cast("bigint")
     rows = w.events(spark, sf).select("event_type", day.alias("day"), "event_id", F.unix_micros("ts").alias("at_us"),
                                       (F.col("event_id") % 5 + 1).alias("n"))
@@ -792,6 +800,21 @@ def queue_state_renewed(spark, sf):
                              chunk_rows=w.QUERY_CHUNK * 16).select("partition", "offset", "state", "deliveries", "applied", "refused", "expired")
 
 
+@query
+def judge_acks(spark, sf):
+    """Each ack with whether it still counted under the short lock."""
+    judged = queue.judge_acks(w.lock_acks(spark, sf), ["topic", "partition", "offset"], "seq", 2_000_000, w.QUERY_CHUNK * 8)
+    return judged.select("event_id", "delivery", "type", "applied")
+
+
+@query
+def recover(spark, sf):
+    """Acks for handler errors by class: transient ones come back, the rest does not."""
+    log = records.parse_plan(w.retry_log(spark, sf))
+    error = failures.scripted_handler(F.lit(1))
+    return log.select("event_id", queue.recover(error, [failures.TRANSIENT]).alias("type"))
+
+
 # ---- handlers ---------------------------------------------------------------------------------------------------
 
 def _number_handler(record) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.sources.log import append_log, exists
@@ -42,10 +42,8 @@ def codec_report(df: DataFrame, folder: str, codecs: Sequence[str] = CODECS) ->
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
-    base = F.max(F.when(F.col("codec") == "uncompressed", F.col("bytes")))
-    plain = out.agg(base.alias("plain"))
-    return out.join(F.broadcast(plain)).select(
-        "codec", "files", "bytes", F.round(F.try_divide("bytes", "plain"), 4).alias("rate"))
+    plain = out.agg(F.max(F.when(F.col("codec") == "uncompressed", F.col("bytes")))).scalar()
+    return out.select("codec", "files", "bytes", F.round(F.try_divide(F.col("bytes"), plain), 4).alias("rate"))
 
 
 def write_by_type(df: DataFrame, type_column: str, raw: str, typed: Mapping[str, str]) -> DataFrame:
@@ -82,7 +80,3 @@ def read_markers(spark: SparkSession, markers: str) -> DataFrame:
     if not exists(spark, markers):
         return spark.createDataFrame([], MARKER_SCHEMA)
     return spark.read.schema(MARKER_SCHEMA).parquet(markers)
-
-
-def as_value(c: Column) -> Column:
-    return c.cast("string").cast("binary")

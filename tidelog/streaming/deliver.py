@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tidelog.operators.audit import skip_handled
 from tidelog.plans.facts import seek
-from tidelog.sources.log import exists
+from tidelog.sources.log import append_log, exists
+from tidelog.sources.sinks import read_markers, write_marker
 
 AT_MOST_ONCE, AT_LEAST_ONCE, EFFECTIVELY_ONCE = "at_most_once", "at_least_once", "effectively_once"
 POSITION = ("topic", "partition", "offset")
@@ -89,6 +91,31 @@ def append_effect(path: str, transform: Callable[[DataFrame], DataFrame] = lambd
     return handle
 
 
+def append_log_stream(stream: DataFrame, path: str, markers: str, name: str, order: str, n: int, checkpoint: str) -> DataStreamWriter:
+    """Append every micro-batch to a log table as one transaction; read it with ``read_committed``.
+
+    A batch that ran before is recognised by its commit marker. An attempt that died before its marker is aborted
+    by the next one, so its rows stay hidden and do not hold up what comes after them.
+    """
+    attempts = f"{markers}-attempts"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mine = F.col("txn_id").startswith(f"{name}-{batch_id}-")
+        ended = read_markers(spark, markers).filter(mine)
+        if not ended.filter(F.col("outcome") == "commit").isEmpty():
+            return
+        # A handful of rows: the attempts of this one batch.
+        for left_open in read_markers(spark, attempts).filter(mine).join(ended, "txn_id", "left_anti").collect():
+            write_marker(spark, markers, left_open["txn_id"], "abort")
+        txn_id = f"{name}-{batch_id}-{uuid.uuid4().hex}"
+        write_marker(spark, attempts, txn_id, "begin")
+        append_log(batch, path, order, n, txn_id=txn_id)
+        write_marker(spark, markers, txn_id, "commit")
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+
+
 def exactly_once(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
                  partition_by: Sequence[str] = ()) -> DataStreamWriter:
     """Consume, transform, produce: each input once in the output across crashes and restarts.

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import workloads as w
-from tidelog.operators import failures, queue, records
+from tidelog.functions import keys as fk
+from tidelog.operators import failures, queue, records, visibility
 from tidelog.queries import query
 from tidelog.session import shared_folder
+from tidelog.sources import log as source
+from tidelog.sources import sinks
 from tidelog.streaming import deliver as d
 from tidelog.streaming import progress, state
 
@@ -28,6 +34,31 @@ def stream_exactly_once(spark, sf):
     return spark.read.parquet(f"{folder}/out")
 
 
+@query
+def stream_append_log(spark, sf):
+    """The stream lands in a log table with dense offsets, one transaction per micro-batch."""
+    folder = shared_folder(spark)
+    rows = events_stream(spark, sf).select(
+        F.lit("events").alias("topic"), fk.key_partition(w.user_key(), w.PARTITIONS).alias("partition"),
+        F.col("ts").alias("timestamp"), w.user_key().alias("key"), w.event_value().alias("value"), "event_id")
+    d.drain(d.append_log_stream(rows, f"{folder}/log", f"{folder}/markers", "events", "event_id", w.PARTITIONS, f"{folder}/checkpoint"))
+    visible = visibility.read_committed(source.read_log(spark, f"{folder}/log"), sinks.read_markers(spark, f"{folder}/markers"))
+    return visible.groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("offset").alias("offsets"), (F.max("offset") + 1).alias("end"))
+
+
+@query
+def stream_read_log(spark, sf):
+    """A written log read as a stream, from the earliest offset."""
+    folder = shared_folder(spark)
+    log = source.with_log_columns(w.log6(spark, sf, value=F.col("event_type")))
+    log.write.partitionBy("topic", "partition").parquet(f"{folder}/log")
+    stream = source.read_log_stream(spark, f"{folder}/log", "events", files_per_trigger=1000)
+    d.drain(d.exactly_once(stream, lambda s: s.select("partition", "offset", F.col("value").cast("string").alias("value")),
+                           f"{folder}/out", f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/out")
+
+
 @query
 def stream_dedup(spark, sf):
     """Every 13th record is delivered twice."""
@@ -103,8 +134,6 @@ def stream_retry_topics(spark, sf):
 
 def wait_until_quiet(running, quiet_batches: int = 8, timeout_s: int = 240) -> None:
     """Until no rows came in and no timer fired for a number of micro-batches."""
-    import time
-
     deadline = time.time() + timeout_s
     while time.time() < deadline:
         if running.exception() is not None:
@@ -117,8 +146,6 @@ def wait_until_quiet(running, quiet_batches: int = 8, timeout_s: int = 240) -> N
 
 
 def _is_quiet(p) -> bool:
-    import json
-
     told = json.loads(p.json)
     fired = sum((o.get("customMetrics") or {}).get("numExpiredTimers", 0) for o in told.get("stateOperators", []))
     return told["numInputRows"] == 0 and fired == 0

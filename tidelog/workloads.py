@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.orders import encode_order
 from tidelog.operators.progress import bounds
+from tidelog.operators.queue import queue_worker, scripted_decision
 from tidelog.plans.scans import CHUNK_ROWS
 from tidelog.sources.log import as_log
 
@@ -63,9 +65,8 @@ def txn_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome of each transaction; the sixth-last one is open and has no marker."""
     txns = events(spark, sf_dir).select(F.floor(F.col("event_id") / 50).alias("txn")).distinct()
-    # One row: the number of the last transaction.
-    newest = events(spark, sf_dir).agg(F.floor(F.max("event_id") / 50).alias("newest"))
-    return txns.join(F.broadcast(newest)).filter(F.col("txn") != F.col("newest") - 5).select(
+    newest = events(spark, sf_dir).agg(F.floor(F.max("event_id") / 50)).scalar()
+    return txns.filter(F.col("txn") != newest - 5).select(
         F.concat(F.lit("t-"), F.col("txn").cast("string")).alias("txn_id"),
         F.when(F.col("txn") % 7 == 0, "abort").otherwise("commit").alias("outcome"))
 
@@ -99,8 +100,6 @@ def orders_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order JSON with nulls, broken values and an unknown extra field mixed in."""
-    from tidelog.functions.orders import encode_order
-
     k = F.col("o_orderkey")
     plain = encode_order(F.col("order"))
     extra = F.concat(F.expr("left(plain, length(plain) - 1)"), F.lit(',"channel":"web"}'))
@@ -111,8 +110,6 @@ def orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queue deliveries and acks under the explicit script: worker = event number mod 4."""
-    from tidelog.operators.queue import queue_worker, scripted_decision
-
     rows = log6(spark, sf_dir).select("topic", "partition", "offset", "event_id", F.unix_micros("timestamp").alias("ts_us"))
     acked = queue_worker(rows, lambda d: scripted_decision("explicit", F.col("event_id"), d), limit=5)
     return acked.withColumn("worker", F.concat(F.lit("w"), ((F.col("event_id") + F.col("delivery") - 1) % 4).cast("string")))
