@@ -13,8 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.headers import with_headers
 from tidelog.operators.records import fails_on
 from tidelog.plans import scans
+from tidelog.sources.log import append_log
 
 PART = ["topic", "partition"]
 UNDECODABLE = "DeserializationException"
@@ -130,3 +132,23 @@ def dead_letters(failed: DataFrame, error: Column, cause: Column | None = None,
         F.col("offset").alias("original_offset"), F.col("timestamp").alias("original_timestamp"),
         error.alias("error_class"), (error if cause is None else cause).alias("error_cause"),
         (F.lit(None).cast("string") if message is None else message).alias("error_message"))
+
+
+def publish_dead_letters(dead: DataFrame, path: str, n: int, order: str = "__order") -> DataFrame:
+    """Append dead letters to their ``<topic>-dlt`` log, in the original's partition, the origin and the error as
+    headers. Returns the rows that could not be placed, as ``append_log`` does.
+
+    Their order is by original offset; ``order`` may name another unique integer column.
+    """
+    sent = with_headers(dead, {
+        "original-topic": F.col("original_topic"),
+        "original-partition": F.col("original_partition").cast("string"),
+        "original-offset": F.col("original_offset").cast("string"),
+        "error-class": F.col("error_class"),
+        "error-cause": F.col("error_cause"),
+        "error-message": F.col("error_message"),
+    })
+    if order == "__order":
+        # Offsets are unique per partition, and offsets are handed out per partition.
+        sent = sent.withColumn(order, F.col("original_offset"))
+    return append_log(sent.withColumn("timestamp", F.col("original_timestamp")), path, order, n)

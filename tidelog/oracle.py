@@ -416,6 +416,10 @@ FROM r"""
 SQL["route_by_default"] = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 31 <> 0 AND o_orderkey % 29 <> 0 THEN 'ORD-' || o_orderkey END AS view_order,
        CASE WHEN o_orderkey % 31 <> 0 AND o_orderkey % 29 = 0 THEN 'DeserializationException' END AS route_error FROM orders"""
+SQL["route_remapped"] = """
+WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'no type token' WHEN o_orderkey % 3 = 2 THEN 'unknown type token'
+                  WHEN o_orderkey % 31 <> 0 AND o_orderkey % 29 = 0 THEN 'DeserializationException' END AS route_error FROM orders)
+SELECT o_orderkey, CASE WHEN route_error IS NULL AND o_orderkey % 31 <> 0 THEN 'ORD-' || o_orderkey END AS order_id, route_error FROM r"""
 SQL["wire_header"] = """
 SELECT event_id, CASE WHEN event_id % 23 <> 0 AND event_id % 29 <> 0 THEN event_id % 70000 END AS schema_id,
        CASE WHEN event_id % 23 <> 0 AND event_id % 29 <> 0 THEN event_type END AS body,
@@ -489,6 +493,11 @@ SELECT 'orders-dlt' AS topic, "partition", key,
        upper(hex(encode(CASE WHEN kind = 'POISON' THEN '{{not json' ELSE {EVENT_JSON} END))) AS value_hex, 'orders' AS original_topic,
        "offset" AS original_offset, epoch_us(ts) AS original_us, final_error AS error_class, kind || ' by script: ' || key AS error_message
 FROM rl WHERE final_error IS NOT NULL"""
+SQL["publish_dead_letters"] = f"""WITH {RETRY}
+SELECT "partition", row_number() OVER (PARTITION BY "partition" ORDER BY "offset") - 1 AS "offset", key,
+       upper(hex(encode(CASE WHEN kind = 'POISON' THEN '{{not json' ELSE {EVENT_JSON} END))) AS value_hex,
+       "offset" AS original_offset, final_error AS error_class
+FROM rl WHERE final_error IS NOT NULL"""
 on_log("nack", """
 SELECT l."partition", l."offset", 1 AS poll, 1 AS attempt, 0 AS t_ms, CASE WHEN l."offset" = a THEN 'nacked' ELSE 'acked' END AS action
 FROM log6 l LEFT JOIN n ON l."partition" = p WHERE a IS NULL OR l."offset" <= a

@@ -655,6 +655,13 @@ def route_by_default(spark, sf):
     return routed.select("o_orderkey", F.col("as_view.orderId").alias("view_order"), "route_error")
 
 
+@query
+def route_remapped(spark, sf):
+    """The header is used, but its tokens stand for the consumer's own type."""
+    routed = fo.route_by_type(_typed_orders(spark, sf), {"order": fo.ORDER_VIEW_SCHEMA, "view": fo.ORDER_VIEW_SCHEMA})
+    return routed.select("o_orderkey", F.coalesce("as_order.orderId", "as_view.orderId").alias("order_id"), "route_error")
+
+
 @query
 def wire_header(spark, sf):
     k = F.col("event_id")
@@ -750,6 +757,19 @@ def dead_letters(spark, sf):
                        F.unix_micros("original_timestamp").alias("original_us"), "error_class", "error_message")
 
 
+@query
+def publish_dead_letters(spark, sf):
+    """Dead letters appended to their own log and read back: same partition, same bytes, the error in headers."""
+    folder = shared_folder(spark)
+    log = records.parse_plan(w.retry_log(spark, sf).withColumn("value", F.col("value").cast("binary")))
+    tried = failures.with_attempts(log, failures.scripted_handler, failures.RetryPolicy())
+    failures.publish_dead_letters(failures.dead_letters(tried, failures.final_error()), folder, w.PARTITIONS)
+    back = source.read_log(spark, folder, "orders-dlt")
+    header = lambda name: hdr.header_text(F.col("headers"), name)
+    return back.select("partition", "offset", "key", F.hex("value").alias("value_hex"),
+                       header("original-offset").cast("bigint").alias("original_offset"), header("error-class").alias("error_class"))
+
+
 @query
 def nack(spark, sf):
     """The whole log as one poll, nacked in each partition at the first offset that ends in 250."""
