@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidelog.functions.headers import header_text
 from tidelog.plans.facts import attach
+from tidelog.plans.once import compute_once
 
 ORDER_SCHEMA = T.StructType([
     T.StructField("orderId", T.StringType()),
@@ -57,10 +58,7 @@ def decode(df: DataFrame, schema: T.StructType, value: str = "value", out: str =
     # The JSON word null is a null order, not a broken one.
     content = F.when(F.trim(text) != "null", text)
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    # Exploding a one-element array keeps the parse in one place: a filter on the outcome is not pushed below it,
-    # where it would parse every value once more.
-    parse = F.from_json(content, wide, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
-    parsed = df.select("*", F.explode(F.array(parse)).alias("__p"))
+    parsed = compute_once(df, __p=F.from_json(content, wide, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}))
     broken = content.isNotNull() & (
         F.col(f"__p.{_CORRUPT}").isNotNull() | F.col("__p").isNull() | (F.trim(text) == ""))
     clean = F.when(~broken & F.col("__p").isNotNull(), F.struct(*[F.col(f"__p.{f.name}").alias(f.name) for f in schema.fields]))
@@ -82,13 +80,13 @@ def route_by_type(df: DataFrame, mapping: Mapping[str, T.StructType], default: s
     token, or a value that does not parse, gives a ``route_error``.
     """
     token = header_text(F.col("headers"), TYPE_HEADER) if use_header else F.lit(None).cast("string")
-    routed = df.withColumn("type_token", F.coalesce(token, F.lit(default)))
+    routed = compute_once(df, type_token=F.coalesce(token, F.lit(default)))
     text = F.col(value).cast("string")
-    out = routed
+    parses = {}
     for name, schema in mapping.items():
         wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-        parsed = F.from_json(F.when(F.col("type_token") == name, text), wide, {"columnNameOfCorruptRecord": _CORRUPT})
-        out = out.withColumn(f"as_{name}", parsed)
+        parses[f"as_{name}"] = F.from_json(F.when(F.col("type_token") == name, text), wide, {"columnNameOfCorruptRecord": _CORRUPT})
+    out = compute_once(routed, **parses)
     corrupt = F.coalesce(*[F.col(f"as_{n}")[_CORRUPT] for n in mapping])
     error = (
         F.when(F.col("type_token").isNull(), "no type token")

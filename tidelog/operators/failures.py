@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.headers import with_headers
 from tidelog.operators.records import fails_on
 from tidelog.plans import scans
+from tidelog.plans.once import compute_once
 from tidelog.sources.log import append_log
 
 PART = ["topic", "partition"]
@@ -34,13 +36,20 @@ class RetryPolicy:
     retries: int = 3
     fatal: tuple[str, ...] = (FATAL, UNDECODABLE)
 
+    def delays(self) -> list[int]:
+        return [int(min(self.initial_ms * self.multiplier ** i, self.max_ms)) for i in range(self.retries)]
+
     def delay(self, retry: Column) -> Column:
-        return F.least(F.lit(self.initial_ms) * F.pow(F.lit(self.multiplier), retry - 1), F.lit(self.max_ms)).cast("bigint")
+        """Wait before retry 1, 2, ...; the schedule is a literal, looked up by position."""
+        return F.get(_longs(self.delays()), retry - 1)
 
     def due(self, attempt: Column) -> Column:
         """Time from the first attempt to this one."""
-        retries = F.when(attempt > 1, F.sequence(F.lit(1), (attempt - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(F.transform(retries, self.delay), F.lit(0).cast("bigint"), lambda a, d: a + d)
+        return F.get(_longs([0, *accumulate(self.delays())]), attempt - 1)
+
+
+def _longs(values: Sequence[int]) -> Column:
+    return F.array(*[F.lit(v).cast("bigint") for v in values]).cast("array<bigint>")
 
 
 def classify_error(error: Column, retryable: Sequence[str], fatal: Sequence[str], unknown: str = "retry") -> Column:
@@ -64,18 +73,24 @@ def scripted_handler(attempt: Column) -> Column:
 
 
 def with_attempts(df: DataFrame, handler: Callable[[Column], Column], policy: RetryPolicy) -> DataFrame:
-    """Add ``attempts``: (attempt, error, due_ms) up to the first success, fatal error or the last retry.
+    """Add ``attempts``: (attempt, error, due_ms, delay_ms) up to the first success, fatal error or the last retry.
 
     An undecodable record keeps its error as attempt 0: no handler call happened.
     """
-    tries = F.transform(F.sequence(F.lit(1), F.lit(policy.retries + 1)), lambda a: F.struct(
-        a.alias("attempt"), handler(a).alias("error"), policy.due(a).alias("due_ms")))
-    ends = F.filter(tries, lambda t: t["error"].isNull() | t["error"].isin(*policy.fatal))
-    last = F.coalesce(F.try_element_at(ends, F.lit(1))["attempt"], F.lit(policy.retries + 1))
-    called = F.slice(tries, F.lit(1), last)
-    poison = F.array(F.struct(F.lit(0).alias("attempt"), F.lit(UNDECODABLE).alias("error"),
-                              F.lit(0).cast("bigint").alias("due_ms")))
-    return df.withColumn("attempts", F.when(handler(F.lit(1)) == UNDECODABLE, poison).otherwise(called))
+    waits = [0, *policy.delays()]
+    dues = list(accumulate(waits))
+    errors = compute_once(df, __errors=F.array(*[handler(F.lit(a)) for a in range(1, policy.retries + 2)]))
+    error = [F.get("__errors", F.lit(i)) for i in range(policy.retries + 1)]
+    tries = F.array(*[
+        F.struct(F.lit(i + 1).alias("attempt"), e.alias("error"), F.lit(dues[i]).cast("bigint").alias("due_ms"),
+                 F.lit(waits[i]).cast("bigint").alias("delay_ms")) for i, e in enumerate(error)])
+    last = F.lit(policy.retries + 1)
+    for i, e in reversed(list(enumerate(error[:-1]))):
+        last = F.when(e.isNull() | e.isin(*policy.fatal), i + 1).otherwise(last)
+    zero = F.lit(0).cast("bigint")
+    poison = F.array(F.struct(F.lit(0).alias("attempt"), F.lit(UNDECODABLE).alias("error"), zero.alias("due_ms"), zero.alias("delay_ms")))
+    attempts = F.when(error[0] == UNDECODABLE, poison).otherwise(F.slice(tries, F.lit(1), last))
+    return compute_once(errors, attempts=attempts).drop("__errors")
 
 
 def final_error(attempts: str = "attempts") -> Column:
@@ -116,7 +131,7 @@ def retry_topic_entries(log: DataFrame, handler: Callable[[Column], Column], pol
     calls = F.transform(F.filter("attempts", lambda t: t["attempt"] > 0), lambda t: F.struct(
         t["attempt"].alias("attempt"), t["error"].alias("error"), t["due_ms"].alias("due_ms"),
         F.when(t["attempt"] == 1, F.col("topic")).otherwise(
-            F.concat(F.col("topic"), F.lit("-retry-"), policy.delay(t["attempt"] - 1).cast("string"))).alias("via")))
+            F.concat(F.col("topic"), F.lit("-retry-"), t["delay_ms"].cast("string"))).alias("via")))
     parked = F.array(F.struct(last["attempt"].alias("attempt"), last["error"].alias("error"), last["due_ms"].alias("due_ms"),
                               F.concat(F.col("topic"), F.lit("-dlt")).alias("via")))
     entries = F.explode(F.when(dead, F.concat(calls, parked)).otherwise(calls)).alias("e")

@@ -34,12 +34,11 @@ def rewind(commits: DataFrame, log_bounds: DataFrame, group: str, at: Column, or
 
 
 def lag(log_bounds: DataFrame, commits: DataFrame) -> DataFrame:
-    """Records a group has not committed yet, per partition and in total (``partition`` null)."""
+    """Records a group has not committed yet, per partition and in total (``topic`` and ``partition`` null)."""
     joined = log_bounds.join(commits.select(*PART, "committed"), PART, "left")
-    return (
-        joined.withColumn("behind", F.col("end") - F.coalesce("committed", F.lit(0)))
-        .rollup("partition").agg(F.sum("behind").alias("lag"))
-    )
+    behind = joined.select(*PART, (F.col("end") - F.coalesce("committed", F.lit(0))).alias("behind"))
+    sets = [[F.col("topic"), F.col("partition")], []]
+    return behind.groupingSets(sets, "topic", "partition").agg(F.sum("behind").alias("lag"))
 
 
 def offsets_for_time(log: DataFrame, at: Column) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.plans import scans
+from tidelog.plans.once import compute_once
 
 ACCEPT, RELEASE, REJECT, RENEW = "ACCEPT", "RELEASE", "REJECT", "RENEW"
 TYPE_CODES = {ACCEPT: 0, RELEASE: 1, REJECT: 2}
@@ -69,12 +70,13 @@ def queue_worker(records: DataFrame, decide: Callable[[Column], Column], limit:
     ``decide`` maps the delivery count to an ack; null (the decider failed) counts as RELEASE. All deliveries of
     a record are worked out in its own row, without a shuffle.
     """
-    tries = F.transform(F.sequence(F.lit(1), F.lit(limit)), lambda d: F.struct(
-        d.alias("delivery"), F.coalesce(decide(d), F.lit(RELEASE)).alias("type")))
-    ends = F.filter(tries, lambda t: t["type"] != RELEASE)
-    last = F.coalesce(F.try_element_at(ends, F.lit(1))["delivery"], F.lit(limit))
-    return records.select("*", F.explode(F.slice(tries, F.lit(1), last)).alias("t")).select(
-        *records.columns, F.col("t.delivery").alias("delivery"), F.col("t.type").alias("type"))
+    types = compute_once(records, __types=F.array(*[F.coalesce(decide(F.lit(d)), F.lit(RELEASE)) for d in range(1, limit + 1)]))
+    kind = [F.get("__types", F.lit(i)) for i in range(limit)]
+    tries = F.array(*[F.struct(F.lit(i + 1).alias("delivery"), k.alias("type")) for i, k in enumerate(kind)])
+    last = F.lit(limit)
+    for i, k in reversed(list(enumerate(kind[:-1]))):
+        last = F.when(k != RELEASE, i + 1).otherwise(last)
+    return types.select(*records.columns, F.inline(F.slice(tries, F.lit(1), last)))
 
 
 def judge_acks(acks: DataFrame, ids: Sequence[str], order: str, lock_us: int,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.keys import key_family, key_number
+from tidelog.plans.once import compute_once
 
 
 def map_value(df: DataFrame, value: Column) -> DataFrame:
@@ -63,16 +64,17 @@ def parse_plan(df: DataFrame, key: str = "key") -> DataFrame:
 
     A key outside the grammar, or null, gets a null kind and a ``plan_error``.
     """
-    word = F.regexp_extract(key, SCRIPT_KEY, 1)
-    times = F.regexp_extract(key, SCRIPT_KEY, 2).try_cast("int")
+    parts = compute_once(df, __word=F.regexp_extract(key, SCRIPT_KEY, 1),
+                         __times=F.regexp_extract(key, SCRIPT_KEY, 2).try_cast("int"))
+    word, times = F.col("__word"), F.col("__times")
     kind = (
         F.when(word == "ok", "OK").when(word == "fatal", "FATAL").when(word == "poison", "POISON")
         .when(times.isNotNull(), "FLAKY")
     )
-    return df.select(
-        "*", kind.alias("kind"),
-        F.when(kind == "FLAKY", times).when(kind.isNotNull(), 0).alias("failures"),
-        F.when(kind.isNull(), F.concat(F.lit("not a scripted key: "), F.coalesce(F.col(key), F.lit("null")))).alias("plan_error"))
+    return compute_once(
+        parts, kind=kind, failures=F.when(kind == "FLAKY", times).when(kind.isNotNull(), 0),
+        plan_error=F.when(kind.isNull(), F.concat(F.lit("not a scripted key: "), F.coalesce(F.col(key), F.lit("null")))),
+    ).drop("__word", "__times")
 
 
 def fails_on(attempt: Column) -> Column:

@@ -73,7 +73,9 @@ SELECT 'routed' AS topic, event_id, 3 AS n_headers, upper(event_type) AS type_he
        NULL::VARCHAR AS absent_header FROM events"""
 SQL["stamp_sent_at"] = "SELECT event_id, (epoch_us(ts) // 1000)::VARCHAR AS sent_at FROM events"
 SQL["top_up"] = f"""
-WITH ids AS (SELECT 'customer-' || (i % 100) AS key FROM (SELECT unnest(range((SELECT count(*) FROM events))) AS i)),
+WITH total AS (SELECT count(*) AS n FROM events),
+ids AS (SELECT 'customer-' || (i % 100) AS key FROM (
+  SELECT unnest(range((SELECT n // 3 FROM total))) AS i UNION ALL SELECT unnest(range((SELECT n - n // 3 FROM total))))),
 {hashes('ids', 'key')}
 SELECT 'seed' AS topic, ((h & 2147483647) % 6)::INT AS "partition", 0::BIGINT AS "begin", count(*) AS "end", count(*) AS records
 FROM ids JOIN hashed USING (key) GROUP BY ALL"""
@@ -184,10 +186,9 @@ SELECT count(*) AS committed_rows, count(DISTINCT key || ':' || (event_id % 3))
        count(*) - count(DISTINCT key || ':' || (event_id % 3)) AS duplicates, (SELECT count(*) FROM log6) AS all_rows FROM visible""",
        TXN_KEY, TXN)
 on_log("lag", """
-SELECT "partition", lag FROM (SELECT e."partition", ("end" - coalesce(committed, 0))::BIGINT AS lag
-                              FROM ends e LEFT JOIN commits c ON e."partition" = c."partition")
+SELECT e.topic, e."partition", ("end" - coalesce(committed, 0))::BIGINT AS lag FROM ends e LEFT JOIN commits c ON e."partition" = c."partition"
 UNION ALL
-SELECT NULL, sum("end" - coalesce(committed, 0))::BIGINT FROM ends e LEFT JOIN commits c ON e."partition" = c."partition\"""", more=ENDS)
+SELECT NULL, NULL, sum("end" - coalesce(committed, 0))::BIGINT FROM ends e LEFT JOIN commits c ON e."partition" = c."partition\"""", more=ENDS)
 on_log("offsets_for_time", """
 SELECT topic, "partition", coalesce(min("offset") FILTER (ts >= TIMESTAMP '2024-01-30 20:00:00'), max("offset") + 1) AS "start",
        max("offset") + 1 AS "end" FROM log6 GROUP BY ALL""")

@@ -95,7 +95,9 @@ def top_up(spark: SparkSession, path: str, topic: str, n: int, target: int, size
     present = read_log(spark, path, topic).count() if exists(spark, path) else 0
     if present >= target:
         return present
-    rows = gen_payload(spark.range(present, target), "id", size, cardinality).select(
+    # Keys count from the first missing row, sequence numbers go on from what is there.
+    rows = gen_payload(spark.range(present, target), "id", size, cardinality).withColumn(
+        "key", customer_key(F.col("seq") - present, cardinality)).select(
         F.lit(topic).alias("topic"), key_partition(F.col("key"), n).alias("partition"),
         (F.current_timestamp() if at is None else at).alias("timestamp"), "key", "value", "seq")
     append_log(rows, path, "seq", n)

@@ -36,7 +36,7 @@ class RetryProcessor(StatefulProcessor):
         self.waiting = handle.getValueState("waiting", "attempt int, payload string")
 
     def _delay(self, retry: int) -> int:
-        return int(min(self.policy.initial_ms * self.policy.multiplier ** (retry - 1), self.policy.max_ms))
+        return self.policy.delays()[retry - 1]
 
     def _try(self, id_: str, payload: str, attempt: int, now_ms: int) -> pd.DataFrame:
         error = self.handler(id_, payload, attempt)
