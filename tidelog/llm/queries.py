@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import quality
+import public_tokenizers
+
+from tidelog.llm import lm, packing, quality
 from tidelog.llm.common import table
 from tidelog.llm.decontaminate import decontaminate
 from tidelog.llm.linededup import LineDedup
@@ -31,6 +33,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("verdict")).drop("verdict")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The documents' pieces packed into sequences of 4096 tokens; every document ends with id 1."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(packing.pieces(docs, path, length=4096, end_id=1, drops_space=True), 4096)
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages, CONTRACT_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -42,4 +54,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_quality_rules, op8_url_rules, op9_line_dedup)}
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7))
+    return lm.score(docs, held_out=fold == 2, tuning=fold == 3)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_quality_rules, op5_best_fit_packing, op8_url_rules, op9_line_dedup, op10_lm_score)}
