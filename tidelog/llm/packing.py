@@ -31,7 +31,7 @@ NEARLY_FULL = 8
 #: Word forms whose ids a Python worker remembers.
 CACHE_WORDS = 600_000
 #: White space that libraries read differently, and the start of special tokens: such texts are encoded as they are.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0  -     　]|<\\|")
+_ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|<\\|")
 
 
 class WordEncoder:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import lm, packing, quality
+from tidelog.llm import langid, lm, packing, quality
 from tidelog.llm.common import table
 from tidelog.llm.decontaminate import decontaminate
 from tidelog.llm.linededup import LineDedup
@@ -43,6 +43,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3)) == 1
+    return langid.identify(docs.withColumn("held_out", held), ~held, keep=("held_out",))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages, CONTRACT_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -60,4 +66,4 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, held_out=fold == 2, tuning=fold == 3)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_quality_rules, op5_best_fit_packing, op8_url_rules, op9_line_dedup, op10_lm_score)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_quality_rules, op5_best_fit_packing, op6_language_id, op8_url_rules, op9_line_dedup, op10_lm_score)}
