@@ -10,6 +10,7 @@ import public_tokenizers
 from tidelog.llm import langid, lm, packing, quality
 from tidelog.llm.common import table
 from tidelog.llm.decontaminate import decontaminate
+from tidelog.llm.extract import extract
 from tidelog.llm.linededup import LineDedup
 from tidelog.llm.urls import CONTRACT_RULES, filter_urls
 
@@ -33,6 +34,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("verdict")).drop("verdict")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """The documents' pieces packed into sequences of 4096 tokens; every document ends with id 1."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -66,4 +71,4 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, held_out=fold == 2, tuning=fold == 3)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_quality_rules, op5_best_fit_packing, op6_language_id, op8_url_rules, op9_line_dedup, op10_lm_score)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_quality_rules, op4_html_text, op5_best_fit_packing, op6_language_id, op8_url_rules, op9_line_dedup, op10_lm_score)}
