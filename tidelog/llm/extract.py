@@ -39,7 +39,7 @@ GOOD_NAMES = set("article articlebody post entry story content main maincontent"
 PLACE, OUTER, WORDS, LINKS, SENTENCE, PROSE, RIGHTS, BIAS = 6.0, 1.0, 0.1, 5.0, 1.0, 1.0, 3.0, 1.2
 PROSE_TAGS = set("p blockquote pre h1 h2 h3 h4 h5 h6 figcaption".split())
 #: Smoothness: between neighbours, and between the next blocks of one parent, halved for each further level.
-NEXT, PROXIMITY = 0.6, 1.0
+NEXT, PROXIMITY = 0.3, 0.8
 
 
 @dataclass
@@ -70,7 +70,7 @@ class _Page:
         text = " ".join(entities.unescape("".join(t for t, _ in parts)).split())
         if text:
             linked = sum(len(t) for t, link in parts if link) / max(1, sum(len(t) for t, _ in parts))
-            self.blocks.append(Block(text, tuple(o.number for o in self.stack), _score(text, linked, self.stack)))
+            self.blocks.append(Block(text, tuple(o.number for o in self.stack if o.name not in ("html", "body")), _score(text, linked, self.stack)))
 
 
 def _sign(name: str, attrs: str) -> int:
@@ -171,7 +171,7 @@ def _edges(blocks: list[Block]) -> dict[tuple[int, int], float]:
             out[i - 1, i] = out.get((i - 1, i), 0.0) + NEXT
         weight = PROXIMITY
         # The block's own element stands last; the ones above it are shared with other blocks.
-        for depth in range(len(block.path) - 2, max(0, len(block.path) - 5), -1):
+        for depth in range(len(block.path) - 2, max(-1, len(block.path) - 5), -1):
             node = block.path[depth]
             if node in last and last[node] != i:
                 out[last[node], i] = out.get((last[node], i), 0.0) + weight
