@@ -74,11 +74,28 @@ cleaned AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (k IN (SELECT k
                    coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (k NOT IN (SELECT k FROM hot)), '') AS kept FROM lk GROUP BY doc_id)"""
 
 
+def near(docs: str) -> str:
+    """CTE near (doc_id, class_id, n_links): links of five-word shingles at 0.8, and the least id that links lead to."""
+    return f"""
+nw AS (SELECT doc_id, {_item_words('text')} AS w FROM {docs}),
+sh AS (SELECT DISTINCT doc_id, list_slice(w, s + 1, least(s + 5, len(w))) AS x FROM
+       (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS s FROM nw WHERE len(w) > 0)),
+sn AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM sh a JOIN sh b ON a.x = b.x AND a.doc_id <> b.doc_id
+         JOIN sn p ON p.doc_id = a.doc_id JOIN sn q ON q.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, p.n, q.n
+         HAVING 5 * count(*) >= 4 * (p.n + q.n - count(*))),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+near AS (SELECT d.doc_id, least(d.doc_id, coalesce(r.m, d.doc_id)) AS class_id, coalesce(l.n, 0) AS n_links FROM {docs} d
+         LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = d.doc_id LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) l ON l.a = d.doc_id)"""
+
+
 SQL = {
     "op1_decontaminate": f"""WITH {hits('documents', 'benchmark')}
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
        sha256(array_to_string(coalesce(ids, []), ',')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op2_ngram_join": f"""WITH RECURSIVE {near('documents')}
+SELECT doc_id, class_id, n_links FROM near""",
     "op3_quality_rules": f"""WITH {measures('documents')}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND verdict AS kept FROM judged""",
     "op8_url_rules": """

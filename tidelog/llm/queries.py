@@ -12,6 +12,7 @@ from tidelog.llm.common import table
 from tidelog.llm.decontaminate import decontaminate
 from tidelog.llm.extract import extract
 from tidelog.llm.linededup import LineDedup
+from tidelog.llm.ngram_join import near_duplicates
 from tidelog.llm.urls import CONTRACT_RULES, filter_urls
 
 
@@ -22,6 +23,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "class_id", "n_links")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     stems = quality.toxic_stems(docs, table(spark, sf_dir, "labels"))
@@ -71,4 +77,4 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, held_out=fold == 2, tuning=fold == 3)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_quality_rules, op4_html_text, op5_best_fit_packing, op6_language_id, op8_url_rules, op9_line_dedup, op10_lm_score)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_quality_rules, op4_html_text, op5_best_fit_packing, op6_language_id, op8_url_rules, op9_line_dedup, op10_lm_score)}
