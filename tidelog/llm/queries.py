@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import langid, lm, packing, quality
+from tidelog.llm import langid, lm, packing, pii, quality
 from tidelog.llm.common import table
 from tidelog.llm.decontaminate import decontaminate
 from tidelog.llm.extract import extract
@@ -60,6 +60,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.withColumn("held_out", held), ~held, keep=("held_out",))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.summarize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages, CONTRACT_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -77,4 +82,4 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, held_out=fold == 2, tuning=fold == 3)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_quality_rules, op4_html_text, op5_best_fit_packing, op6_language_id, op8_url_rules, op9_line_dedup, op10_lm_score)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_quality_rules, op4_html_text, op5_best_fit_packing, op6_language_id, op7_personal_data, op8_url_rules, op9_line_dedup, op10_lm_score)}
