@@ -200,7 +200,8 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
              F.concat(F.lit("kind="), "kind", F.lit(",v1="), F.col("v1").cast("string")), F.concat(F.lit("kind="), "kind", F.lit(",length="), F.col("length").cast("string"))]
     odds = sum((F.coalesce(F.try_element_at(table, n), F.lit(0.0)) for n in names), F.lit(0.0))
     judged = voted.select("key", "kind", "start", "end", (F.col("ok") & ~F.col("wide")).alias("base"), odds.alias("odds"))
-    judged = judged.where(F.col("base") | (F.col("odds") >= math.log(ADD / (1 - ADD))))
+    # An address with a part beyond 255 is none, whatever the votes.
+    judged = judged.where(F.col("base") | ((F.col("kind") != "ip") & (F.col("odds") >= math.log(ADD / (1 - ADD)))))
     order = W.partitionBy("key").orderBy("start", F.desc("base"), F.desc("end"), "kind")
     past, ahead = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(1, W.unboundedFollowing)
     clear = (F.coalesce(F.max("end").over(past), F.lit(0)) <= F.col("start")) & (
