@@ -46,7 +46,7 @@ FOR = {
     "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|karte|carte|tarjeta|payment)\b",
     "phone": r"(?i)\b(?:phone|tel|telephone|call|mobile|cell|fax|telefon|tél|teléfono|whatsapp)\b",
 }
-AGAINST = r"(?i)(?:\b(?:version|release|section|chapter|figure|table|isbn|issn|order|invoice|serial|article|paragraph|page|build)\b[^.]{0,12}|[$€£]\s?|\bv\.?\s?)$"
+AGAINST = r"(?i)(?:\b(?:version|release|section|chapter|figure|table|isbn|issn|order|invoice|serial|article|paragraph|page|build)\b[^\n]{0,12}|[$€£]\s?|\bv\.?\s?)$"
 LABELERS = 5
 #: A span beyond the base is added from this probability.
 ADD = 0.9
