@@ -28,8 +28,8 @@ SHINGLE = 5
 #: Linked: the shingles in common are at least NEAR[0] / NEAR[1] of those of either.
 NEAR = (4, 5)
 TREES, DEPTH, TARGET = 32, 8, 0.99999
-#: Shingles of a block that are compared with another block's in one task, and shingles that a task gets about.
-BLOCK, TASK = 4_000_000, 3_000_000
+#: Shingles and sets of a block that is compared with another block in one task, and shingles that a task gets about.
+BLOCK, BLOCK_SETS, TASK = 1_000_000, 500, 3_000_000
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans(UPPER, UPPER.lower())
 
@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     hubs = entries.groupBy("prefix").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top")
     candidates = components(entries.join(hubs, "prefix").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     members = classes.drop("keys", "least").join(candidates, "node")
-    totals = members.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    totals = members.groupBy("root").agg(F.ceil(F.greatest(F.sum("n") / BLOCK, F.count("*") / BLOCK_SETS)).cast("int").alias("blocks"))
     members = written(members.join(totals, "root").withColumn("b", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("blocks")).cast("int")).select(
         "key", "cls", "size", "n", "b", F.col("root").alias("comp"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .withColumns({"i": F.least("b", "other"), "j": F.greatest("b", "other")}).drop("other"))
