@@ -7,7 +7,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidelog.operators import failures, queue
-from tidelog.sources import generate, log as source
+from tidelog.sources import generate, log as source, sinks
 from tidelog.streaming import deliver as d
 from tidelog.streaming import progress, state
 
@@ -105,13 +105,63 @@ def test_dedup_over_shuffled_files_keeps_every_id(spark, folder):
     assert out.count() == 1000 and out.select("offset").distinct().count() == 1000
 
 
-def test_latest_starts_behind_the_current_end(spark, folder):
-    path = write_records(spark, folder, 300, 100)
-    stream = source.read_log_stream(spark, path, policy="latest")
-    rows = spark.range(300, 320).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+def append_range(spark, path, begin, end):
+    rows = spark.range(begin, end).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
     source.with_log_columns(rows).write.mode("append").parquet(path)
+
+
+def test_latest_starts_behind_the_end_once_and_for_all(spark, folder):
+    path = write_records(spark, folder, 300, 100)
+    stream = lambda: source.read_log_stream(spark, path, policy="latest", starts=folder + "/starts")
+    first = stream()
+    append_range(spark, path, 300, 310)
+    d.drain(d.exactly_once(first, lambda s: s.select("offset"), folder + "/out", folder + "/checkpoint"))
+    append_range(spark, path, 310, 350)  # while the query is down
+    d.drain(d.exactly_once(stream(), lambda s: s.select("offset"), folder + "/out", folder + "/checkpoint"))
+    assert sorted(r[0] for r in spark.read.parquet(folder + "/out").collect()) == list(range(300, 350))
+
+
+def test_stream_starts_from_commits(spark, folder):
+    path = write_records(spark, folder, 300, 100)
+    commits = spark.createDataFrame([("a", "t", 0, 40, 1), ("a", "t", 0, 30, 2), ("b", "t", 0, 299, 1)], "group string, topic string, partition int, committed bigint, committed_at int")
+    stream = source.read_log_stream(spark, path, policy="none", commits=commits, group="a", starts=folder + "/starts")
     d.drain(d.exactly_once(stream, lambda s: s.select("offset"), folder + "/out", folder + "/checkpoint"))
-    assert sorted(r[0] for r in spark.read.parquet(folder + "/out").collect()) == list(range(300, 320))
+    assert sorted(r[0] for r in spark.read.parquet(folder + "/out").collect()) == list(range(30, 300))
+    with pytest.raises(ValueError):
+        source.read_log_stream(spark, path, commits=commits, starts=folder + "/other")
+    with pytest.raises(Exception, match="no committed offset"):
+        source.read_log_stream(spark, path, policy="none", starts=folder + "/none")
+
+
+def test_at_most_once_skips_only_rows_that_were_started(spark, folder):
+    path = write_records(spark, folder, 10, 10)
+    run = lambda n: d.drain(d.deliver(source.read_log_stream(spark, path), d.append_effect(folder + "/effects"), d.AT_MOST_ONCE, f"{folder}/checkpoint{n}", started=folder + "/started"))
+    run(1)
+    append_range(spark, path, 10, 20)
+    run(2)
+    assert sorted(r["offset"] for r in spark.read.parquet(folder + "/effects").collect()) == list(range(20))
+
+
+def test_transactions_take_all_rows_or_none(spark, folder):
+    rows = spark.createDataFrame([(0, 1), (7, 2), (None, 3)], "partition int, id int")
+    with pytest.raises(ValueError, match="partition"):
+        sinks.atomic_append({"t": rows}, folder + "/log", folder + "/markers", "t1", "id", 3)
+    assert not source.exists(spark, folder + "/log") and not source.exists(spark, folder + "/markers")
+
+
+def test_progress_keeps_every_batch(spark, folder):
+    write_records(spark, folder, 120, 1)
+    recorder = progress.ProgressRecorder(spark, folder + "/progress", every=50)
+    spark.streams.addListener(recorder)
+    try:
+        stream = spark.readStream.schema(source.LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder + "/in")
+        query = d.drain(d.exactly_once(stream, lambda s: s, folder + "/out", folder + "/checkpoint"))
+        recorder.wait_for_end(query)
+    finally:
+        spark.streams.removeListener(recorder)
+    recorder.flush(spark, folder + "/progress")
+    table = progress.progress_table(spark, folder + "/progress", query)
+    assert table.agg(F.sum("input_rows")).first()[0] == 120 and table.filter("input_rows > 0").count() == 120
 
 
 def test_progress_rows_and_cadence(spark, folder):
@@ -122,24 +172,19 @@ def test_progress_rows_and_cadence(spark, folder):
         per_file = d.rate_limits("files", max_files=1)
         stream = spark.readStream.schema(source.LOG_SCHEMA).options(**per_file).parquet(path)
         query = d.drain(d.exactly_once(stream, lambda s: s, folder + "/out", folder + "/checkpoint"))
-        table = progress.progress_table(spark, query).filter("input_rows > 0")
-        assert [r["input_rows"] for r in table.orderBy("batch_id").collect()] == [100] * 6
         assert spark.read.parquet(folder + "/out").count() == 600
-        for _ in range(50):
-            if recorder.terminated:
-                break
-            import time
-            time.sleep(0.1)
+        recorder.wait_for_end(query)
         assert recorder.flush(spark, folder + "/progress") >= 6
     finally:
         spark.streams.removeListener(recorder)
-    assert spark.read.parquet(folder + "/progress").agg(F.sum("input_rows")).first()[0] == 600
+    table = progress.progress_table(spark, folder + "/progress", query).filter("input_rows > 0")
+    assert [r["input_rows"] for r in table.orderBy("batch_id").collect()] == [100] * 6
     assert d.rate_limits("kafka", max_rows=10, min_rows=5, max_wait="1s") == {
         "maxOffsetsPerTrigger": "10", "minOffsetsPerTrigger": "5", "maxTriggerDelay": "1s"}
 
 
 def test_retry_topics_with_timers(spark, folder):
-    from tidelog.streaming.queries import _handle_script, wait_until_quiet
+    from tidelog.streaming.queries import _handle_script, wait_until_settled
 
     state.use_rocksdb(spark)
     keys = ["ok-1", "flaky2-2", "flaky9-3", "ok-4", "fatal-5", "poison-6"]
@@ -150,7 +195,7 @@ def test_retry_topics_with_timers(spark, folder):
     query = entries.writeStream.format("parquet").option("path", folder + "/out").option("checkpointLocation", folder + "/checkpoint").trigger(
         processingTime="300 milliseconds").start()
     try:
-        wait_until_quiet(query)
+        wait_until_settled(query)
     finally:
         query.stop()
     rows = spark.read.parquet(folder + "/out").collect()
@@ -161,6 +206,21 @@ def test_retry_topics_with_timers(spark, folder):
     assert by_key["poison-6"] == [(0, "t-dlt")]
 
 
+def test_records_of_one_id_wait_side_by_side(spark, folder):
+    from tidelog.streaming.queries import _handle_script, wait_until_settled
+
+    state.use_rocksdb(spark)
+    spark.createDataFrame([("same", "flaky9-1"), ("same", "flaky9-2"), ("same", "flaky1-3")], "id string, payload string").coalesce(1).write.parquet(folder + "/in")
+    entries = state.retry_topics(spark.readStream.schema("id string, payload string").parquet(folder + "/in"), "t", _handle_script, failures.RetryPolicy(initial_ms=100, max_ms=400))
+    query = entries.writeStream.format("parquet").option("path", folder + "/out").option("checkpointLocation", folder + "/checkpoint").trigger(processingTime="200 milliseconds").start()
+    try:
+        wait_until_settled(query)
+    finally:
+        query.stop()
+    counts = {r["payload"]: r["count"] for r in spark.read.parquet(folder + "/out").groupBy("payload").count().collect()}
+    assert counts == {"flaky9-1": 5, "flaky9-2": 5, "flaky1-3": 2}
+
+
 def test_queue_state_stream_equals_batch(spark, folder):
     state.use_rocksdb(spark)
     rows = []

@@ -40,19 +40,19 @@ def delivery_audit(expected: DataFrame, seen: DataFrame, ids: Sequence[str], by:
 def skip_handled(df: DataFrame, ledger: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Rows whose id is not in the ledger, one per id."""
     ids = list(ids)
-    return df.dropDuplicates(ids).join(ledger.select(*ids).distinct(), ids, "left_anti")
+    return df.dropDuplicates(ids).join(ledger.select(*ids), ids, "left_anti")
 
 
 def dedup_retries(log: DataFrame, producer: str = "producer_id", sequence: str = "sequence") -> DataFrame:
     """One copy per (producer, partition, sequence): the one with the lowest offset.
 
-    The copy is picked by a partial aggregate, so copies of one record collapse before the shuffle."""
+    A record without a producer id or sequence number is no retry of anything and stays. One aggregate picks the
+    copy with all its columns, so copies of one record collapse before the shuffle."""
     keys = ["topic", "partition", producer, sequence]
-    first = log.groupBy(*keys).agg(F.min("offset").alias("offset"))
-    rest = [c for c in log.columns if c not in (*keys, "offset")]
-    if not rest:
-        return first.select(*log.columns)
-    return log.join(first, [*keys, "offset"], "left_semi").select(*log.columns)
+    numbered = F.col(producer).isNotNull() & F.col(sequence).isNotNull()
+    rest = [c for c in log.columns if c not in keys]
+    first = log.filter(numbered).groupBy(*keys).agg(F.min_by(F.struct(*rest), "offset").alias("__row")).select(*keys, "__row.*")
+    return first.select(*log.columns).unionByName(log.filter(~numbered))
 
 
 def eos_check(committed: DataFrame, everything: DataFrame) -> DataFrame:

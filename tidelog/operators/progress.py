@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.plans import scans
 from tidelog.plans.facts import attach, seek
+from tidelog.sources.log import commits_in_force
 
 PART = ["topic", "partition"]
 
@@ -33,9 +34,11 @@ def rewind(commits: DataFrame, log_bounds: DataFrame, group: str, at: Column, or
     return commits.unionByName(back)
 
 
-def lag(log_bounds: DataFrame, commits: DataFrame) -> DataFrame:
-    """Records a group has not committed yet, per partition and in total (``topic`` and ``partition`` null)."""
-    joined = log_bounds.join(commits.select(*PART, "committed"), PART, "left")
+def lag(log_bounds: DataFrame, commits: DataFrame, group: str | None = None) -> DataFrame:
+    """Records a group has not committed yet, per partition and in total (``topic`` and ``partition`` null).
+
+    ``commits`` may be a history, and may hold several groups of which ``group`` names one."""
+    joined = log_bounds.join(commits_in_force(commits, group), PART, "left")
     behind = joined.select(*PART, (F.col("end") - F.coalesce("committed", F.lit(0))).alias("behind"))
     sets = [[F.col("topic"), F.col("partition")], []]
     return behind.groupingSets(sets, "topic", "partition").agg(F.sum("behind").alias("lag"))
@@ -43,9 +46,10 @@ def lag(log_bounds: DataFrame, commits: DataFrame) -> DataFrame:
 
 def offsets_for_time(log: DataFrame, at: Column) -> DataFrame:
     """First offset with a timestamp at or after ``at`` per partition, its end where there is none."""
-    return log.groupBy(*PART).agg(
-        F.coalesce(F.min(F.when(F.col("timestamp") >= at, F.col("offset"))), F.max("offset") + 1).alias("start"),
-        (F.max("offset") + 1).alias("end"))
+    # The time is a filter of its own, so that it reaches the scan; the ends read offsets alone.
+    after = log.filter(F.col("timestamp") >= at).groupBy(*PART).agg(F.min("offset").alias("__first"))
+    ends = log.groupBy(*PART).agg((F.max("offset") + 1).alias("end"))
+    return ends.join(after, PART, "left").select(*PART, F.coalesce("__first", "end").alias("start"), "end")
 
 
 def last_n_offsets(log_bounds: DataFrame, n: int) -> DataFrame:
@@ -140,11 +144,14 @@ def batch_report(log: DataFrame, max_rows: int) -> DataFrame:
 
 
 def offset_ranges(batch: DataFrame, by: list[str]) -> DataFrame:
-    """``p0[0..499] p2[0..152]`` per group of rows. The text has one part per partition, not per record."""
-    spans = batch.groupBy(*by, "partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))
-    part = F.concat(F.lit("p"), F.col("partition").cast("string"), F.lit("["), F.col("lo").cast("string"), F.lit(".."),
+    """``p0[0..499] p2[0..152]`` per group of rows. The text has one part per partition, not per record.
+
+    Partitions of different topics are never put together: where ``by`` has no topic, parts read ``topic:p0[..]``."""
+    named = "topic" in batch.columns and "topic" not in by
+    spans = batch.groupBy(*by, *(["topic"] if named else []), "partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+    part = F.concat(*([F.col("topic"), F.lit(":")] if named else []), F.lit("p"), F.col("partition").cast("string"), F.lit("["), F.col("lo").cast("string"), F.lit(".."),
                     F.col("hi").cast("string"), F.lit("]"))
-    ordered = F.array_sort(F.collect_list(F.struct("partition", part.alias("text"))))
+    ordered = F.array_sort(F.collect_list(F.struct(*(["topic"] if named else []), "partition", part.alias("text"))))
     return spans.groupBy(*by).agg(F.array_join(F.transform(ordered, lambda s: s["text"]), " ").alias("ranges"))
 
 

@@ -36,12 +36,12 @@ def rank_percentile(df: DataFrame, column: str, probabilities: Sequence[float],
         (F.col("__rank") < F.col("__upto")) & (F.col("__rank") >= F.col("__upto") - F.col("__t"))
     ).select(*by, CHUNK, "p", (F.col("__rank") - (F.col("__upto") - F.col("__t"))).alias("__rank"))
     inside = Window.partitionBy(*by, CHUNK, "p").orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = histogram.join(picks, [*by, CHUNK]).withColumn("__cum", F.sum("__n").over(inside)).filter(
+    found = scans.join_null_safe(histogram, picks, by, [CHUNK]).withColumn("__cum", F.sum("__n").over(inside)).filter(
         (F.col("__rank") < F.col("__cum")) & (F.col("__rank") >= F.col("__cum") - F.col("__n"))
     ).select(*by, "p", F.col(column).alias("__v"))
     groups = df.groupBy(*by).agg(F.count(column).alias("n"))
     slots = groups.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-    return slots.join(found, [*by, "p"], "left").select(
+    return scans.join_null_safe(slots, found, by, ["p"], "left").select(
         *by, "p", "n", F.coalesce(F.col("__v").cast("double"), F.lit(float("nan"))).alias("value"))
 
 

@@ -65,7 +65,11 @@ def visibility_report(log: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def fence_zombies(log: DataFrame, order: str = "log_order", chunk_rows: int = scans.CHUNK_ROWS) -> DataFrame:
-    """Writes whose epoch is not below the highest epoch seen before them for their transactional id."""
-    tracked = scans.scan(log, ["transactional_id"], [order], scans.id_chunk(order, chunk_rows),
+    """Writes whose epoch is not below the highest epoch seen before them for their transactional id.
+
+    Writes without a transactional id or without an epoch are no one's zombies and pass.
+    """
+    tracked = scans.scan(log.filter(F.col("transactional_id").isNotNull()), ["transactional_id"], [order], scans.id_chunk(order, chunk_rows),
                          __highest=scans.running_max(F.col("epoch")))
-    return tracked.filter(F.col("epoch") >= F.col("__highest")).drop("__highest")
+    kept = tracked.filter(F.col("epoch").isNull() | (F.col("epoch") >= F.col("__highest"))).drop("__highest")
+    return kept.unionByName(log.filter(F.col("transactional_id").isNull()))

@@ -84,15 +84,9 @@ SELECT o_orderkey AS seq, 'ORD-' || o_orderkey AS "orderId", 'customer-' || (o_o
        (((10 + o_orderkey % 990 + (o_orderkey % 100) * 100)::DECIMAL(18,0) / 100)::DECIMAL(12,2))::VARCHAR AS "totalAmount",
        'EUR' AS currency, epoch_us(o_orderdate) AS created_us FROM orders"""
 SQL["gen_payload"] = """
-WITH base AS (SELECT event_id AS seq, ['acme','globex','initech','umbrella','hooli','vandelay','wonka'] AS cust,
-                     ['SKU-1001','SKU-1002','SKU-2048','SKU-3141','SKU-4242','SKU-8080'] AS sku FROM events),
-parts AS (
-  SELECT seq, '{"orderId":"ORD-' || seq || '","customerId":"' || cust[seq % 7 + 1] || '","currency":"EUR","status":"CREATED","lines":[' AS head,
-         list_transform(range(0, 9), lambda i: CASE WHEN i > 0 THEN ',' ELSE '' END || '{"sku":"' || sku[(seq + i) % 6 + 1] || '","qty":'
-           || (i % 5 + 1) || ',"unitPrice":' || (9.99::DOUBLE + i) || ',"note":"line item ' || i || ' of order ' || seq || '"}') AS lines
-  FROM base)
-SELECT seq, 'customer-' || (seq % 100) AS key,
-       list_reduce(lines, lambda t, x: CASE WHEN length(t) < 512 - 16 THEN t || x ELSE t END, head) || ']}' AS value FROM parts"""
+SELECT event_id AS seq, 'customer-' || (event_id % 100) AS key,
+       '{"seq":' || event_id || ',"station":"' || ['harbour', 'ridge', 'meadow', 'quarry', 'delta'][event_id % 5 + 1] || '","readings":['
+       || array_to_string(list_transform(range(1, 93), lambda i: 1000 + (event_id * 37 + i * 101) % 9000), ',') || ']}' AS value FROM events"""
 SQL["gen_random"] = """
 SELECT event_id AS seq, 'customer-' || (event_id % 100) AS key,
        left(list_reduce(list_transform(range(0, 3), lambda i: rtrim(to_base64(unhex(sha256('0:' || event_id || ':' || i))), '=')),
@@ -101,11 +95,11 @@ SQL["write_by_type"] = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'bytes' ELSE 'order' END AS kind,
        CASE WHEN o_orderkey % 3 = 0 THEN '{not json' ELSE '{"orderId":"ORD-' || o_orderkey || '","currency":"EUR"}' END AS value FROM orders"""
 SQL["atomic_append"] = """
-SELECT CASE event_type WHEN 'view' THEN 'views' WHEN 'signup' THEN 'signups' ELSE 'clicks' END AS topic, count(*) AS records,
-       'read_uncommitted' AS isolation FROM events WHERE event_type IN ('click', 'view', 'error', 'signup') GROUP BY 1
+SELECT CASE event_type WHEN 'error' THEN 'clicks' ELSE event_type || 's' END AS topic, count(*) AS records,
+       'read_uncommitted' AS isolation FROM events GROUP BY 1
 UNION ALL
 SELECT event_type || 's' AS topic, count(*) AS records, 'read_committed' AS isolation
-FROM events WHERE event_type IN ('click', 'view') GROUP BY 1"""
+FROM events WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1"""
 
 # ---- projections and filters ------------------------------------------------------------------------------------
 
@@ -127,8 +121,8 @@ SELECT event_id, key,
             WHEN key LIKE 'ok-%' OR key LIKE 'fatal-%' OR key LIKE 'poison-%' THEN 0 END::INT AS failures,
        CASE WHEN key IS NULL OR key LIKE 'customer%' THEN 'not a scripted key: ' || coalesce(key, 'null') END AS plan_error FROM k"""
 SQL["narrow"] = """
-SELECT o_orderkey, 'ORD-' || o_orderkey AS "orderId", o_totalprice::DECIMAL(12,2)::VARCHAR AS "totalAmount" FROM orders
-WHERE o_orderkey % 31 <> 0 AND o_orderkey % 29 <> 0"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 31 <> 0 AND o_orderkey % 29 <> 0 THEN 'ORD-' || o_orderkey END AS "orderId",
+       CASE WHEN o_orderkey % 31 <> 0 AND o_orderkey % 29 <> 0 THEN o_totalprice::DECIMAL(12,2)::VARCHAR END AS "totalAmount" FROM orders"""
 
 # ---- partitioning and skew --------------------------------------------------------------------------------------
 
@@ -255,7 +249,8 @@ SQL["metric_table"] = """
 WITH kept AS (SELECT event_type AS run, 'm' || (event_id % 4) AS name, value, event_id FROM events WHERE event_id % 2 = 0)
 SELECT e.run, coalesce((SELECT max_by(value, event_id) FROM kept k WHERE k.run = e.run AND name = 'm0'), 'nan'::DOUBLE) AS m0,
        coalesce((SELECT max_by(value, event_id) FROM kept k WHERE k.run = e.run AND name = 'm1'), 'nan'::DOUBLE) AS m1,
-       coalesce((SELECT max_by(value, event_id) FROM kept k WHERE k.run = e.run AND name = 'm2'), 'nan'::DOUBLE) AS m2
+       coalesce((SELECT max_by(value, event_id) FROM kept k WHERE k.run = e.run AND name = 'm2'), 'nan'::DOUBLE) AS m2,
+       coalesce((SELECT max_by(value, event_id) FROM kept k WHERE k.run = e.run AND name = 'm3'), 'nan'::DOUBLE) AS m3
 FROM (SELECT DISTINCT event_type AS run FROM events) e"""
 SQL["metric_sum"] = """
 SELECT event_type AS run, sum(round(value * 100)::BIGINT)::BIGINT AS total, count(*) AS samples FROM events
@@ -548,13 +543,15 @@ SQL["process_unordered"] = "SELECT event_id, event_id * 2 AS twice FROM events"
 
 SQL["stream_exactly_once"] = "SELECT event_id, upper(event_type) AS value FROM events"
 SQL["stream_dedup"] = "SELECT event_id, user_id FROM events"
+SQL["stream_append_rejects"] = """
+SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'no partition' WHEN event_id % 19 = 0 THEN 'partition out of range' END AS reason FROM events"""
 SQL["stream_at_least_once"] = "SELECT event_id, 2 AS effects FROM events"
 SQL["stream_at_most_once"] = "SELECT event_id, 1 AS effects FROM events"
 SQL["stream_effectively_once"] = "SELECT event_id, 1 AS effects FROM events"
 SQL["stream_retry_entries"] = SQL["retry_topics"]
 SQL["stream_retry_topics"] = f"""WITH {RETRY}
 SELECT event_id, attempt, error,
-       CASE WHEN attempt = 1 THEN 'orders' ELSE 'orders-retry-' || (200 * power(2, attempt - 2))::INT END AS via FROM tries WHERE attempt > 0
+       CASE WHEN attempt = 1 THEN 'orders' ELSE 'orders-retry-' || (1000 * power(2, attempt - 2))::INT END AS via FROM tries WHERE attempt > 0
 UNION ALL
 SELECT event_id, calls::INT, final_error, 'orders-dlt' FROM rl WHERE final_error IS NOT NULL"""
 on_log("stream_queue_state", """

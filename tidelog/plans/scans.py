@@ -38,12 +38,15 @@ def id_chunk(id_column: str | Column, rows: int = CHUNK_ROWS) -> Column:
 def with_chunk(df: DataFrame, column: str, out: str, rows: int = CHUNK_ROWS) -> DataFrame:
     """Add a chunk number that follows the order of a unique column of any integer, float or time type.
 
-    Integers are divided, without looking at the data. Other types are cut at approximate quantiles: one pass over
-    that column alone, which brings back only the cut points. Rounding a value to double keeps the order, so
-    results are exact whatever the cuts are; they only balance the chunks.
+    Integers that lie densely (their span is within four times their number, as one aggregate tells) are divided.
+    Sparse ones and other types are cut at approximate quantiles: one pass over that column alone, which brings back
+    only the cut points. Rounding a value to double keeps the order, so results are exact whatever the cuts are; they
+    only balance the chunks.
     """
     if isinstance(df.schema[column].dataType, T.IntegralType):
-        return df.withColumn(out, id_chunk(column, rows))
+        low, high, n = df.agg(F.min(column), F.max(column), F.count(column)).first()
+        if n == 0 or high - low < 4 * n:
+            return df.withColumn(out, id_chunk(column, rows))
     return with_value_chunk(df, column, out, rows)
 
 
@@ -105,14 +108,31 @@ def following(column: Column) -> Step:
     return Step("following", column)
 
 
+def _filler(kind: T.DataType) -> Column:
+    """Some value of a type, to stand where a key is null."""
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    return F.lit("").cast(kind) if isinstance(kind, (T.StringType, T.BinaryType)) else F.lit(0).cast(kind)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, by: Sequence[str], more: Sequence[str] = (), how: str = "inner") -> DataFrame:
+    """An equi-join under which the null groups of both sides meet; the key columns come from the left."""
+    renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in (*by, *more)})
+    same = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in by] + [F.col(c) == F.col(f"__r_{c}") for c in more]
+    return left.join(renamed, same, how).drop(*[f"__r_{c}" for c in (*by, *more)])
+
+
 def scan(df: DataFrame, by: Sequence[str], order: Sequence[str], chunk: Column, **steps: Step) -> DataFrame:
     """Add one column per step, computed along ``order`` inside each group of ``by``.
 
-    ``by`` columns must not be null and ``order`` must identify a row inside its group.
+    Rows with a null in ``by`` form groups like any others. ``order`` must identify a row inside its group.
     """
-    by = list(by)
     kept = df.columns
-    chunked = df.withColumn(CHUNK, chunk)
+    # Keys without nulls: every shuffle, window and join below then has the same ones, and null groups meet.
+    nulls = sum((F.col(c).isNull().cast("int") * 2 ** i for i, c in enumerate(by)), F.lit(0))
+    filled = {f"__by_{i}": F.coalesce(F.col(c), _filler(df.schema[c].dataType)) for i, c in enumerate(by)}
+    chunked = df.withColumns({**filled, "__nulls": nulls, CHUNK: chunk})
+    by = [*filled, "__nulls"]
     keys = by + [CHUNK]
     inside = Window.partitionBy(*keys).orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)

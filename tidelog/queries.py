@@ -113,8 +113,9 @@ def stamp_sent_at(spark, sf):
 def top_up(spark, sf):
     """A log topped up in two steps to as many rows as there are events."""
     path, total = shared_folder(spark), w.table(spark, sf, "events").count()
-    generate.top_up(spark, path, "seed", w.PARTITIONS, total // 3, size=200)
-    generate.top_up(spark, path, "seed", w.PARTITIONS, total, size=200)
+    ids = w.table(spark, sf, "events").select(F.col("event_id").alias("id"))
+    generate.top_up(spark, path, "seed", w.PARTITIONS, total // 3, size=200, ids=ids)
+    generate.top_up(spark, path, "seed", w.PARTITIONS, total, size=200, ids=ids)
     return progress.bounds(source.read_log(spark, path, "seed"))
 
 
@@ -162,6 +163,7 @@ def atomic_append(spark, sf):
     of = lambda kind: rows.filter(F.col("event_type") == kind).drop("event_type")
     sinks.atomic_append({"clicks": of("click"), "views": of("view")}, path, marks, "t1", "event_id", w.PARTITIONS)
     sinks.atomic_append({"clicks": of("error")}, path, marks, "t2", "event_id", w.PARTITIONS, outcome="abort")
+    sinks.atomic_append({"purchases": of("purchase")}, path, marks, "t4", "event_id", w.PARTITIONS)
     source.append_log(of("signup").withColumn("topic", F.lit("signups")), path, "event_id", w.PARTITIONS, txn_id="t3")
     everything = source.read_log(spark, path)
     visible = visibility.read_committed(everything, sinks.read_markers(spark, marks))
@@ -209,8 +211,7 @@ def parse_plan(spark, sf):
 
 @query
 def narrow(spark, sf):
-    rows = w.orders_json(spark, sf).filter(F.col("value").startswith("{\""))
-    return records.narrow(rows, fo.ORDER_VIEW_SCHEMA).select(
+    return records.narrow(w.orders_json(spark, sf), fo.ORDER_VIEW_SCHEMA).select(
         "o_orderkey", F.col("view.orderId").alias("orderId"), F.col("view.totalAmount").cast("string").alias("totalAmount"))
 
 
@@ -385,7 +386,7 @@ def outcome_counts(spark, sf):
 
 @query
 def metric_table(spark, sf):
-    return runs.metric_table(w.metrics(spark, sf), ["m0", "m1", "m2"], "event_id")
+    return runs.metric_table(w.metrics(spark, sf), ["m0", "m1", "m2", "m3"], "event_id")
 
 
 @query

@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.keys import key_partition
-from tidelog.sources.log import append_log, exists, read_log
+from tidelog.sources.log import append_log, exists, read_log, require_placeable
 
-# Fixed values of the generated payloads.
-CUSTOMERS = ["acme", "globex", "initech", "umbrella", "hooli", "vandelay", "wonka"]
-SKUS = ["SKU-1001", "SKU-1002", "SKU-2048", "SKU-3141", "SKU-4242", "SKU-8080"]
+STATIONS = ["harbour", "ridge", "meadow", "quarry", "delta"]
 ORDER_CUSTOMERS = 20
 
 
@@ -41,26 +39,10 @@ def gen_orders(ids: DataFrame, seq: str, created_at: Column) -> DataFrame:
 
 
 def payload_json(seq: Column, size: int) -> Column:
-    """Order-like JSON of roughly ``size`` bytes: line items are added until 16 bytes are left."""
-    number = seq.cast("string")
-    head = F.concat(
-        F.lit('{"orderId":"ORD-'), number, F.lit('","customerId":"'), F.get(_texts(CUSTOMERS), (seq % len(CUSTOMERS)).cast("int")),
-        F.lit('","currency":"EUR","status":"CREATED","lines":['))
-    most = max(1, -(-size // 60))
-
-    def line(i: Column) -> Column:
-        return F.concat(
-            F.when(i > 0, F.lit(",")).otherwise(F.lit("")),
-            F.lit('{"sku":"'), F.get(_texts(SKUS), ((seq + i) % len(SKUS)).cast("int")),
-            F.lit('","qty":'), (i % 5 + 1).cast("string"),
-            F.lit(',"unitPrice":'), (F.lit(9.99).cast("double") + i).cast("string"),
-            F.lit(',"note":"line item '), i.cast("string"), F.lit(" of order "), number, F.lit('"}'))
-
-    def add(text: Column, item: Column) -> Column:
-        return F.when(F.length(text) < size - 16, F.concat(text, item)).otherwise(text)
-
-    lines = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), line)
-    return F.concat(F.aggregate(lines, head, add), F.lit("]}"))
+    """JSON of a sensor's report, of roughly ``size`` bytes: as many four-digit readings as fit behind its head."""
+    readings = F.transform(F.sequence(F.lit(1), F.lit(max(1, (size - 50) // 5))), lambda i: (1000 + (seq * 37 + i * 101) % 9000).cast("string"))
+    return F.concat(F.lit('{"seq":'), seq.cast("string"), F.lit(',"station":"'), F.get(_texts(STATIONS), (seq % len(STATIONS)).cast("int")),
+                    F.lit('","readings":['), F.array_join(readings, ","), F.lit("]}"))
 
 
 def gen_payload(ids: DataFrame, seq: str, size: int, cardinality: int) -> DataFrame:
@@ -90,15 +72,21 @@ def paced_stream(spark: SparkSession, rows_per_second: int, size: int = 512, car
 
 
 def top_up(spark: SparkSession, path: str, topic: str, n: int, target: int, size: int = 512,
-           cardinality: int = 100, at: Column | None = None) -> int:
-    """Write only the rows missing up to ``target``; returns how many the topic holds afterwards."""
+           cardinality: int = 100, at: Column | None = None, ids: DataFrame | None = None) -> int:
+    """Write only the rows missing up to ``target``; returns how many the topic holds afterwards.
+
+    Rows are made for the numbers 0 to target - 1, or for the rows of ``ids`` whose ``id`` is among them. A row that
+    cannot be placed fails the call before anything is written.
+    """
     present = read_log(spark, path, topic).count() if exists(spark, path) else 0
     if present >= target:
         return present
     # Keys count from the first missing row, sequence numbers go on from what is there.
-    rows = gen_payload(spark.range(present, target), "id", size, cardinality).withColumn(
+    missing = spark.range(present, target) if ids is None else ids.select("id").filter(F.col("id").between(present, target - 1))
+    rows = gen_payload(missing, "id", size, cardinality).withColumn(
         "key", customer_key(F.col("seq") - present, cardinality)).select(
         F.lit(topic).alias("topic"), key_partition(F.col("key"), n).alias("partition"),
         (F.current_timestamp() if at is None else at).alias("timestamp"), "key", "value", "seq")
+    require_placeable([rows], n)
     append_log(rows, path, "seq", n)
     return read_log(spark, path, topic).count()

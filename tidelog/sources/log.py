@@ -6,7 +6,7 @@ columns, so a read from fixed partitions and offsets prunes directories and row
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,22 +74,33 @@ def read_log(spark: SparkSession, path: str, topic: str | None = None, schema: T
 def read_log_stream(
     spark: SparkSession, path: str, topic: str | None = None, policy: str = "earliest",
     files_per_trigger: int | None = None, schema: T.StructType = LOG_SCHEMA,
+    commits: DataFrame | None = None, group: str | None = None, starts: str | None = None,
 ) -> DataFrame:
-    """Unbounded read. ``earliest`` starts with the files already there, ``latest`` with the offsets behind the
-    table's current end; both matter only while the query has no checkpoint."""
+    """Unbounded read, from where ``start_policy`` says: a partition's commit, else its begin (``earliest``), its
+    present end (``latest``) or an error (``none``).
+
+    Only ``earliest`` without commits needs no ``starts``: a folder beside the query's checkpoint that keeps the
+    starting offsets. They are worked out once, by the first call, so a restart goes on where the first run began and
+    what arrived in between is read. A partition that did not exist then is read whole.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     stream = reader.parquet(path)
     if topic is not None:
         stream = stream.filter(F.col("topic") == topic)
-    if policy == "earliest":
+    if policy == "earliest" and commits is None:
         return stream
-    if policy == "latest":
-        ends = log_ends(read_log(spark, path, topic, schema)).select("topic", "partition", F.col("end").alias("__end"))
-        return attach(stream, ends, ["topic", "partition"]).filter(
-            F.col("__end").isNull() | (F.col("offset") >= F.col("__end"))).drop("__end")
-    raise ValueError(f"unknown start policy: {policy}")
+    if starts is None:
+        raise ValueError(f"start policy {policy} needs a folder that keeps the starting offsets")
+    if not exists(spark, starts):
+        if commits is None:
+            commits = spark.createDataFrame([], "topic string, partition int, committed bigint")
+        begun = start_policy(log_ends(read_log(spark, path, topic, schema)), commits, policy, group)
+        begun.select("topic", "partition", "start").coalesce(1).write.parquet(starts)
+    begun = spark.read.parquet(starts).withColumnRenamed("start", "__start")
+    return attach(stream, begun, ["topic", "partition"]).filter(
+        F.col("__start").isNull() | (F.col("offset") >= F.col("__start"))).drop("__start")
 
 
 def read_assigned(log: DataFrame, offsets: Mapping[int, int]) -> DataFrame:
@@ -105,11 +116,26 @@ def log_ends(log: DataFrame) -> DataFrame:
         F.min("offset").alias("begin"), (F.max("offset") + 1).alias("end"))
 
 
-def start_policy(bounds: DataFrame, commits: DataFrame, policy: str) -> DataFrame:
+def commits_in_force(commits: DataFrame, group: str | None = None, order: str = "committed_at") -> DataFrame:
+    """One committed offset per partition, for one group.
+
+    A history (with the column ``order``) counts by its latest row. A table with a ``group`` column needs ``group``:
+    the offsets of several groups are never mixed.
+    """
+    if "group" in commits.columns:
+        if group is None:
+            raise ValueError("the commits carry groups: name one")
+        commits = commits.filter(F.col("group") == group)
+    if order in commits.columns:
+        return commits.groupBy("topic", "partition").agg(F.max_by("committed", order).alias("committed"))
+    return commits.select("topic", "partition", "committed")
+
+
+def start_policy(bounds: DataFrame, commits: DataFrame, policy: str, group: str | None = None) -> DataFrame:
     """Where a group starts in each partition: its commit, else the begin or the end of the partition.
 
-    ``bounds`` has begin and end per (topic, partition), ``commits`` the group's committed offsets. Under
-    ``none`` a partition without a commit fails the query.
+    ``bounds`` has begin and end per (topic, partition), ``commits`` committed offsets, or a history of them, of one
+    group or of several of which ``group`` names one. Under ``none`` a partition without a commit fails the query.
     """
     if policy not in ("earliest", "latest", "none"):
         raise ValueError(f"unknown start policy: {policy}")
@@ -119,7 +145,7 @@ def start_policy(bounds: DataFrame, commits: DataFrame, policy: str) -> DataFram
         "none": F.raise_error(F.concat(F.lit("no committed offset for "), F.col("topic"), F.lit("-"),
                                        F.col("partition").cast("string"))).cast("bigint"),
     }[policy]
-    joined = bounds.join(commits.select("topic", "partition", "committed"), ["topic", "partition"], "left")
+    joined = bounds.join(commits_in_force(commits, group), ["topic", "partition"], "left")
     return joined.select("topic", "partition", "begin", "end", "committed",
                          F.when(F.col("committed").isNotNull(), F.col("committed")).otherwise(fallback).alias("start"))
 
@@ -154,6 +180,14 @@ def unplaceable(df: DataFrame, n: int) -> Column:
     )
 
 
+def require_placeable(frames: Iterable[DataFrame], n: int) -> None:
+    """Raises, before anything is written, if some row of the frames cannot be appended."""
+    for frame in frames:
+        first = frame.select(unplaceable(frame, n).alias("reason")).filter(F.col("reason").isNotNull()).first()
+        if first is not None:
+            raise ValueError(f"a row cannot be appended: {first['reason']}")
+
+
 def append_log(
     df: DataFrame, path: str, order: str, n: int, txn_id: str | None = None,
     chunk_rows: int = scans.CHUNK_ROWS, max_rows_per_file: int = 0,

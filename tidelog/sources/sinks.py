@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.sources.log import append_log, exists
+from tidelog.sources.log import append_log, exists, require_placeable
 
 # The codecs a log client offers, by the name the parquet writer uses.
 CODECS = ("uncompressed", "lz4_raw", "snappy", "zstd", "gzip")
@@ -64,10 +64,13 @@ def atomic_append(
     """Append rows to several topics that become visible together.
 
     The rows carry the transaction id and count only once the single marker row is there. A job that dies before
-    the marker leaves an open transaction, which committed reads hide.
+    the marker leaves an open transaction, which committed reads hide. All or nothing: a row that cannot be placed
+    fails the call before anything is written.
     """
-    for topic, frame in frames.items():
-        append_log(frame.withColumn("topic", F.lit(topic)), path, order, n, txn_id=txn_id)
+    frames = {topic: frame.withColumn("topic", F.lit(topic)) for topic, frame in frames.items()}
+    require_placeable(frames.values(), n)
+    for frame in frames.values():
+        append_log(frame, path, order, n, txn_id=txn_id)
     write_marker(next(iter(frames.values())).sparkSession, markers, txn_id, outcome, epoch)
 
 

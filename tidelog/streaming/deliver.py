@@ -40,8 +40,9 @@ def deliver(
     """A writer that hands every micro-batch to ``handle(batch, batch_id)``; start it with a trigger.
 
     * ``at_least_once``: handle, then the checkpoint records progress. A crash in between repeats the batch.
-    * ``at_most_once``: the batch id goes to the ``started`` table first, and a batch found there is skipped. A crash
-      loses the rest of the interrupted batch.
+    * ``at_most_once``: the batch's ``ids`` go to the ``started`` table first, and rows found there are skipped, whichever
+      run or checkpoint they come from. A crash loses the rest of the interrupted batch and nothing else. With log
+      positions as ids only the batch's own offset ranges of the table are read.
     * ``effectively_once``: rows whose ids are in the ledger are left out. ``ledger`` reads the table the handler
       writes its effect to, so effect and ledger are one write.
     """
@@ -55,9 +56,15 @@ def deliver(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if mode == AT_MOST_ONCE:
-            if _was_started(spark, started, batch_id):
-                return
-            spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id")).coalesce(1).write.mode("append").parquet(started)
+            begun = spark.read.parquet(started) if exists(spark, started) else None
+            if begun is not None and tuple(ids) == POSITION:
+                begun = ledger_slice(begun, batch)
+            batch = batch.dropDuplicates(list(ids)) if begun is None else skip_handled(batch, begun, ids)
+            # The rows to hand over are fixed before they are marked: afterwards the table would hide them.
+            mine = f"{started}-batches/{uuid.uuid4().hex}"
+            batch.write.parquet(mine)
+            batch = spark.read.schema(batch.schema).parquet(mine)
+            batch.select(*ids).write.mode("append").parquet(started)
         if mode == EFFECTIVELY_ONCE:
             done = ledger(spark)
             if done is not None:
@@ -71,12 +78,6 @@ def deliver(
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
 
-def _was_started(spark: SparkSession, started: str, batch_id: int) -> bool:
-    if not exists(spark, started):
-        return False
-    return not spark.read.parquet(started).filter(F.col("batch_id") == batch_id).isEmpty()
-
-
 def effect_ledger(path: str, ids: Sequence[str] = POSITION) -> Callable[[SparkSession], DataFrame | None]:
     """Ledger read from the effect table itself."""
     def read(spark: SparkSession) -> DataFrame | None:
@@ -91,13 +92,18 @@ def append_effect(path: str, transform: Callable[[DataFrame], DataFrame] = lambd
     return handle
 
 
-def append_log_stream(stream: DataFrame, path: str, markers: str, name: str, order: str, n: int, checkpoint: str) -> DataStreamWriter:
+def append_log_stream(stream: DataFrame, path: str, markers: str, name: str, order: str, n: int, checkpoint: str,
+                      rejects: str | None = None) -> DataStreamWriter:
     """Append every micro-batch to a log table as one transaction; read it with ``read_committed``.
 
+    Rows that cannot be placed go to the table ``rejects`` (``<path>-rejects`` unless given) with their reason and the
+    transaction's id; those of a committed transaction count, as in the log. Every row is in one of the two.
+
     A batch that ran before is recognised by its commit marker. An attempt that died before its marker is aborted
     by the next one, so its rows stay hidden and do not hold up what comes after them.
     """
     attempts = f"{markers}-attempts"
+    refused = rejects or f"{path}-rejects"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -110,7 +116,8 @@ def append_log_stream(stream: DataFrame, path: str, markers: str, name: str, ord
             write_marker(spark, markers, left_open["txn_id"], "abort")
         txn_id = f"{name}-{batch_id}-{uuid.uuid4().hex}"
         write_marker(spark, attempts, txn_id, "begin")
-        append_log(batch, path, order, n, txn_id=txn_id)
+        left_over = append_log(batch, path, order, n, txn_id=txn_id)
+        left_over.withColumn("txn_id", F.lit(txn_id)).write.mode("append").parquet(refused)
         write_marker(spark, markers, txn_id, "commit")
 
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
@@ -138,10 +145,12 @@ def dedup_stream(stream: DataFrame, ids: Sequence[str], event_time: str | None =
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(ids))
 
 
-def drain(writer: DataStreamWriter, timeout_s: int = 600) -> StreamingQuery:
-    """Run until everything that was there at the start is processed, then stop."""
+def drain(writer: DataStreamWriter, timeout_s: float | None = None) -> StreamingQuery:
+    """Run until everything that was there at the start is processed, then stop. No limit unless the caller sets one."""
     query = writer.trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout_s):
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"not drained within {timeout_s} s")
     if query.exception() is not None:

@@ -47,6 +47,21 @@ def stream_append_log(spark, sf):
         F.count(F.lit(1)).alias("records"), F.count_distinct("offset").alias("offsets"), (F.max("offset") + 1).alias("end"))
 
 
+@query
+def stream_append_rejects(spark, sf):
+    """Every row of a stream is in the log or in the table of rejects, with the reason."""
+    folder = shared_folder(spark)
+    partition = F.when(F.col("event_id") % 17 == 0, None).when(F.col("event_id") % 19 == 0, 99).otherwise(fk.key_partition(w.user_key(), w.PARTITIONS))
+    rows = events_stream(spark, sf).select(
+        F.lit("events").alias("topic"), partition.alias("partition"), F.col("ts").alias("timestamp"), w.user_key().alias("key"),
+        F.col("event_id").cast("string").cast("binary").alias("value"), "event_id")
+    d.drain(d.append_log_stream(rows, f"{folder}/log", f"{folder}/markers", "events", "event_id", w.PARTITIONS, f"{folder}/checkpoint"))
+    placed = visibility.read_committed(source.read_log(spark, f"{folder}/log"), sinks.read_markers(spark, f"{folder}/markers"))
+    rejected = spark.read.parquet(f"{folder}/log-rejects")
+    return placed.select(F.col("value").cast("string").cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("reason")).unionByName(
+        rejected.select("event_id", "reason"))
+
+
 @query
 def stream_read_log(spark, sf):
     """A written log read as a stream, from the earliest offset."""
@@ -70,12 +85,15 @@ def stream_dedup(spark, sf):
 
 
 def _delivered_twice_over(spark, sf, mode):
-    """The same stream drained twice with a lost checkpoint in between: how often each record took effect."""
+    """The same log drained twice with a lost checkpoint in between: how often each record took effect."""
     folder = shared_folder(spark)
-    stream = events_stream(spark, sf).select("event_id", "user_id")
+    log = source.with_log_columns(w.log6(spark, sf, value=F.col("event_id").cast("string")))
+    log.write.partitionBy("topic", "partition").parquet(f"{folder}/log")
+    stream = source.read_log_stream(spark, f"{folder}/log", "events").select(
+        "topic", "partition", "offset", F.col("value").cast("string").cast("bigint").alias("event_id"))
     for run in ("first", "second"):
         d.drain(d.deliver(stream, d.append_effect(f"{folder}/effects"), mode, f"{folder}/checkpoint-{run}",
-                          started=f"{folder}/started", ledger=d.effect_ledger(f"{folder}/effects", ["event_id"]), ids=["event_id"]))
+                          started=f"{folder}/started", ledger=d.effect_ledger(f"{folder}/effects")))
     return spark.read.parquet(f"{folder}/effects").groupBy("event_id").agg(F.count(F.lit(1)).alias("effects"))
 
 
@@ -121,34 +139,28 @@ def stream_retry_topics(spark, sf):
     state.use_rocksdb(spark)
     folder = shared_folder(spark)
     stream = events_stream(spark, sf).select(F.col("event_id").cast("string").alias("id"), w.retry_key().alias("payload"))
-    policy = failures.RetryPolicy(initial_ms=200, max_ms=2000)
+    policy = failures.RetryPolicy(initial_ms=1000, max_ms=10_000)
     entries = state.retry_topics(stream, "orders", _handle_script, policy)
     running = entries.writeStream.format("parquet").option("path", f"{folder}/out").option(
         "checkpointLocation", f"{folder}/checkpoint").trigger(processingTime="500 milliseconds").start()
     try:
-        wait_until_quiet(running)
+        wait_until_settled(running)
     finally:
         running.stop()
     return spark.read.parquet(f"{folder}/out").select(F.col("id").cast("bigint").alias("event_id"), "attempt", "error", "via")
 
 
-def wait_until_quiet(running, quiet_batches: int = 8, timeout_s: int = 240) -> None:
-    """Until no rows came in and no timer fired for a number of micro-batches."""
-    deadline = time.time() + timeout_s
-    while time.time() < deadline:
+def wait_until_settled(running) -> None:
+    """Until the stream has taken its input and no record waits in its state: then no timer is left either."""
+    while True:
         if running.exception() is not None:
             raise running.exception()
-        recent = [p for p in running.recentProgress][-quiet_batches:]
-        if len(recent) == quiet_batches and all(_is_quiet(p) for p in recent):
+        told = [json.loads(p.json) for p in running.recentProgress]
+        started = any(p["numInputRows"] > 0 for p in told)
+        waiting = sum(o.get("numRowsTotal", 0) for o in told[-1].get("stateOperators", [])) if told else None
+        if started and told[-1]["numInputRows"] == 0 and waiting == 0:
             return
         time.sleep(0.2)
-    raise TimeoutError("stream did not come to rest")
-
-
-def _is_quiet(p) -> bool:
-    told = json.loads(p.json)
-    fired = sum((o.get("customMetrics") or {}).get("numExpiredTimers", 0) for o in told.get("stateOperators", []))
-    return told["numInputRows"] == 0 and fired == 0
 
 
 @query
@@ -172,7 +184,14 @@ def stream_progress(spark, sf):
     """Rows that went through a query, from its own progress reports."""
     folder = shared_folder(spark)
     tapped, _ = records.tap(events_stream(spark, sf), "seen", errors=F.count_if(F.col("event_type") == "error"))
-    running = d.drain(d.exactly_once(tapped.select("event_id"), lambda s: s, f"{folder}/out", f"{folder}/checkpoint"))
-    table = progress.progress_table(spark, running)
+    recorder = progress.ProgressRecorder()
+    spark.streams.addListener(recorder)
+    try:
+        running = d.drain(d.exactly_once(tapped.select("event_id"), lambda s: s, f"{folder}/out", f"{folder}/checkpoint"))
+        recorder.wait_for_end(running)
+    finally:
+        spark.streams.removeListener(recorder)
+    recorder.flush(spark, f"{folder}/progress")
+    table = progress.progress_table(spark, f"{folder}/progress", running)
     errors = F.get_json_object("observed", "$.seen.errors").cast("bigint")
     return table.agg(F.sum("input_rows").alias("input_rows"), F.sum(errors).alias("errors"))

@@ -33,11 +33,19 @@ class RetryProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getValueState("waiting", "attempt int, payload string")
+        # By the time at which they are due: several records of one id may wait at once.
+        self.waiting = handle.getMapState("waiting", "due_ms bigint, place int", "attempt int, payload string")
 
     def _delay(self, retry: int) -> int:
         return self.policy.delays()[retry - 1]
 
+    def _hold(self, payload: str, attempt: int, due_ms: int) -> None:
+        place = 0
+        while self.waiting.containsKey((due_ms, place)):
+            place += 1
+        self.waiting.updateValue((due_ms, place), (attempt, payload))
+        self.handle.registerTimer(due_ms)
+
     def _try(self, id_: str, payload: str, attempt: int, now_ms: int) -> pd.DataFrame:
         error = self.handler(id_, payload, attempt)
         via = self.topic if attempt == 1 else f"{self.topic}-retry-{self._delay(attempt - 1)}"
@@ -46,10 +54,7 @@ class RetryProcessor(StatefulProcessor):
         if dead:
             rows.append((id_, payload, 0 if error == UNDECODABLE else attempt, error, f"{self.topic}-dlt"))
         if error is not None and not dead:
-            self.waiting.update((attempt, payload))
-            self.handle.registerTimer(now_ms + self._delay(attempt))
-        elif self.waiting.exists():
-            self.waiting.clear()
+            self._hold(payload, attempt, now_ms + self._delay(attempt))
         return pd.DataFrame(rows, columns=["id", "payload", "attempt", "error", "via"])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -58,9 +63,13 @@ class RetryProcessor(StatefulProcessor):
                 yield self._try(key[0], payload, 1, timerValues.getCurrentProcessingTimeInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.waiting.exists():
-            attempt, payload = self.waiting.get()
-            yield self._try(key[0], payload, int(attempt) + 1, timerValues.getCurrentProcessingTimeInMs())
+        now = timerValues.getCurrentProcessingTimeInMs()
+        due = sorted((int(k[0]), int(k[1])) for k in self.waiting.keys() if int(k[0]) <= expiredTimerInfo.getExpiryTimeInMs())
+        held = [self.waiting.getValue(k) for k in due]
+        for k in due:
+            self.waiting.removeKey(k)
+        for attempt, payload in held:
+            yield self._try(key[0], payload, int(attempt) + 1, now)
 
     def close(self) -> None:
         pass
