@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.plans.once import materialised
 from tidelog.plans.scans import CHUNK, CHUNK_ROWS, id_chunk
 
 PART = ["topic", "partition"]
@@ -55,11 +56,14 @@ def process_in_order(df: DataFrame, handler: Callable[[pd.DataFrame], pd.DataFra
     A partition is handed out as consecutive stretches of offsets, so a partition holding a third of the log is
     still shared by many tasks. Inside a stretch the order is kept; a stretch starts without state from the one
     before. Use ``stop_at_failure`` on the result to drop what follows a partition's first failed record.
+
+    The handled rows are written to the shared folder first: the handler runs once per record, however often the
+    result is read, and every reader sees the same outcomes.
     """
     columns = df.columns
     stretched = df.withColumn(CHUNK, id_chunk("offset", chunk_rows)).repartition(*PART, CHUNK)
     ordered = stretched.sortWithinPartitions(*PART, "offset").select(*columns)
-    return ordered.mapInPandas(_apply(handler), schema)
+    return materialised(ordered.mapInPandas(_apply(handler), schema))
 
 
 def process_in_batches(df: DataFrame, handler: Callable[[pd.DataFrame], pd.DataFrame], schema: str, n: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.plans import scans
+from tidelog.plans.once import materialised
 from tidelog.plans.once import compute_once
 
 ACCEPT, RELEASE, REJECT, RENEW = "ACCEPT", "RELEASE", "REJECT", "RENEW"
@@ -94,7 +95,7 @@ def judge_acks(acks: DataFrame, ids: Sequence[str], order: str, lock_us: int,
     gap = F.col("acked_us") - F.coalesce("__since", F.col("delivered_us"))
     own = F.when(F.col("type") != RENEW, 1).otherwise(0)
     late = answered.withColumn("__late", (gap > lock_us).cast("int")).withColumn("__settled", F.col("__settled") - own)
-    lapsed = scans.scan(late, group, [order], chunk, __lapsed=scans.running_max(F.coalesce("__late", F.lit(0))))
+    lapsed = scans.scan(materialised(late), group, [order], chunk, __lapsed=scans.running_max(F.coalesce("__late", F.lit(0))))
     applied = F.col("type").isNotNull() & (F.col("__lapsed") == 0) & (F.col("__settled") == 0)
     return lapsed.withColumn("applied", applied).drop("__since", "__settled", "__late", "__lapsed")
 

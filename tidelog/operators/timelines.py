@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.plans import scans
+from tidelog.plans.once import materialised
 
 PART = ["topic", "partition"]
 
@@ -55,7 +56,8 @@ def pause_intervals(inflight: DataFrame, by: Sequence[str], order: str, value: s
     chunk = scans.id_chunk(order, chunk_rows)
     edges = scans.scan(crossings, by, [order], chunk, __before=scans.previous(F.col("__x"))).filter(
         F.col("__x") != F.coalesce("__before", F.lit(0)))
-    spans = scans.scan(edges.drop("__before"), by, [order], chunk, resumed_at=scans.following(F.col(order)))
+    # The crossings are few, and both branches of the next scan read them: they are worked out once.
+    spans = scans.scan(materialised(edges.drop("__before")), by, [order], chunk, resumed_at=scans.following(F.col(order)))
     return spans.filter(F.col("__x") == 1).select(*by, F.col(order).alias("paused_at"), "resumed_at")
 
 

@@ -318,11 +318,12 @@ c AS (SELECT *, lag(x) OVER (PARTITION BY source ORDER BY event_id) AS b FROM s
 e AS (SELECT source, event_id, x, lead(event_id) OVER (PARTITION BY source ORDER BY event_id) AS nxt FROM c WHERE x <> coalesce(b, 0))
 SELECT source, event_id AS paused_at, nxt AS resumed_at FROM e WHERE x = 1"""
 SQL["fence_zombies"] = """
-WITH l AS (SELECT 't-' || (user_id % 3) AS transactional_id, event_id AS log_order,
+WITH l AS (SELECT CASE WHEN event_id % 89 <> 0 THEN 't-' || (user_id % 3) END AS transactional_id, event_id AS log_order,
                   CASE WHEN event_id % 97 = 0 THEN greatest(event_id // 500 - 1, 0) ELSE event_id // 500 END AS epoch FROM events)
 SELECT transactional_id, epoch, log_order FROM (
-  SELECT *, max(epoch) OVER (PARTITION BY transactional_id ORDER BY log_order) AS top FROM l) WHERE epoch >= top"""
-on_log("dedup_retries", """SELECT "partition", "offset", event_id, 'p' || (event_id % 3) AS producer_id, event_id // 3 AS sequence FROM log6""")
+  SELECT *, max(epoch) OVER (PARTITION BY transactional_id ORDER BY log_order) AS top FROM l) WHERE transactional_id IS NULL OR epoch >= top"""
+on_log("dedup_retries", """SELECT "partition", "offset", event_id, CASE WHEN event_id % 13 <> 0 THEN 'p' || (event_id % 3) END AS producer_id, event_id // 3 AS sequence FROM log6
+UNION ALL SELECT "partition", "offset" + 1000000000, event_id, NULL, event_id // 3 FROM log6 WHERE event_id % 91 = 0""")
 SQL["rebalance_cost"] = """
 WITH e AS (SELECT 'g' || (user_id % 10) AS "group", event_id AS pos, 'm' || (user_id % 3) AS member,
                   CASE WHEN event_type IN ('click', 'view') THEN 'assigned' WHEN event_type = 'error' THEN 'LOST' ELSE 'revoked' END AS action,
@@ -379,8 +380,9 @@ SELECT event_type, sum(grown)::BIGINT AS increase, round((max(at_us) - min(at_us
 # ---- sorts, limits, sets ----------------------------------------------------------------------------------------
 
 on_log("offset_ranges", """
-SELECT batch, string_agg('p' || p || '[' || lo || '..' || hi || ']', ' ' ORDER BY p) AS ranges
-FROM (SELECT event_id // 500 AS batch, "partition" AS p, min("offset") AS lo, max("offset") AS hi FROM log6 GROUP BY ALL) GROUP BY 1""")
+SELECT batch, string_agg(t || ':p' || p || '[' || (lo + d) || '..' || (hi + d) || ']', ' ' ORDER BY t, p) AS ranges
+FROM (SELECT event_id // 500 AS batch, "partition" AS p, min("offset") AS lo, max("offset") AS hi FROM log6 GROUP BY ALL),
+     (VALUES ('copies', 1), ('events', 0)) AS c(t, d) GROUP BY 1""")
 SQL["timeline"] = f"""WITH {RETRY}
 SELECT blocked_ms + waited AS due_ms, "partition", "offset", attempt, key, error FROM tries
 ORDER BY due_ms, "partition", "offset", attempt LIMIT 50"""
@@ -446,6 +448,36 @@ verdict AS (
 SELECT subject, version, bf IS NULL AS backward, br AS backward_reason, bf AS backward_field, wf IS NULL AS forward, wr AS forward_reason,
        wf AS forward_field, CASE WHEN bf IS NULL AND wf IS NULL THEN 'FULL' WHEN bf IS NULL THEN 'BACKWARD' WHEN wf IS NULL THEN 'FORWARD' ELSE 'NONE' END AS satisfies
 FROM verdict"""
+SQL["codec_report"] = """
+SELECT codec, (SELECT count(*) FROM lineitem) AS records, codec <> 'uncompressed' AS smaller
+FROM (SELECT unnest(['uncompressed', 'lz4_raw', 'snappy', 'zstd', 'gzip']) AS codec)"""
+SQL["register_gate"] = f"""WITH RECURSIVE {FIELDS},
+pairs AS (
+  SELECT n.subject, n.k, o.k AS old, f.field, x.type AS nt, x.dflt AS nd, y.type AS ot, y.dflt AS od
+  FROM vers n JOIN vers o ON n.subject = o.subject AND o.k < n.k
+  JOIN (SELECT DISTINCT subject, field FROM f) f ON f.subject = n.subject
+  LEFT JOIN f x ON x.subject = n.subject AND x.k = n.k AND x.field = f.field
+  LEFT JOIN f y ON y.subject = n.subject AND y.k = o.k AND y.field = f.field),
+problems AS (
+  SELECT subject, k, old, 0 AS way, field, CASE WHEN ot IS NULL THEN 'READER_FIELD_MISSING_DEFAULT_VALUE' ELSE 'TYPE_MISMATCH' END AS reason FROM pairs
+  WHERE nt IS NOT NULL AND (ot IS NULL AND NOT nd OR ot <> nt AND NOT (nt = 'long' AND ot = 'int'))
+  UNION ALL
+  SELECT subject, k, old, 1, field, CASE WHEN nt IS NULL THEN 'READER_FIELD_MISSING_DEFAULT_VALUE' ELSE 'TYPE_MISMATCH' END FROM pairs
+  WHERE ot IS NOT NULL AND (nt IS NULL AND NOT od OR ot <> nt AND NOT (ot = 'long' AND nt = 'int'))),
+offers AS (
+  SELECT v.subject, v.version, v.k, ['BACKWARD', 'FORWARD', 'FULL', 'BACKWARD_TRANSITIVE', 'FORWARD_TRANSITIVE', 'FULL_TRANSITIVE', 'NONE'][
+           CAST(regexp_extract(v.subject, '[0-9]+$') AS INT) % 7 + 1] AS level,
+         coalesce((SELECT list({{'old': old, 'way': way, 'field': field, 'reason': reason}} ORDER BY old, way, field) FROM problems p
+                   WHERE p.subject = v.subject AND p.k = v.k), []) AS ps FROM vers v),
+gate AS (
+  SELECT subject, version, k, [k] AS accepted, true AS ok, NULL::VARCHAR AS reason, NULL::VARCHAR AS field FROM offers WHERE k = 1
+  UNION ALL
+  SELECT subject, version, k, CASE WHEN hit IS NULL THEN list_append(accepted, k) ELSE accepted END, hit IS NULL, hit.reason, hit.field FROM (
+    SELECT o.subject, o.version, o.k, g.accepted, list_filter(o.ps, lambda p:
+             list_contains(CASE WHEN o.level LIKE '%TRANSITIVE' THEN g.accepted ELSE g.accepted[-1:] END, p.old)
+             AND (p.way = 0 AND (o.level LIKE 'BACKWARD%' OR o.level LIKE 'FULL%') OR p.way = 1 AND (o.level LIKE 'FORWARD%' OR o.level LIKE 'FULL%')))[1] AS hit
+    FROM gate g JOIN offers o ON o.subject = g.subject AND o.k = g.k + 1))
+SELECT subject, CAST(version AS BIGINT) AS candidate, ok AS accepted, CASE WHEN ok THEN CAST(len(accepted) AS INT) END AS version, reason, field FROM gate"""
 SQL["schema_compat_transitive"] = f"""WITH {FIELDS},
 b AS (  -- own fields without a default that some earlier version lacks, and own fields some earlier type does not fit
   SELECT n.subject, n.k, count(*) FILTER (NOT n.dflt AND (SELECT count(*) FROM f o WHERE o.subject = n.subject AND o.field = n.field AND o.k < n.k) < n.k - 1) AS missing,
@@ -543,6 +575,8 @@ SQL["process_unordered"] = "SELECT event_id, event_id * 2 AS twice FROM events"
 
 SQL["stream_exactly_once"] = "SELECT event_id, upper(event_type) AS value FROM events"
 SQL["stream_dedup"] = "SELECT event_id, user_id FROM events"
+SQL["stream_commit_every_n"] = """
+SELECT count(*) AS records, count(*) - 1 AS last_seen, true AS bounded FROM events"""
 SQL["stream_append_rejects"] = """
 SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'no partition' WHEN event_id % 19 = 0 THEN 'partition out of range' END AS reason FROM events"""
 SQL["stream_at_least_once"] = "SELECT event_id, 2 AS effects FROM events"

@@ -1,10 +1,12 @@
-"""Computing a costly expression once per row."""
+"""Computing a costly expression once per row, and a costly table once."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.session import shared_folder
+
 
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that are computed in one place only.
@@ -15,3 +17,14 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     row = F.struct(*[c.alias(name) for name, c in columns.items()])
     return df.select("*", F.inline(F.array(row)))
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read again.
+
+    For tables that several branches of a plan read: what is above runs once, whatever reads the result, and a lost
+    executor does not bring it back.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -70,7 +70,7 @@ def read_assigned(spark, sf):
 
 def _start(spark, sf, policy):
     log = w.log6(spark, sf)
-    return source.start_policy(progress.bounds(log), w.commits(log), policy).select("topic", "partition", "committed", "start")
+    return source.start_policy(progress.bounds(log), w.commits(log), policy, group="g").select("topic", "partition", "committed", "start")
 
 
 @query
@@ -139,7 +139,9 @@ def gen_random(spark, sf):
 
 @query
 def codec_report(spark, sf):
-    return sinks.codec_report(w.table(spark, sf, "lineitem"), shared_folder(spark))
+    """Rows read back under each codec, and whether its files are smaller than the plain ones."""
+    report = sinks.codec_report(w.table(spark, sf, "lineitem"), shared_folder(spark))
+    return report.select("codec", "records", (F.col("rate") < 1).alias("smaller"))
 
 
 @query
@@ -302,7 +304,7 @@ def eos_check(spark, sf):
 @query
 def lag(spark, sf):
     log = w.log6(spark, sf)
-    return progress.lag(progress.bounds(log), w.commits(log))
+    return progress.lag(progress.bounds(log), w.commits(log), group="g")
 
 
 @query
@@ -451,7 +453,7 @@ def replay_from_time(spark, sf):
 def rewind(spark, sf):
     log = w.log6(spark, sf)
     at = F.col("committed") * 0 + 1
-    history = w.commits(log).withColumn("committed_at", at)
+    history = w.commits(log).filter("group = 'g'").withColumn("committed_at", at)
     other = history.withColumn("group", F.lit("h"))
     rewound = progress.rewind(history.unionByName(other), progress.bounds(log), "g", F.lit(2).cast("bigint"))
     return progress.latest_commits(rewound)
@@ -526,16 +528,17 @@ def fence_zombies(spark, sf):
     e = F.col("event_id")
     epoch = F.floor(e / 500)
     late = F.when(e % 97 == 0, F.greatest(epoch - 1, F.lit(0))).otherwise(epoch).cast("bigint")
-    log = w.events(spark, sf).select(F.concat(F.lit("t-"), (F.col("user_id") % 3).cast("string")).alias("transactional_id"),
+    writer = F.when(e % 89 != 0, F.concat(F.lit("t-"), (F.col("user_id") % 3).cast("string")))
+    log = w.events(spark, sf).select(writer.alias("transactional_id"),
                                      late.alias("epoch"), e.alias("log_order"))
     return visibility.fence_zombies(log, "log_order", w.QUERY_CHUNK)
 
 
 @query
 def dedup_retries(spark, sf):
-    """Every seventh record was written twice by its producer; the copy sits at a later offset."""
+    """Every seventh record was written twice; the copy sits at a later offset. Records without a producer are no retries."""
     log = w.log6(spark, sf).select("topic", "partition", "offset", "event_id",
-                                   F.concat(F.lit("p"), (F.col("event_id") % 3).cast("string")).alias("producer_id"),
+                                   F.when(F.col("event_id") % 13 != 0, F.concat(F.lit("p"), (F.col("event_id") % 3).cast("string"))).alias("producer_id"),
                                    F.floor(F.col("event_id") / 3).alias("sequence"))
     copies = log.filter(F.col("event_id") % 7 == 0).withColumn("offset", F.col("offset") + 1_000_000_000)
     return audit.dedup_retries(log.unionByName(copies)).select("partition", "offset", "event_id", "producer_id", "sequence")
@@ -586,7 +589,8 @@ def counter_rate(spark, sf):
 @query
 def offset_ranges(spark, sf):
     log = w.log6(spark, sf).withColumn("batch", F.floor(F.col("event_id") / 500))
-    return progress.offset_ranges(log, ["batch"])
+    both = log.unionByName(log.withColumn("topic", F.lit("copies")).withColumn("offset", F.col("offset") + 1))
+    return progress.offset_ranges(both, ["batch"])
 
 
 @query
@@ -693,7 +697,8 @@ def register_gate(spark, sf):
     """Each user's versions offered in order; the level depends on the user."""
     fields = w.schema_fields(spark, sf).withColumnRenamed("version", "candidate").withColumn("candidate", F.col("candidate").cast("bigint"))
     number = F.regexp_extract("subject", r"(\d+)$", 1).cast("int")
-    level = F.when(number % 3 == 0, "FORWARD").when(number % 3 == 1, "FULL").otherwise("BACKWARD")
+    levels = ["BACKWARD", "FORWARD", "FULL", "BACKWARD_TRANSITIVE", "FORWARD_TRANSITIVE", "FULL_TRANSITIVE", "NONE"]
+    level = F.get(F.array(*[F.lit(x) for x in levels]), number % len(levels))
     return schemas.register_gate(fields, fields.select("subject").distinct().withColumn("level", level))
 
 

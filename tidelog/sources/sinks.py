@@ -32,18 +32,19 @@ def table_bytes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def codec_report(df: DataFrame, folder: str, codecs: Sequence[str] = CODECS) -> DataFrame:
-    """The same rows written once per codec: files, bytes and share of the uncompressed bytes."""
+    """The same rows written once per codec: rows read back, files, bytes and share of the uncompressed bytes."""
     spark = df.sparkSession
     reports = []
     for codec in codecs:
         path = f"{folder}/{codec}"
         write_bulk(df, path, codec)
-        reports.append(table_bytes(spark, path).select(F.lit(codec).alias("codec"), "files", "bytes"))
+        back = spark.read.parquet(path).agg(F.count(F.lit(1))).scalar()
+        reports.append(table_bytes(spark, path).select(F.lit(codec).alias("codec"), back.alias("records"), "files", "bytes"))
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
     plain = out.agg(F.max(F.when(F.col("codec") == "uncompressed", F.col("bytes")))).scalar()
-    return out.select("codec", "files", "bytes", F.round(F.try_divide(F.col("bytes"), plain), 4).alias("rate"))
+    return out.select("codec", "records", "files", "bytes", F.round(F.try_divide(F.col("bytes"), plain), 4).alias("rate"))
 
 
 def write_by_type(df: DataFrame, type_column: str, raw: str, typed: Mapping[str, str]) -> DataFrame:

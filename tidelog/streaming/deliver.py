@@ -12,7 +12,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tidelog.operators.audit import skip_handled
 from tidelog.plans.facts import seek
-from tidelog.sources.log import append_log, exists
+from tidelog.sources.log import append_log, exists, read_log_stream
 from tidelog.sources.sinks import read_markers, write_marker
 
 AT_MOST_ONCE, AT_LEAST_ONCE, EFFECTIVELY_ONCE = "at_most_once", "at_least_once", "effectively_once"
@@ -161,12 +161,20 @@ def drain(writer: DataStreamWriter, timeout_s: float | None = None) -> Streaming
 def commit_cadence(writer: DataStreamWriter, every: str | None = None) -> DataStreamWriter:
     """How often progress is stored: once per micro-batch, and with ``every`` (``'5 seconds'``) at most that often.
 
-    The rows per batch come from ``rate_limits`` on the source. Committing every single record has no micro-batch
-    form.
+    Every N records is ``commit_every_n`` with this cadence: progress is stored per batch, and a batch has N records.
     """
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def commit_every_n(spark: SparkSession, path: str, n: int, topic: str | None = None) -> DataFrame:
+    """A stream of a log whose micro-batches, and so whose commits, hold at most ``n`` records and one file.
+
+    The source admits whole files, so the log has to be written with at most ``n`` records per file
+    (``append_log(..., max_rows_per_file=n)``). n = 1 commits every single record.
+    """
+    return read_log_stream(spark, path, topic, files_per_trigger=1)
+
+
 def rate_limits(source: str, max_rows: int | None = None, min_rows: int | None = None, max_wait: str | None = None,
                 max_files: int | None = None, max_bytes: int | None = None) -> dict[str, str]:
     """Source options that make micro-batches bigger or smaller."""
