@@ -67,11 +67,31 @@ def test_start_policies(spark):
 def test_nack_order(spark):
     batch = spark.createDataFrame([("t", 0, o) for o in range(6)], "topic string, partition int, offset long")
     # The first poll holds offsets 0 to 4, the nacked one is 3; the next poll starts there.
-    first = progress.nack_deliveries(batch, F.col("offset") == 3, F.lit(0), 1000)
+    first = progress.nack_deliveries(batch, F.col("offset") == 3, F.lit(0), 1000, 5)
     seen = [(r["offset"], r["attempt"], r["action"]) for r in first.orderBy("poll", "offset").collect()]
     assert seen == [(0, 1, "acked"), (1, 1, "acked"), (2, 1, "acked"), (3, 1, "nacked"), (3, 2, "acked"), (4, 1, "acked"), (5, 1, "acked")]
 
 
+def test_nacks_by_playing_the_polls(spark):
+    nacks, size, total = {3, 4, 11, 12, 29}, 5, 40
+    batch = spark.createDataFrame([("t", 0, o) for o in range(total)], "topic string, partition int, offset long")
+    want, position, poll, t, done = [], 0, 0, 0, set()
+    while position < total:
+        poll += 1
+        for o in range(position, min(total, position + size)):
+            if o in nacks - done:
+                want.append((poll, o, 1, t, "nacked"))
+                done.add(o)
+                position, t = o, t + 1000
+                break
+            want.append((poll, o, 2 if o in done else 1, t, "acked"))
+        else:
+            position += size
+    for chunk in (4, 1000):
+        got = progress.nack_deliveries(batch, F.col("offset").isin(*nacks), F.lit(0), 1000, size, chunk)
+        assert sorted((r["poll"], r["offset"], r["attempt"], r["t_ms"], r["action"]) for r in got.collect()) == sorted(want)
+
+
 def scripted(spark, names, topic="t", partition=0):
     rows = spark.createDataFrame([(topic, partition, i, k, "{not json" if k.startswith("poison") else "{}") for i, k in enumerate(names)],
                                  "topic string, partition int, offset long, key string, value string")

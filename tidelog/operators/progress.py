@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.plans import scans
 from tidelog.plans.facts import attach, seek
+from tidelog.plans.once import materialised
 from tidelog.sources.log import commits_in_force
 
 PART = ["topic", "partition"]
@@ -103,28 +104,35 @@ def failure_report(attempts: DataFrame, failed: Column) -> DataFrame:
         F.count_if(before).alias("handled"), F.count_if(~before).alias("left"))
 
 
-def nack(deliveries: DataFrame, nacked: Column) -> DataFrame:
-    """Split a delivered batch at its first nacked record.
+def nack_deliveries(log: DataFrame, nacked: Column, at: Column, pause_ms: int, max_rows: int,
+                    chunk_rows: int = scans.CHUNK_ROWS) -> DataFrame:
+    """Every call a listener sees when polls bring at most ``max_rows`` records and each nacked record is nacked once.
 
-    The prefix is ``acked``; the nacked record and the rest of the batch are ``redelivered``, nothing is lost.
+    A nack ends its poll: the records before it are acked, those after it were never seen, and after the pause the next
+    poll begins with the nacked record. Between two nacks polls follow one another from the first of them, so a
+    record's poll follows from the last nack before it: no poll is played through. Rows: (topic, partition, offset,
+    poll, attempt, t_ms, action), one per call.
     """
-    first = deliveries.filter(nacked).groupBy(*PART).agg(F.min("offset").alias("nack_at"))
-    joined = attach(deliveries, first, PART, spread="offset")
-    return joined.withColumn("action", F.when(F.col("nack_at").isNull() | (F.col("offset") < F.col("nack_at")), "acked")
-                             .when(F.col("offset") == F.col("nack_at"), "nacked").otherwise("dropped"))
-
-
-def nack_deliveries(batch: DataFrame, nacked: Column, at: Column, pause_ms: int) -> DataFrame:
-    """Every call the listener sees when one record is nacked once: the acked prefix and the nacked record, then
-    from the nacked record on again after the pause. Records dropped from the first poll were never seen."""
-    split = nack(batch, nacked)
-    first = split.filter(F.col("action") != "dropped").select(
-        *PART, "offset", F.lit(1).alias("poll"), F.lit(1).alias("attempt"), at.alias("t_ms"), "action")
-    again = split.filter(F.col("action") != "acked").select(
-        *PART, "offset", F.lit(2).alias("poll"),
-        F.when(F.col("action") == "nacked", 2).otherwise(1).alias("attempt"),
-        (at + pause_ms).alias("t_ms"), F.lit("acked").alias("action"))
-    return first.unionByName(again)
+    chunk = scans.id_chunk("offset", chunk_rows)
+    placed = materialised(scans.scan(log.select(*PART, "offset", nacked.alias("__nack"), at.cast("bigint").alias("__at")),
+                                     PART, ["offset"], chunk, __i=scans.index()))
+    stops = scans.scan(placed.filter("__nack").select(*PART, "offset", "__i"), PART, ["offset"], chunk, __from=scans.previous(F.col("__i")))
+    polls = F.floor((F.col("__i") - F.coalesce("__from", F.lit(0))) / max_rows) + 1
+    stops = scans.scan(materialised(stops.select(*PART, "offset", polls.alias("__polls"))), PART, ["offset"], chunk,
+                       __sum=scans.running_sum(F.col("__polls")), __k=scans.index())
+    marked = placed.join(stops.select(*PART, "offset", "__sum", (F.col("__k") + 1).alias("__k")), [*PART, "offset"], "left")
+    last = F.when(F.col("__sum").isNotNull(), F.struct(F.col("__i").alias("i"), F.col("__sum").alias("polls"), F.col("__k").alias("k")))
+    rows = scans.scan(materialised(marked), PART, ["offset"], chunk, __last=scans.last_known(last))
+    poll = F.coalesce("__last.polls", F.lit(0)) + F.floor((F.col("__i") - F.coalesce("__last.i", F.lit(0))) / max_rows) + 1
+    nacks = F.coalesce("__last.k", F.lit(0))
+
+    def call(number: Column, attempt: int, pauses: Column, action: str) -> Column:
+        return F.struct(number.cast("bigint").alias("poll"), F.lit(attempt).alias("attempt"),
+                        (F.col("__at") + pauses * pause_ms).alias("t_ms"), F.lit(action).alias("action"))
+
+    calls = F.when(F.coalesce("__nack", F.lit(False)), F.array(call(poll - 1, 1, nacks - 1, "nacked"), call(poll, 2, nacks, "acked"))).otherwise(
+        F.array(call(poll, 1, nacks, "acked")))
+    return rows.select(*PART, "offset", F.inline(calls))
 
 
 def batches(log: DataFrame, max_rows: int, chunk_rows: int = scans.CHUNK_ROWS) -> DataFrame:

@@ -778,9 +778,9 @@ def publish_dead_letters(spark, sf):
 
 @query
 def nack(spark, sf):
-    """The whole log as one poll, nacked in each partition at the first offset that ends in 250."""
-    log = w.log6(spark, sf)
-    return progress.nack_deliveries(log, F.col("offset") % 1000 == 250, F.lit(0), 1000).select(
+    """Polls of 300 records; the records at two places of every 400 are nacked once."""
+    nacked = (F.col("offset") % 400).isin(250, 260)
+    return progress.nack_deliveries(w.log6(spark, sf), nacked, F.lit(0), 1000, 300, w.QUERY_CHUNK).select(
         "partition", "offset", "poll", "attempt", "t_ms", "action")
 
 
