@@ -57,8 +57,8 @@ def test_attach_is_the_same_when_it_has_to_shuffle(spark):
     rows = spark.range(500).select((F.col("id") % 7).alias("k"), F.col("id").alias("offset"))
     few = spark.createDataFrame([(i, f"f{i}") for i in range(5)], "k long, label string")
     for how in ("left", "inner", "left_semi", "left_anti"):
-        small = facts.attach(rows, few, ["k"], how, spread="offset")
-        large = facts.attach(rows, few, ["k"], how, spread="offset", limit=2)
+        small = facts.attach(rows, few, ["k"], how)
+        large = facts.attach(rows, few, ["k"], how, limit=2)
         assert sorted(map(str, small.collect())) == sorted(map(str, large.select(*small.columns).collect()))
 
 
@@ -66,7 +66,7 @@ def test_attach_keeps_rows_without_a_key(spark):
     rows = spark.createDataFrame([(None, 1), ("a", 2)], "k string, offset long")
     few = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, label string")
     for limit in (1, 10):
-        got = facts.attach(rows, few, ["k"], limit=limit, spread="offset")
+        got = facts.attach(rows, few, ["k"], limit=limit)
         assert sorted((r["offset"], r["label"]) for r in got.collect()) == [(1, None), (2, "x")]
 
 

@@ -89,14 +89,14 @@ def first_failures(attempts: DataFrame, failed: Column) -> DataFrame:
 
 def stop_at_failure(attempts: DataFrame, failed: Column) -> DataFrame:
     """Rows strictly before their partition's first failure: a failed record stops its partition."""
-    joined = attach(attempts, first_failures(attempts, failed), PART, spread="offset")
+    joined = attach(attempts, first_failures(attempts, failed), PART)
     return joined.filter(F.col("failed_at").isNull() | (F.col("offset") < F.col("failed_at"))).drop("failed_at")
 
 
 def failure_report(attempts: DataFrame, failed: Column) -> DataFrame:
     """Per partition: what a group may commit, the first failure if any, rows handled and rows left."""
     joined = attach(attempts.withColumn("__failed", F.coalesce(failed, F.lit(False))),
-                    first_failures(attempts, failed), PART, spread="offset")
+                    first_failures(attempts, failed), PART)
     before = F.col("failed_at").isNull() | (F.col("offset") < F.col("failed_at"))
     return joined.groupBy(*PART).agg(
         F.max("failed_at").alias("failed_at"),

@@ -173,7 +173,7 @@ def counter_rate(samples: DataFrame, by: Sequence[str], order: str, at_us: str,
     ends = samples.groupBy(*by).agg(F.max(at_us).alias("__end"))
     inside = F.col(at_us) > F.col("__end") - window_s * 1_000_000
     # One end per source; with few sources it is broadcast, with many the join keys are spread.
-    judged = attach(steps.withColumn("__grown", grown), ends, by, spread=order)
+    judged = attach(steps.withColumn("__grown", grown), ends, by)
     return judged.groupBy(*by).agg(
         F.sum("__grown").alias("increase"),
         ((F.max(at_us) - F.min(at_us)) / 1_000_000).alias("elapsed_s"),

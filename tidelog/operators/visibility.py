@@ -16,7 +16,7 @@ def with_outcome(log: DataFrame, markers: DataFrame) -> DataFrame:
     """Each record with its transaction's outcome: commit, abort, open, or null outside a transaction."""
     # attach() spreads one long transaction, and the records outside any, over many tasks when it has to shuffle.
     ended = markers.select("txn_id", F.col("outcome").alias("__end"))
-    return attach(log, ended, ["txn_id"], spread="offset").withColumn(
+    return attach(log, ended, ["txn_id"]).withColumn(
         "outcome", F.when(F.col("txn_id").isNotNull(), F.coalesce("__end", F.lit("open")))).drop("__end")
 
 
@@ -34,7 +34,7 @@ def last_stable_offsets(log: DataFrame, markers: DataFrame) -> DataFrame:
 def with_visibility(log: DataFrame, markers: DataFrame) -> DataFrame:
     """Each record with ``visible``: whether a committed read returns it."""
     judged = with_outcome(log, markers)
-    judged = attach(judged, last_stable_offsets(log, markers), PART, spread="offset")
+    judged = attach(judged, last_stable_offsets(log, markers), PART)
     below = F.col("last_stable").isNull() | (F.col("offset") < F.col("last_stable"))
     ended_well = F.col("outcome").isNull() | (F.col("outcome") == "commit")
     return judged.withColumn("visible", below & ended_well).select(*log.columns, "visible")

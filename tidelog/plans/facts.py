@@ -1,9 +1,9 @@
 """Joining rows to small per-partition facts (bounds, commits, watermarks) without shuffling the rows.
 
 How many facts there are follows from the data, so it is measured before anything is broadcast: at most
-``limit + 1`` of them are fetched. Within the limit they become a local table that is broadcast, or literal
-predicates that reach the parquet scan. Beyond it the join is shuffled, with the row side salted and the facts
-repeated once per salt, so that one hot partition is spread over many tasks.
+``limit + 1`` of them are fetched. Within the limit, and within ``FACT_BYTES``, they become a local table that is
+broadcast, or literal predicates that reach the parquet scan. Beyond it the join is an ordinary one, each fact once;
+adaptive execution splits the rows of a hot partition over many tasks.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FACT_LIMIT = 20_000
+FACT_BYTES = 16 << 20
 SEEK_LIMIT = 512
-SALTS = 16
 
 
 def fetch_small(facts: DataFrame, limit: int = FACT_LIMIT) -> pa.Table | None:
-    """The facts as a local table, or None when there are more than ``limit``."""
+    """The facts as a local table, or None when there are more than ``limit`` or they are too large to broadcast."""
     table = facts.limit(limit + 1).toArrow()
-    return table if table.num_rows <= limit else None
+    return table if table.num_rows <= limit and table.nbytes <= FACT_BYTES else None
 
 
 def attach(
@@ -30,20 +30,14 @@ def attach(
     facts: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    spread: str | None = None,
     limit: int = FACT_LIMIT,
 ) -> DataFrame:
-    """Join ``rows`` to ``facts`` on equal keys (inner, left, left_semi or left_anti).
-
-    ``spread`` names a column of ``rows`` that varies inside a key; it picks the salt of the shuffled form.
-    """
+    """Join ``rows`` to ``facts`` on equal keys (inner, left, left_semi or left_anti)."""
     table = fetch_small(facts, limit)
     if table is not None:
         local = rows.sparkSession.createDataFrame(table, schema=facts.schema)
         return rows.join(F.broadcast(local), list(on), how)
-    salt = F.pmod(F.xxhash64(spread) if spread else F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
-    salted_facts = facts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("__salt", salt).join(salted_facts, [*on, "__salt"], how).drop("__salt")
+    return rows.join(facts, list(on), how)
 
 
 def seek(rows: DataFrame, starts: DataFrame, start: str, stop: str | None = None) -> DataFrame:
@@ -56,7 +50,7 @@ def seek(rows: DataFrame, starts: DataFrame, start: str, stop: str | None = None
     if table is None:
         keyed = attach(rows, starts.select("topic", "partition", F.col(start).alias("__start"),
                                            (F.col(stop) if stop else F.lit(None).cast("bigint")).alias("__stop")),
-                       ["topic", "partition"], "inner", spread="offset")
+                       ["topic", "partition"], "inner")
         inside = (F.col("offset") >= F.col("__start")) & (
             F.col("__stop").isNull() | (F.col("offset") < F.col("__stop")))
         return keyed.filter(inside).select(*rows.columns)

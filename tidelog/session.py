@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,12 @@ def build_session(cpus: int | str = 8, name: str = "tidelog", shuffle_partitions
     return spark
 
 
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """For local sessions without a checkpoint folder; it goes when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="tidelog-", dir="/tmp", ignore_cleanup_errors=True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder name under the session's checkpoint folder, readable by every executor.
 
@@ -38,6 +45,6 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="tidelog-", dir="/tmp")
+        base = _local_folder().name
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tidelog-{uuid.uuid4().hex}"

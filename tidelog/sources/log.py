@@ -204,7 +204,7 @@ def append_log(
     numbered = scans.scan(cut, ["topic", "partition"], [order], F.col("__cut"), offset=scans.index())
     if exists(spark, path):
         ends = log_ends(read_log(spark, path)).select("topic", "partition", F.col("end").alias("__end"))
-        numbered = attach(numbered, ends, ["topic", "partition"], spread=order).withColumn(
+        numbered = attach(numbered, ends, ["topic", "partition"]).withColumn(
             "offset", F.col("offset") + F.coalesce("__end", F.lit(0))).drop("__end")
     if txn_id is not None:
         numbered = numbered.withColumn("txn_id", F.lit(txn_id))
