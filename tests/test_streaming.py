@@ -221,6 +221,23 @@ def test_records_of_one_id_wait_side_by_side(spark, folder):
     assert counts == {"flaky9-1": 5, "flaky9-2": 5, "flaky1-3": 2}
 
 
+def test_settled_queue_records_leave_the_state(spark, folder):
+    from tidelog.streaming.queries import wait_until_settled
+
+    state.use_rocksdb(spark)
+    rows = [(f"r{i}", 1, 0, 1000, queue.ACCEPT if i % 2 else queue.REJECT, i) for i in range(20)]
+    spark.createDataFrame(rows, "id string, delivery int, delivered_us bigint, acked_us bigint, type string, seq bigint").coalesce(1).write.parquet(folder + "/in")
+    acks = spark.readStream.schema("id string, delivery int, delivered_us bigint, acked_us bigint, type string, seq bigint").parquet(folder + "/in")
+    updates = state.queue_state_stream(acks, 2, 2_000_000, forget_ms=500)
+    query = updates.writeStream.outputMode("update").foreachBatch(d.append_effect(folder + "/states")).option("checkpointLocation", folder + "/checkpoint").trigger(processingTime="200 milliseconds").start()
+    try:
+        wait_until_settled(query)
+    finally:
+        query.stop()
+    assert {r["state"] for r in state.latest_states(spark.read.parquet(folder + "/states")).collect()} == {"acknowledged", "archived"}
+    assert spark.read.parquet(folder + "/states").count() == 20
+
+
 def test_queue_state_stream_equals_batch(spark, folder):
     state.use_rocksdb(spark)
     rows = []

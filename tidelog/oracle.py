@@ -580,6 +580,7 @@ SQL["stream_exactly_once"] = "SELECT event_id, upper(event_type) AS value FROM e
 SQL["stream_dedup"] = "SELECT event_id, user_id FROM events"
 SQL["stream_commit_every_n"] = """
 SELECT count(*) AS records, count(*) - 1 AS last_seen, true AS bounded FROM events"""
+SQL["stream_rate_limits"] = "SELECT count(*) AS records, 3 AS batches FROM events"
 SQL["stream_append_rejects"] = """
 SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'no partition' WHEN event_id % 19 = 0 THEN 'partition out of range' END AS reason FROM events"""
 SQL["stream_at_least_once"] = "SELECT event_id, 2 AS effects FROM events"

@@ -86,6 +86,16 @@ def stream_commit_every_n(spark, sf):
     return batches.agg(F.sum("n").alias("records"), F.max("last").alias("last_seen"), (F.max("n") <= n).alias("bounded"))
 
 
+@query
+def stream_rate_limits(spark, sf):
+    """Twelve files at five per micro-batch: rows read and batches taken."""
+    folder = shared_folder(spark)
+    w.events(spark, sf).select("event_id").repartitionByRange(12, "event_id").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("event_id bigint").options(**d.rate_limits("files", max_files=5)).parquet(f"{folder}/in")
+    d.drain(d.deliver(stream, d.append_effect(f"{folder}/out"), d.AT_LEAST_ONCE, f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/out").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("batch_id").alias("batches"))
+
+
 @query
 def stream_dedup(spark, sf):
     """Every 13th record is delivered twice."""

@@ -18,6 +18,7 @@ from tidelog.operators.queue import ACCEPT, REJECT, RELEASE, RENEW
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RETRY_ENTRIES = "id string, payload string, attempt int, error string, via string"
+SETTLED = ("acknowledged", "archived")
 QUEUE_STATES = "id string, state string, deliveries int, applied bigint, refused bigint, expired bigint"
 
 
@@ -88,10 +89,11 @@ def retry_topics(stream: DataFrame, topic: str, handler: Callable[[str, str, int
 class QueueProcessor(StatefulProcessor):
     """Folds the acks of one record, in arrival order, into its queue state."""
 
-    def __init__(self, limit: int, lock_us: int):
-        self.limit, self.lock_us = limit, lock_us
+    def __init__(self, limit: int, lock_us: int, forget_ms: int | None = None):
+        self.limit, self.lock_us, self.forget_ms = limit, lock_us, forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.record = handle.getValueState(
             "record", "delivery int, alive_us bigint, lapsed boolean, ended string, applied bigint, refused bigint, expired bigint")
 
@@ -123,23 +125,33 @@ class QueueProcessor(StatefulProcessor):
             state = "archived" if delivery >= self.limit else "available"
         else:
             state = "acquired"
+        if self.forget_ms is not None and state in SETTLED:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.forget_ms)
         open_expiry = int(ended is None and lapsed)
         yield pd.DataFrame([(key[0], state, delivery, applied, refused, expired + open_expiry)],
                            columns=["id", "state", "deliveries", "applied", "refused", "expired"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # A settled record takes no further ack, so nothing has changed since its timer was set.
+        if self.record.exists():
+            self.record.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
-def queue_state_stream(acks: DataFrame, limit: int, lock_us: int) -> DataFrame:
+def queue_state_stream(acks: DataFrame, limit: int, lock_us: int, forget_ms: int | None = None) -> DataFrame:
     """Current state per record id after each micro-batch (update mode).
 
     ``acks`` has (id, delivery, delivered_us, acked_us, type, seq). A delivery that nobody answered yet is
-    acquired until a later delivery of the record shows that its lock expired.
+    acquired until a later delivery of the record shows that its lock expired. With ``forget_ms`` a settled record
+    leaves the state that long after it settled, so the state holds open records only; choose it well beyond the lock,
+    as an ack that comes later still would open the record anew. Without it every record stays.
     """
     return acks.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=QueueProcessor(limit, lock_us), outputStructType=QUEUE_STATES,
-        outputMode="update", timeMode="None")
+        statefulProcessor=QueueProcessor(limit, lock_us, forget_ms), outputStructType=QUEUE_STATES,
+        outputMode="update", timeMode="None" if forget_ms is None else "ProcessingTime")
 
 
 def latest_states(updates: DataFrame, order: Sequence[str] = ("batch_id",)) -> DataFrame:
