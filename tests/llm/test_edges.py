@@ -110,11 +110,11 @@ def test_repeat_words_by_brute_force(docs_of):
         assert got[i] == len({k + x for k, v in enumerate(windows) if windows.count(v) > 1 for x in range(3)})
 
 
-def test_toxic_stems(spark, docs_of):
+def test_toxic_words(spark, docs_of):
     rows = [(i, prose(60, 5000 + i) + (" vilewordone, nastything" if i % 4 == 0 else "")) for i in range(80)]
     labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(80)] + [(None, 1, 1), (3, 1, None), (999, 1, 1)], "doc_id long, quality int, toxic int")
-    assert quality.toxic_stems(docs_of(rows), labels) == ["nast", "vile"]
-    assert quality.toxic_stems(docs_of(rows), labels.limit(0)) == []
+    assert quality.toxic_words(docs_of(rows), labels) == ["nastything", "vilewordone"]
+    assert quality.toxic_words(docs_of(rows), labels.limit(0)) == []
 
 
 PAGE = """<html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body><div id="cookie-notice">We use cookies. Accept all of them now please.</div>

@@ -33,7 +33,7 @@ def _words(c: str) -> str:
 
 
 def measures(docs: str) -> str:
-    """CTEs m (doc_id, t, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words) and stems."""
+    """CTEs m (doc_id, t, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words) and judged (those, base_failed, verdict)."""
     return rf"""
 d0 AS (SELECT doc_id, coalesce(text, '') AS t, {_words('text')} AS w,
               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM {docs}),
@@ -46,20 +46,20 @@ m AS (SELECT d0.doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(transl
       FROM d0 LEFT JOIN cov USING (doc_id)),
 lab AS (SELECT doc_id, max(toxic) AS toxic FROM labels WHERE doc_id IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id
         ORDER BY md5(CAST(doc_id AS VARCHAR)) LIMIT 20000),
-known AS (SELECT toxic, list_distinct(list_transform(list_filter(regexp_extract_all(lower(coalesce(text, '')), '\p{{L}}+'),
-                 lambda x: length(x) >= 4), lambda x: substr(x, 1, 4))) AS s FROM documents JOIN lab USING (doc_id)),
-tot AS (SELECT sum(CAST(toxic > 0 AS INT)) AS all_bad, count(*) AS all_n FROM known),
-seen AS (SELECT stem, sum(CAST(toxic > 0 AS INT)) AS bad, count(*) AS n FROM (SELECT toxic, unnest(s) AS stem FROM known) GROUP BY stem),
-stems AS (SELECT list(stem) AS s FROM (SELECT stem FROM seen, tot WHERE bad >= 5 AND bad * 100 >= all_bad
-          AND bad * (all_n - all_bad + 1) >= 30 * (n - bad + 0.5) * (all_bad + 1) ORDER BY bad DESC, stem LIMIT 512)),
+known AS (SELECT toxic > 0 AS bad, list_distinct(list_filter(regexp_extract_all(lower(coalesce(text, '')), '\p{{L}}+'), lambda x: length(x) >= 4)) AS s
+          FROM documents JOIN lab USING (doc_id)),
+held AS (SELECT DISTINCT bad, list_min(list_transform(s, lambda x: md5(x))) AS sketch, unnest(list_append(s, '')) AS word FROM known WHERE len(s) > 0),
+seen AS (SELECT word, count(*) FILTER (bad) AS bad, count(*) AS n FROM held GROUP BY word),
+tot AS (SELECT bad AS all_bad, n AS all_n FROM seen WHERE word = ''),
+toxic AS (SELECT list(word) AS s FROM (SELECT word FROM seen, tot WHERE word <> '' AND bad >= 5 AND bad * 100 >= all_bad
+          AND bad * (all_n - all_bad + 1) >= 30 * (n - bad + 0.5) * (all_bad + 1) ORDER BY bad DESC, word LIMIT 512)),
 judged AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
              (n_words < 50 OR n_repeat_words * 100 > n_words * 50) AS base_failed,
              NOT (n_symbols * 10 > n_words
                   OR (2 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) AND length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) >= 50)
                   OR (n_lines >= 5 AND 2 * n_dup_lines > n_lines)
                   OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words
-                  OR list_has_any(list_transform(list_filter(regexp_extract_all(lower(t), '\p{{L}}+'), lambda x: length(x) >= 4), lambda x: substr(x, 1, 4)),
-                                  coalesce((SELECT s FROM stems), []))) AS verdict FROM m)"""
+                  OR list_has_any(list_filter(regexp_extract_all(lower(t), '\p{{L}}+'), lambda x: length(x) >= 4), coalesce((SELECT s FROM toxic), []))) AS verdict FROM m)"""
 
 
 def lines(docs: str) -> str:

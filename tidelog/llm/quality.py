@@ -4,8 +4,9 @@ Each rule says whether it rejects a document and which measures it needs. On a s
 sample) and selectivity (share rejected) are estimated; rules then run in order of rejections per cost, and a document
 that one rule rejects is spared the later ones. The order changes the time, never the verdict.
 
-The toxicity rule is learned: the first four letters of words that labelled toxic documents hold far more often than
-the other labelled documents do. The labelled sample is bounded by LABELLED_ROWS.
+The toxicity rule is learned: words that labelled toxic documents hold far more often than the other labelled documents
+do. Copies teach once: documents that agree in the word with the least MD5 sum count as one. The labelled sample is
+bounded by LABELLED_ROWS.
 """
 
 from __future__ import annotations
@@ -21,12 +22,12 @@ from tidelog.llm.common import bind, positions, space_words
 
 #: At most so many labelled documents teach the toxicity rule: those whose ids have the smallest MD5 sums.
 LABELLED_ROWS = 20_000
-#: A stem is toxic if it is in one of 100 toxic documents (and 5 at least), and 30 times as often there as elsewhere.
-STEM_SHARE, STEM_LEAST, STEM_RATIO, STEMS = 100, 5, 30, 512
+#: A word is toxic if it is in one of 100 toxic documents (and 5 at least), and 30 times as often there as elsewhere.
+TOXIC_SHARE, TOXIC_LEAST, TOXIC_RATIO, TOXIC_WORDS = 100, 5, 30, 512
 #: Rows from which the order of the rules is estimated.
 ORDER_SAMPLE = 400
 SYMBOLS = "#*$%&|<>"
-_STEM = r"(?<!\p{L})\p{L}{4}"
+_LONG_WORD = r"\p{L}{4,}"
 
 
 @dataclass(frozen=True)
@@ -91,17 +92,17 @@ def _caps(text: Column) -> Column:
     return (upper * 2 > letters) & (letters >= 50)
 
 
-def default_rules(stems: list[str]) -> list[Rule]:
-    """Rules beside the contract's base rules: symbols, capitals, repeated lines, odd word lengths, toxic stems."""
-    known = F.array(*[F.lit(x) for x in stems]) if stems else F.array().cast("array<string>")
+def default_rules(toxic: list[str]) -> list[Rule]:
+    """Rules beside the contract's base rules: symbols, capitals, repeated lines, odd word lengths, toxic words."""
+    known = F.array(*[F.lit(x) for x in toxic])
     rules = [
         Rule("symbols", lambda t: n_symbols(t) * 10 > n_words(t)),
         Rule("capitals", _caps),
         Rule("repeated_lines", lambda t: bind(_lines(t), lambda x: (F.size(x) >= 5) & ((F.size(x) - F.size(F.array_distinct(x))) * 2 > F.size(x)))),
         Rule("word_length", lambda t: ~word_chars(t).between(2 * n_words(t), 20 * n_words(t))),
     ]
-    if stems:
-        rules.append(Rule("toxic", lambda t: F.arrays_overlap(F.regexp_extract_all(F.lower(t), F.lit(_STEM), F.lit(0)), known)))
+    if toxic:
+        rules.append(Rule("toxic", lambda t: F.arrays_overlap(_long_words(t), known)))
     return rules
 
 
@@ -110,8 +111,13 @@ def base_rules() -> list[Rule]:
             Rule("repeats", lambda t: n_repeat_words(t) * 100 > n_words(t) * 50)]
 
 
-def toxic_stems(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> list[str]:
-    """The learned stems, sorted. No labels, or none of a class: none. Labels with a null id or class teach nothing.
+def _long_words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(_LONG_WORD), F.lit(0))
+
+
+def toxic_words(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> list[str]:
+    """The learned words (of four letters or more), sorted. No labels, or none of a class: none. Labels with a null id or
+    class, and documents without such words, teach nothing.
 
     If an id is labelled more than once it is toxic if any label says so. At most LABELLED_ROWS ids are used, so what is
     broadcast and what is counted are bounded.
@@ -120,17 +126,19 @@ def toxic_stems(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
            .groupBy("id").agg(F.max("toxic").alias("toxic")))
     sample = ids.orderBy(F.md5(F.col("id").cast("string"))).limit(LABELLED_ROWS)
     known = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(sample), "id")
-    stems = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_STEM), F.lit(0)))
-    # The empty stem of each document counts the documents of either class.
-    held = known.select("toxic", F.explode_outer(F.concat(F.array(F.lit("")), stems)).alias("stem"))
-    counts = held.groupBy("stem").agg(F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("bad"), F.count("*").alias("n"))
-    total = counts.where("stem = ''").select(F.col("bad").alias("all_bad"), F.col("n").alias("all_n"))
+    words = known.select((F.col("toxic") > 0).alias("bad"), F.array_distinct(_long_words(F.col("text"))).alias("words"))
+    words = words.withColumn("sketch", F.array_min(F.transform("words", lambda w: F.md5(w))))
+    # The empty word of each document counts the documents of either class.
+    held = words.select("bad", "sketch", F.explode_outer(F.concat(F.array(F.lit("")), "words")).alias("word"))
+    counts = held.where("sketch is not null").distinct().groupBy("word").agg(
+        F.count_if("bad").alias("bad"), F.count("*").alias("n"))
+    total = counts.where("word = ''").select(F.col("bad").alias("all_bad"), F.col("n").alias("all_n"))
     share = (F.col("bad") * (F.col("all_n") - F.col("all_bad") + 1)
-             >= STEM_RATIO * (F.col("n") - F.col("bad") + 0.5) * (F.col("all_bad") + 1))
-    found = (counts.where("stem <> ''").join(F.broadcast(total))
-             .where(share & (F.col("bad") >= STEM_LEAST) & (F.col("bad") * STEM_SHARE >= F.col("all_bad")))
-             .orderBy(F.desc("bad"), "stem").limit(STEMS))
-    return sorted(r.stem for r in found.select("stem").collect())
+             >= TOXIC_RATIO * (F.col("n") - F.col("bad") + 0.5) * (F.col("all_bad") + 1))
+    found = (counts.where("word <> ''").join(F.broadcast(total))
+             .where(share & (F.col("bad") >= TOXIC_LEAST) & (F.col("bad") * TOXIC_SHARE >= F.col("all_bad")))
+             .orderBy(F.desc("bad"), "word").limit(TOXIC_WORDS))
+    return sorted(r.word for r in found.select("word").collect())
 
 
 def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text") -> list[Rule]:
