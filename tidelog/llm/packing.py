@@ -9,11 +9,11 @@ merges any more. A round writes where each item went; places add up along the ro
 from __future__ import annotations
 
 import re
+import struct
 import sys
 import types
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,8 +28,10 @@ from tidelog.llm.common import written
 GROUP_ITEMS = 50_000
 #: A bin with no more free tokens than this is done.
 NEARLY_FULL = 8
-#: Word forms whose ids a Python worker remembers.
-CACHE_WORDS = 600_000
+#: Word forms, and pieces of words, whose ids a Python worker remembers.
+CACHE_WORDS = 1_000_000
+#: Marks that may close a word.
+MARKS = ".,;:!?"
 #: White space that libraries read differently, and the start of special tokens: such texts are encoded as they are.
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|<\\|")
 
@@ -37,7 +39,9 @@ _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 class WordEncoder:
     """Ids of texts under a tokenizer that drops white space, through a bounded cache of word forms.
 
-    New forms go through the tokenizer's own normalizer, pre-tokenizer and model, many at a time.
+    New forms go through the tokenizer's own normalizer, pre-tokenizer and model, many at a time. Words of common
+    letters, with or without closing marks, skip the first two: what these make of each letter is asked once, and whether
+    they leave runs of such letters whole.
     """
 
     def __init__(self, path: str):
@@ -47,6 +51,23 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.letters = self._common_letters()
+        self.table = str.maketrans(self.letters)
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def _steps(self, text: str) -> list[str]:
+        text = self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text
+        return [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)] if self.tokenizer.pre_tokenizer else [text]
+
+    def _common_letters(self) -> dict[str, str]:
+        """Lower-case letters and the model's spelling of each; none if runs of them, or marks behind them, are not kept apart."""
+        steps = {c: self._steps(c) for c in map(chr, range(0x41, 0x180)) if c.isalpha()}
+        letters = {c: p[0] for c, p in steps.items() if len(p) == 1 and c == c.lower()}
+        letters = {c: p for c, p in letters.items() if len(c.upper()) > 1 or c.upper().lower() != c or steps.get(c.upper(), [p]) == [p]}
+        run = "".join(letters)
+        whole = "".join(letters.values())
+        apart = all(self._steps(f"{run}{m}") == [whole, *self._steps(m)] for m in MARKS)
+        return letters if self._steps(run) == [whole] and apart else {}
 
     @classmethod
     def of_worker(cls, path: str) -> WordEncoder:
@@ -59,7 +80,32 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
+        if len(self.pieces) > CACHE_WORDS:
             self.pieces.clear()
+        rest, known = [], self.letters.keys()
+        for w in words:
+            core = w.rstrip(MARKS)
+            low = core.lower()
+            if not core or not known >= set(low):
+                rest.append(w)
+                continue
+            ids = self.pieces.get(low)
+            if ids is None:
+                ids = self.pieces[low] = self._ids(low.translate(self.table))
+            if low == w:
+                self.words[w] = ids
+                continue
+            end = w[len(core):]
+            if end not in self.marks:
+                self.marks[end] = self.whole(end)
+            self.words[w] = ids + self.marks[end]
+        if rest:
+            self._learn_others(rest)
+
+    def _ids(self, piece: str) -> bytes:
+        return pack_ids([t.id for t in self.model.tokenize(piece)])
+
+    def _learn_others(self, words: list[str]) -> None:
         joined = self.tokenizer.normalizer.normalize_str(" ".join(words)) if self.tokenizer.normalizer else " ".join(words)
         spans = [len(x) for x in joined.split(" ")]
         if len(spans) != len(words):
@@ -72,33 +118,39 @@ class WordEncoder:
             while start >= end and word + 1 < len(words):
                 word += 1
                 end += 1 + spans[word]
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(piece)], np.uint32).tobytes()
-            out[word].append(ids)
+            out[word].append(self._ids(piece))
         for w, parts in zip(words, out, strict=True):
             self.words[w] = b"".join(parts)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else t.split() for t in texts]
-        done: list[bytes] = []
-        for a in range(0, len(texts), 200):
-            part = split[a:a + 200]
-            new = list(set(chain.from_iterable(x for x in part if x)).difference(self.words))
-            for b in range(0, len(new), 20_000):
-                self._learn(new[b:b + 20_000])
-            for words, text in zip(part, texts[a:a + 200], strict=True):
-                if words is None:
-                    done.append(self.whole(text))
-                else:
-                    # A cleared cache may lack words of this part again.
-                    if missing := [w for w in set(words) if w not in self.words]:
-                        self._learn(missing)
-                    done.append(b"".join(map(self.words.__getitem__, words)))
-        return done
+        """The ids of each text, four bytes each."""
+        split = [None if _is_odd(t) else t.split() for t in texts]
+        new = list(set().union(*(x for x in split if x)).difference(self.words))
+        for b in range(0, len(new), 20_000):
+            self._learn(new[b:b + 20_000])
+        return [self.whole(text) if words is None else self._joined(words) for words, text in zip(split, texts, strict=True)]
+
+    def _joined(self, words: list[str]) -> bytes:
+        try:
+            return b"".join(map(self.words.__getitem__, words))
+        except KeyError:  # the cache was cleared on the way
+            missing = list(set(words).difference(self.words))
+            for b in range(0, len(missing), 20_000):
+                self._learn(missing[b:b + 20_000])
+            return b"".join([self.words[w] if w in self.words else self.whole(w) for w in words])
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _is_odd(text: str) -> bool:
+    if text.isascii():
+        return "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return _ODD.search(text) is not None
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int, doc_id: str = "doc_id", text: str = "text", drops_space: bool = False) -> DataFrame:
