@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import bind, positions, space_words
+from tidelog.plans.once import compute_once
 
 #: At most so many labelled documents teach the toxicity rule: those whose ids have the smallest MD5 sums.
 LABELLED_ROWS = 20_000
@@ -126,10 +127,11 @@ def toxic_words(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
            .groupBy("id").agg(F.max("toxic").alias("toxic")))
     sample = ids.orderBy(F.md5(F.col("id").cast("string"))).limit(LABELLED_ROWS)
     known = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(sample), "id")
-    words = known.select((F.col("toxic") > 0).alias("bad"), F.array_distinct(_long_words(F.col("text"))).alias("words"))
-    words = words.withColumn("sketch", F.array_min(F.transform("words", lambda w: F.md5(w))))
+    taught = bind(F.array_distinct(_long_words(F.col("text"))), lambda words: F.struct(
+        words.alias("words"), F.array_min(F.transform(words, lambda w: F.md5(w))).alias("sketch")))
+    once = compute_once(known.select((F.col("toxic") > 0).alias("bad"), "text"), taught=taught)
     # The empty word of each document counts the documents of either class.
-    held = words.select("bad", "sketch", F.explode_outer(F.concat(F.array(F.lit("")), "words")).alias("word"))
+    held = once.select("bad", "taught.sketch", F.explode_outer(F.concat(F.array(F.lit("")), "taught.words")).alias("word"))
     counts = held.where("sketch is not null").distinct().groupBy("word").agg(
         F.count_if("bad").alias("bad"), F.count("*").alias("n"))
     total = counts.where("word = ''").select(F.col("bad").alias("all_bad"), F.col("n").alias("all_n"))
