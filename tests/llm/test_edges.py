@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names, for each operator."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -117,6 +118,16 @@ def test_toxic_words(spark, docs_of):
     assert quality.toxic_words(docs_of(rows), labels.limit(0)) == []
 
 
+def test_documents_that_share_a_word_teach_apart_and_copies_once(spark, docs_of):
+    # "zomlplq" has a smaller MD5 sum than any other word here.
+    rows = [(i, "zomlplq " + prose(60, 6000 + i) + (" vilewordone" if i % 4 == 0 else " copiedword" if i == 1 else "")) for i in range(80)]
+    least = min((w for _, t in rows for w in t.split()), key=lambda w: hashlib.md5(w.encode()).hexdigest())
+    assert least == "zomlplq"
+    copies = [(100 + i, rows[1][1]) for i in range(20)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0 or i >= 100 or i == 1)) for i, _ in rows + copies], "doc_id long, quality int, toxic int")
+    assert quality.toxic_words(docs_of(rows + copies), labels) == ["vilewordone"]
+
+
 PAGE = """<html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body><div id="cookie-notice">We use cookies. Accept all of them now please.</div>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">One</a></li></ul></nav><article class=post><h1>A&amp;B   story</h1><p>It was a dark&nbsp;and stormy
 night.<br>The rain fell in torrents.<p>Short one.</p><section class="comments"><p>Great post! I like this one very much, thanks for posting it.</p></section>

@@ -5,8 +5,8 @@ sample) and selectivity (share rejected) are estimated; rules then run in order
 that one rule rejects is spared the later ones. The order changes the time, never the verdict.
 
 The toxicity rule is learned: words that labelled toxic documents hold far more often than the other labelled documents
-do. Copies teach once: documents that agree in the word with the least MD5 sum count as one. The labelled sample is
-bounded by LABELLED_ROWS.
+do. Copies teach once: documents of a class with the same set of such words count as one, all others for themselves. The
+labelled sample is bounded by LABELLED_ROWS.
 """
 
 from __future__ import annotations
@@ -127,13 +127,13 @@ def toxic_words(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
            .groupBy("id").agg(F.max("toxic").alias("toxic")))
     sample = ids.orderBy(F.md5(F.col("id").cast("string"))).limit(LABELLED_ROWS)
     known = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(sample), "id")
-    taught = bind(F.array_distinct(_long_words(F.col("text"))), lambda words: F.struct(
-        words.alias("words"), F.array_min(F.transform(words, lambda w: F.md5(w))).alias("sketch")))
+    taught = bind(F.array_sort(F.array_distinct(_long_words(F.col("text")))), lambda words: F.struct(
+        words.alias("words"), F.md5(F.array_join(words, " ")).alias("same")))
     once = compute_once(known.select((F.col("toxic") > 0).alias("bad"), "text"), taught=taught)
+    apart = once.where(F.size("taught.words") > 0).groupBy("bad", "taught.same").agg(F.first("taught.words").alias("words"))
     # The empty word of each document counts the documents of either class.
-    held = once.select("bad", "taught.sketch", F.explode_outer(F.concat(F.array(F.lit("")), "taught.words")).alias("word"))
-    counts = held.where("sketch is not null").distinct().groupBy("word").agg(
-        F.count_if("bad").alias("bad"), F.count("*").alias("n"))
+    held = apart.select("bad", F.explode(F.concat(F.array(F.lit("")), "words")).alias("word"))
+    counts = held.groupBy("word").agg(F.count_if("bad").alias("bad"), F.count("*").alias("n"))
     total = counts.where("word = ''").select(F.col("bad").alias("all_bad"), F.col("n").alias("all_n"))
     share = (F.col("bad") * (F.col("all_n") - F.col("all_bad") + 1)
              >= TOXIC_RATIO * (F.col("n") - F.col("bad") + 0.5) * (F.col("all_bad") + 1))
