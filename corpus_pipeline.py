@@ -21,8 +21,7 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects: those of the base (too short, repetitive) and the further ones with the learned toxic words."""
-    toxic = quality.toxic_words(docs, table(spark, sf_dir, "labels"))
-    rules = quality.order_rules(docs, quality.base_rules() + quality.default_rules(toxic))
+    rules = quality.order_rules(docs, quality.base_rules() + quality.default_rules(*quality.learned(docs, table(spark, sf_dir, "labels"))))
     return quality.cascade(docs, rules, kept="__kept").where("__kept").select(docs.columns)
 
 

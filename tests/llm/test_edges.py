@@ -128,6 +128,28 @@ def test_documents_that_share_a_word_teach_apart_and_copies_once(spark, docs_of)
     assert quality.toxic_words(docs_of(rows + copies), labels) == ["vilewordone"]
 
 
+def test_toxic_stems_with_many_endings(spark, docs_of):
+    # No single word is in five documents; the stem is in all toxic ones of a language with few documents.
+    r = random.Random(11)
+    def ending():
+        return "".join(r.choice("klmnop") for _ in range(6))
+    rows = [(i, prose(60, 7000 + i) + "".join(f" vilest{ending()}" for _ in range(8) if i % 20 == 0)) for i in range(800)]
+    table = docs_of(rows)
+    labels = spark.createDataFrame([(i, 1, int(i % 20 == 0)) for i in range(0, 800, 2)], "doc_id long, quality int, toxic int")
+    words, weights = quality.learned(table, labels)
+    assert words == [] and "vilest" in weights
+    kept = {x.doc_id: x.kept for x in quality.cascade(table, quality.default_rules(words, weights)).collect()}
+    assert not any(kept[i] for i in kept if i % 20 == 0) and sum(not kept[i] for i in kept if i % 20) <= 8
+    held = docs_of([(1, prose(60, 1) + "".join(f" vilest{ending()}" for _ in range(8))), (2, prose(60, 2)), (3, None), (4, "")])
+    assert {x.doc_id: x.kept for x in quality.cascade(held, quality.default_rules([], weights)).collect()}[1] is False
+    assert quality.cascade(held, quality.default_rules([], weights)[-1:]).where("kept").count() == 3
+    some = {"vile": 1.0, "vilest": 2.0, "vilest ": 3.0, "vileste": 1.5, "\u00e9t\u00e9": 2.5, "abc ": 4.0}
+    texts = ["vilest Vilest vilestes vile evile, \u00c9T\u00c9s abc abcd", "abc", "vil", "x-vilely"]
+    got = [x.s for x in docs_of(list(enumerate(texts))).orderBy("doc_id").select(quality.toxic_score(F.col("text"), some).alias("s")).collect()]
+    assert got == [3.0 + 2.0 + 1.0 + 2.5 + 4.0, 4.0, 0.0, 1.0]
+    assert quality.learned(table, labels.limit(0)) == ([], {}) and quality.learned(table, labels.where("toxic = 1")) == ([], {})
+
+
 PAGE = """<html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body><div id="cookie-notice">We use cookies. Accept all of them now please.</div>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">One</a></li></ul></nav><article class=post><h1>A&amp;B   story</h1><p>It was a dark&nbsp;and stormy
 night.<br>The rain fell in torrents.<p>Short one.</p><section class="comments"><p>Great post! I like this one very much, thanks for posting it.</p></section>

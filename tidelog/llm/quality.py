@@ -4,31 +4,46 @@ Each rule says whether it rejects a document and which measures it needs. On a s
 sample) and selectivity (share rejected) are estimated; rules then run in order of rejections per cost, and a document
 that one rule rejects is spared the later ones. The order changes the time, never the verdict.
 
-The toxicity rule is learned: words that labelled toxic documents hold far more often than the other labelled documents
-do. Copies teach once: documents of a class with the same set of such words count as one, all others for themselves. The
-labelled sample is bounded by LABELLED_ROWS.
+Two toxicity rules are learned: single words that labelled toxic documents hold far more often than the other labelled
+documents do, and a score over words and beginnings of words, for stems with many endings. A feature's weight is the lower
+bound of its smoothed log odds; no share of the documents is asked for, so that a language with few of them learns too.
+Copies teach once: documents of a class with the same set of words count as one, all others for themselves. The labelled
+sample is bounded by LABELLED_ROWS.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import time
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import bind, positions, space_words
+from tidelog.llm.common import bind, positions, space_words, written
 from tidelog.plans.once import compute_once
 
 #: At most so many labelled documents teach the toxicity rule: those whose ids have the smallest MD5 sums.
 LABELLED_ROWS = 20_000
 #: A word is toxic if it is in one of 100 toxic documents (and 5 at least), and 30 times as often there as elsewhere.
 TOXIC_SHARE, TOXIC_LEAST, TOXIC_RATIO, TOXIC_WORDS = 100, 5, 30, 512
+#: Lengths of the beginnings that are features beside the words themselves.
+STEMS = range(3, 9)
+#: A feature counts if it is in so many toxic documents and its log odds are so many standard deviations above 0; its weight
+#: is the log odds less BOUND deviations. Half of the labels of sf0.1 judged by the other half set DEVIATIONS and SCORE.
+FEATURE_LEAST, DEVIATIONS, BOUND = 3, 3.3, 1.64
+#: A document is toxic if the weights of its distinct words are above SCORE times the root of a tenth of its characters.
+SCORE = 0.4
+#: Places of the lookup table for each feature.
+PLACES = 4
 #: Rows from which the order of the rules is estimated.
 ORDER_SAMPLE = 400
 SYMBOLS = "#*$%&|<>"
 _LONG_WORD = r"\p{L}{4,}"
+_WORD = r"\p{L}{3,}"
 
 
 @dataclass(frozen=True)
@@ -93,8 +108,8 @@ def _caps(text: Column) -> Column:
     return (upper * 2 > letters) & (letters >= 50)
 
 
-def default_rules(toxic: list[str]) -> list[Rule]:
-    """Rules beside the contract's base rules: symbols, capitals, repeated lines, odd word lengths, toxic words."""
+def default_rules(toxic: list[str], weights: dict[str, float] | None = None) -> list[Rule]:
+    """Rules beside the contract's base rules: symbols, capitals, repeated lines, odd word lengths, toxic words, toxic score."""
     known = F.array(*[F.lit(x) for x in toxic])
     rules = [
         Rule("symbols", lambda t: n_symbols(t) * 10 > n_words(t)),
@@ -104,6 +119,8 @@ def default_rules(toxic: list[str]) -> list[Rule]:
     ]
     if toxic:
         rules.append(Rule("toxic", lambda t: F.arrays_overlap(_long_words(t), known)))
+    if weights:
+        rules.append(Rule("toxic_score", lambda t: toxic_score(t, weights) > SCORE * F.sqrt(F.char_length(t) / 10)))
     return rules
 
 
@@ -116,31 +133,92 @@ def _long_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_LONG_WORD), F.lit(0))
 
 
-def toxic_words(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> list[str]:
-    """The learned words (of four letters or more), sorted. No labels, or none of a class: none. Labels with a null id or
-    class, and documents without such words, teach nothing.
+def _features(word: Column) -> Column:
+    """The beginnings of a word, and the word with a blank behind it. Beginnings longer than the word are the word."""
+    return F.array(*[F.substring(word, 1, k) for k in STEMS], F.concat(word, F.lit(" ")))
 
-    If an id is labelled more than once it is toxic if any label says so. At most LABELLED_ROWS ids are used, so what is
-    broadcast and what is counted are bounded.
+
+def _tree(features: set[str]) -> str:
+    """A pattern of what begins like one of the features; those with a blank at the end have no letter behind them."""
+    if "" in features:
+        return ""
+    same = os.path.commonprefix(list(features))
+    if same:
+        rest = {x[len(same):] for x in features}
+        return same.replace(" ", r"(?!\p{L})") + (_tree(rest) if rest != {""} else "")
+    heads = sorted({x[0] for x in features})
+    return f"(?:{'|'.join(_tree({x for x in features if x[0] == a}) for a in heads)})"
+
+
+def toxic_score(text: Column, weights: dict[str, float]) -> Column:
+    """The sum over the distinct words of the text of the largest weight among a word's features.
+
+    Only words that have a feature are taken from the text, by a tree of all features. A literal table, dealt by hash, holds
+    all weights, however many: a lookup meets the few that share a place. A feature that weighs no more than a beginning of
+    its own never is the largest and is left out.
     """
+    best = {x: v for x, v in weights.items() if all(weights.get(x[:k], float("-inf")) < v for k in STEMS if k < len(x))}
+    size = PLACES * len(best)
+    # The place of a word in Python and in Spark: its CRC.
+    table: list[dict[str, float]] = [{} for _ in range(size)]
+    for word, value in best.items():
+        table[zlib.crc32(word.encode()) % size][word] = value
+    places = F.from_json(F.lit(json.dumps(table)), "array<map<string,double>>")
+    found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?<!\p{{L}})(?:{_tree(set(best))})\p{{L}}*"), F.lit(0))
+
+    def weight(word: Column) -> Column:
+        return F.array_max(F.transform(_features(word), lambda x: F.get(places, F.pmod(F.crc32(x), F.lit(size)).cast("int"))[x]))
+
+    return F.aggregate(F.array_distinct(found), F.lit(0.0), lambda total, w: total + F.coalesce(weight(w), F.lit(0.0)))
+
+
+def _known(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: str, words: Callable[[Column], Column]) -> DataFrame:
+    """Rows (bad, words): the sorted distinct words of the labelled documents that have any, once for each class and set."""
     ids = (labels.select(F.col(key).alias("id"), F.col(toxic).alias("toxic")).where("id is not null and toxic is not null")
            .groupBy("id").agg(F.max("toxic").alias("toxic")))
     sample = ids.orderBy(F.md5(F.col("id").cast("string"))).limit(LABELLED_ROWS)
     known = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(sample), "id")
-    taught = bind(F.array_sort(F.array_distinct(_long_words(F.col("text")))), lambda words: F.struct(
-        words.alias("words"), F.md5(F.array_join(words, " ")).alias("same")))
+    taught = bind(F.array_sort(F.array_distinct(words(F.col("text")))), lambda w: F.struct(
+        w.alias("words"), F.md5(F.array_join(w, " ")).alias("same")))
     once = compute_once(known.select((F.col("toxic") > 0).alias("bad"), "text"), taught=taught)
-    apart = once.where(F.size("taught.words") > 0).groupBy("bad", "taught.same").agg(F.first("taught.words").alias("words"))
+    return once.where(F.size("taught.words") > 0).groupBy("bad", "taught.same").agg(F.first("taught.words").alias("words")).drop("same")
+
+
+def _counts(known: DataFrame, features: Column) -> DataFrame:
+    """Rows (word, bad, n, all_bad, all_n): toxic and all documents with the feature, and without asking for it."""
     # The empty word of each document counts the documents of either class.
-    held = apart.select("bad", F.explode(F.concat(F.array(F.lit("")), "words")).alias("word"))
-    counts = held.groupBy("word").agg(F.count_if("bad").alias("bad"), F.count("*").alias("n"))
+    held = known.select("bad", F.explode(F.concat(F.array(F.lit("")), features)).alias("word"))
+    counts = held.groupBy("word").agg(F.count_if("bad").alias("bad"), F.count("*").alias("n")).where("bad >= 1 or word = ''")
     total = counts.where("word = ''").select(F.col("bad").alias("all_bad"), F.col("n").alias("all_n"))
+    return counts.where("word <> ''").join(F.broadcast(total))
+
+
+def toxic_words(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> list[str]:
+    """The learned words (of four letters or more), sorted. No labels, or none of a class: none. Labels with a null id or
+    class, and documents without such words, teach nothing.
+
+    If an id is labelled more than once it is toxic if any label says so. At most LABELLED_ROWS ids are used, so what is
+    broadcast and what is counted are bounded.
+    """
+    return learned(docs, labels, key, text, toxic)[0]
+
+
+def learned(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> tuple[list[str], dict[str, float]]:
+    """toxic_words, and the weights of toxic_score, from one count."""
+    known = _known(docs, labels, key, text, toxic, lambda t: F.regexp_extract_all(F.lower(t), F.lit(_WORD), F.lit(0)))
+    features = F.array_distinct(F.flatten(F.transform("words", _features)))
+    counts = written(_counts(known, features))
     share = (F.col("bad") * (F.col("all_n") - F.col("all_bad") + 1)
              >= TOXIC_RATIO * (F.col("n") - F.col("bad") + 0.5) * (F.col("all_bad") + 1))
-    found = (counts.where("word <> ''").join(F.broadcast(total))
+    found = (counts.where(F.col("word").endswith(" ") & (F.char_length("word") > 4))
              .where(share & (F.col("bad") >= TOXIC_LEAST) & (F.col("bad") * TOXIC_SHARE >= F.col("all_bad")))
              .orderBy(F.desc("bad"), "word").limit(TOXIC_WORDS))
-    return sorted(r.word for r in found.select("word").collect())
+    a, b = F.col("bad") + 0.5, F.col("n") - F.col("bad") + 0.5
+    odds = F.log(a / (F.col("all_bad") + 1)) - F.log(b / (F.col("all_n") - F.col("all_bad") + 1))
+    deviation = F.sqrt(1 / a + 1 / b)
+    weighted = (counts.where((F.col("bad") >= FEATURE_LEAST) & (F.col("all_n") > F.col("all_bad")))
+                .where(odds > DEVIATIONS * deviation).select("word", (odds - BOUND * deviation).alias("weight")))
+    return sorted(r.word[:-1] for r in found.select("word").collect()), {r.word: r.weight for r in weighted.collect()}
 
 
 def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text") -> list[Rule]:

@@ -30,8 +30,7 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    toxic = quality.toxic_words(docs, table(spark, sf_dir, "labels"))
-    rules = quality.order_rules(docs, quality.default_rules(toxic))
+    rules = quality.order_rules(docs, quality.default_rules(*quality.learned(docs, table(spark, sf_dir, "labels"))))
     text = F.coalesce("text", F.lit(""))
     measured = quality.cascade(docs, rules, kept="verdict").select(
         "doc_id", quality.n_words(text).alias("n_words"), quality.word_chars(text).alias("word_chars"), quality.n_symbols(text).alias("n_symbols"),
