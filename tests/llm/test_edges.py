@@ -128,6 +128,13 @@ def test_documents_that_share_a_word_teach_apart_and_copies_once(spark, docs_of)
     assert quality.toxic_words(docs_of(rows + copies), labels) == ["vilewordone"]
 
 
+def test_every_word_that_passes_is_learned(spark, docs_of):
+    many = [f"z{a}{b}{c}vile" for a in "klmnopqrs" for b in "klmnopqrs" for c in "klmnopqrs"]
+    rows = [(i, prose(60, 8000 + i) + (" " + " ".join(many) if i % 4 == 0 else "")) for i in range(80)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(80)], "doc_id long, quality int, toxic int")
+    assert quality.toxic_words(docs_of(rows), labels) == sorted(many)
+
+
 def test_toxic_stems_with_many_endings(spark, docs_of):
     # No single word is in five documents; the stem is in all toxic ones of a language with few documents.
     r = random.Random(11)

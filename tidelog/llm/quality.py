@@ -29,7 +29,7 @@ from tidelog.plans.once import compute_once
 #: At most so many labelled documents teach the toxicity rule: those whose ids have the smallest MD5 sums.
 LABELLED_ROWS = 20_000
 #: A word is toxic if it is in one of 100 toxic documents (and 5 at least), and 30 times as often there as elsewhere.
-TOXIC_SHARE, TOXIC_LEAST, TOXIC_RATIO, TOXIC_WORDS = 100, 5, 30, 512
+TOXIC_SHARE, TOXIC_LEAST, TOXIC_RATIO = 100, 5, 30
 #: Lengths of the beginnings that are features beside the words themselves.
 STEMS = range(3, 9)
 #: A feature counts if it is in so many toxic documents and its log odds are so many standard deviations above 0; its weight
@@ -211,8 +211,7 @@ def learned(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     share = (F.col("bad") * (F.col("all_n") - F.col("all_bad") + 1)
              >= TOXIC_RATIO * (F.col("n") - F.col("bad") + 0.5) * (F.col("all_bad") + 1))
     found = (counts.where(F.col("word").endswith(" ") & (F.char_length("word") > 4))
-             .where(share & (F.col("bad") >= TOXIC_LEAST) & (F.col("bad") * TOXIC_SHARE >= F.col("all_bad")))
-             .orderBy(F.desc("bad"), "word").limit(TOXIC_WORDS))
+             .where(share & (F.col("bad") >= TOXIC_LEAST) & (F.col("bad") * TOXIC_SHARE >= F.col("all_bad"))))
     a, b = F.col("bad") + 0.5, F.col("n") - F.col("bad") + 0.5
     odds = F.log(a / (F.col("all_bad") + 1)) - F.log(b / (F.col("all_n") - F.col("all_bad") + 1))
     deviation = F.sqrt(1 / a + 1 / b)
