@@ -226,6 +226,16 @@ def test_language(docs, nothing, docs_of):
     assert {r.lang_pred for r in langid.identify(docs, F.lit(False)).collect()} == {"und"}
 
 
+def test_training_texts_are_chosen_once_and_by_language(docs_of, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_DOCS", 20)
+    rows = [(i, prose(40, 9000 + i)) for i in range(200)]
+    table = docs_of(rows).withColumn("lang", F.when(F.col("doc_id") < 100, "aa").otherwise("bb"))
+    copies = table.where("doc_id = 7").crossJoin(table.sparkSession.range(3000)).select(table.columns)
+    sample = langid.training_sample(table.unionByName(copies))
+    assert sorted(sample) == sorted(langid.training_sample(table))
+    assert [sum(lang == x for _, lang in sample) for x in ("aa", "bb")] == [20 * langid.TRAIN_WINDOWS] * 2
+
+
 def test_language_held_out(spark, smallest):
     from tidelog.llm.queries import op6_language_id
 

@@ -12,14 +12,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
-#: Documents of a language that train at most (expected; chosen by a hash), and windows taken from each.
+#: Different texts of a language that train at most (chosen by a hash), and windows taken from each.
 TRAIN_DOCS, TRAIN_WINDOWS = 600, 4
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 #: Windows in one step of a prediction.
@@ -124,16 +124,21 @@ def train(samples: list[tuple[bytes, str]], seed: int = 1) -> Network:
 
 
 def training_sample(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[bytes, str]]:
-    """Windows of about TRAIN_DOCS documents of each language, at places set by a hash. The number of languages bounds it."""
+    """Windows of TRAIN_DOCS texts of each language (of all, if fewer), at places set by a hash. The number of languages bounds it.
+
+    Copies of a text are one. Those with the least hashes are chosen, in each language by itself.
+    """
     rows = docs.select(F.col(text).cast("binary").alias("b"), F.col(lang).alias("l")).where("b is not null and l is not null and length(b) > 0")
-    counts = {r.l: r["count"] for r in rows.groupBy("l").count().collect()}
-    if not counts:
-        return []
-    per_million = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1_000_000, TRAIN_DOCS * 1_000_000 // n))])
-    chosen = rows.where(F.pmod(F.xxhash64("b"), F.lit(1_000_000)) < F.get(F.array(per_million[F.col("l")]), F.lit(0)))
+    rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("b"), 1))
+    counts = rows.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n"))
+    # Of evenly spread hashes, twice as many as wanted are below the bound; few languages lie so far off that one is short.
+    bounds = counts.select("l", F.when(F.col("n") <= 4 * TRAIN_DOCS, F.lit(2.0 ** 63)).otherwise(2.0 ** 63 * 2 * TRAIN_DOCS / F.col("n")).alias("below"))
+    chosen = rows.join(F.broadcast(bounds), "l").where(F.col("h").cast("double") <= F.col("below"))
     windows = F.transform(F.sequence(F.lit(1), F.lit(TRAIN_WINDOWS)), lambda k: F.substring(
         "b", (F.pmod(F.xxhash64(k, "b"), F.greatest(F.length("b") - WINDOW, F.lit(0)) + 1) + 1).cast("int"), F.lit(WINDOW)))
-    picked = chosen.select("l", F.explode_outer(windows).alias("w")).limit(2 * TRAIN_DOCS * TRAIN_WINDOWS * len(counts))
+    once = chosen.groupBy("l", "h").agg(F.min(windows).alias("ws"))
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h"))
+    picked = once.withColumn("place", place).where(F.col("place") <= TRAIN_DOCS).select("l", F.explode("ws").alias("w"))
     return [(bytes(r.w), r.l) for r in picked.collect()]
 
 
