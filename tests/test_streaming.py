@@ -337,3 +337,15 @@ def test_bounded_dedup_forgets_what_is_later_than_its_delay(spark, folder):
     stream = spark.readStream.schema("id long, s long").option("maxFilesPerTrigger", 1).parquet(folder + "/in").withColumn("at", F.timestamp_seconds("s"))
     d.drain(d.exactly_once(d.dedup_stream(stream, ["id"], "at", "30 seconds"), lambda x: x, folder + "/out", folder + "/checkpoint"))
     assert sorted(r["id"] for r in spark.read.parquet(folder + "/out").collect()) == list(range(10))
+
+
+def test_commits_hold_400_records_however_long_the_log(spark, monkeypatch, folder):
+    from tidelog import workloads
+    from tidelog.streaming import deliver, queries
+
+    asked = []
+    each = deliver.commit_every_n
+    monkeypatch.setattr(queries.d, "commit_every_n", lambda s, path, n: asked.append(n) or each(s, path, n))
+    monkeypatch.setattr(workloads, "events", lambda s, sf: s.range(9000).selectExpr("id event_id", "timestamp_seconds(id) ts"))
+    assert tuple(queries.stream_commit_every_n(spark, folder).first()) == (9000, 8999, True)
+    assert asked == [400]

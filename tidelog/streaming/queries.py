@@ -76,11 +76,11 @@ def stream_read_log(spark, sf):
 
 @query
 def stream_commit_every_n(spark, sf):
-    """A log read with a commit after every 400 records (a twentieth of the log, if more) at most: what the last commit covers, and that none held more."""
+    """A log read with a commit after every 400 records at most: what the last commit covers, and that none held more."""
     folder = shared_folder(spark)
     rows = w.events(spark, sf).select(
         F.lit("events").alias("topic"), F.lit(0).alias("partition"), F.col("ts").alias("timestamp"), "event_id")
-    source.append_log(rows, f"{folder}/log", "event_id", 1, max_rows_per_file=(n := max(400, rows.count() // 20)))
+    source.append_log(rows, f"{folder}/log", "event_id", 1, max_rows_per_file=(n := 400))
     d.drain(d.deliver(d.commit_every_n(spark, f"{folder}/log", n), d.append_effect(f"{folder}/effects"), d.AT_LEAST_ONCE, f"{folder}/checkpoint"))
     batches = spark.read.parquet(f"{folder}/effects").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last"))
     return batches.agg(F.sum("n").alias("records"), F.max("last").alias("last_seen"), (F.max("n") <= n).alias("bounded"))
