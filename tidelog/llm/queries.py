@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import langid, lm, packing, pii, quality
+from tidelog.llm import align, langid, lm, packing, pii, quality
 from tidelog.llm.common import table
 from tidelog.llm.decontaminate import decontaminate
 from tidelog.llm.extract import extract
@@ -81,4 +81,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, held_out=fold == 2, tuning=fold == 3)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_quality_rules, op4_html_text, op5_best_fit_packing, op6_language_id, op7_personal_data, op8_url_rules, op9_line_dedup, op10_lm_score)}
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align.summarize(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_quality_rules, op4_html_text, op5_best_fit_packing, op6_language_id, op7_personal_data, op8_url_rules, op9_line_dedup, op10_lm_score,
+                                   op11_align_tokens)}
