@@ -34,7 +34,9 @@ from tidelog.llm.common import written
 #: Tokens of A whose documents make a batch; a longer document makes one alone.
 BATCH_TOKENS = 2_000_000
 #: Segments, and characters of them, that a worker remembers.
-CACHE_SEGMENTS, CACHE_CHARS = 1_000_000, 40_000_000
+CACHE_SEGMENTS, CACHE_CHARS = 400_000, 20_000_000
+#: Segments that the tokenizers get at a time; what they return is much larger than the ids.
+ENCODE_SEGMENTS = 10_000
 #: A pair of ids is one number, the id of B in its upper half.
 B_SHIFT = 32
 #: Where a space has white space before it, or what some library takes for it, nothing is cut there.
@@ -141,7 +143,12 @@ class Aligner:
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of space and text, by A, and of text by B, which puts the space itself."""
-        return [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1)
+        a, b = [], []
+        for at in range(0, len(texts), ENCODE_SEGMENTS):
+            few = texts[at:at + ENCODE_SEGMENTS]
+            a += [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in few], add_special_tokens=False)]
+            b += self.b.encode(few, num_threads=1)
+        return a, b
 
     def segments(self, text: str) -> list[str]:
         if not self.cuts:
