@@ -89,6 +89,95 @@ near AS (SELECT d.doc_id, least(d.doc_id, coalesce(r.m, d.doc_id)) AS class_id,
          LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = d.doc_id LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) l ON l.a = d.doc_id)"""
 
 
+def _crc32(c: str) -> str:
+    """Of ASCII text."""
+    step = "lambda x, i: xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), {step})"
+    codes = f"list_transform(range(1, length({c}) + 1), lambda p: CAST(ascii(({c})[p]) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def _ways() -> list[str]:
+    """Ways over one row: role's letter or *, state before, letters, state after, cost, whether the row stays, inserted lines, role given.
+
+    States: 1 nothing, 2 system, 3 user, 4 assistant.
+    """
+    then = {1: 3, 2: 3, 3: 4, 4: 3}
+    said = {3: "user", 4: "assistant"}
+    fits = {1: [("s", 2), ("u", 3)], 2: [("u", 3)], 3: [("a", 4)], 4: [("u", 3)]}
+    out = []
+    for f in then:
+        at, lines = f, ""
+        for inserted in range(3):
+            own = [("*", "D", at, 2, False, ""), ("*", "R", then[at], 1, True, said[then[at]]), *[(k, "K", t, 0, True, "") for k, t in fits[at]]]
+            out += [f"{{k: '{k}', f: {f}, x: '{'I' * inserted + x}', t: {t}, c: {5 * inserted + c}, stays: {stays}, pre: '{lines}', role: '{role}'}}" for k, x, t, c, stays, role in own]
+            at = then[at]
+            lines += f"~{said[at]}:"
+    return out
+
+
+def repaired() -> str:
+    """CTEs j (rows after damage, judged) and ended (conv_id, c, a, r): cost, letters and lines of the first of the cheapest repairs."""
+    best = ", ".join(f"list_min(list_transform(list_filter(w, lambda y: y.t = {t}), lambda y: y.v))" for t in (1, 2, 3, 4))
+    return rf"""
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+kd AS (SELECT conv_id, turn, role, text, {_crc32('s')} % 20 AS d FROM k),
+dm AS (SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+       FROM kd, (VALUES (1), (2)) n(copy) WHERE d <> 0 AND (copy = 1 OR d = 3)),
+nr AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || ':' || text)) AS i,
+              rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM dm),
+nd AS (SELECT *, body = '' AS blank, body <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+              left(role, 1) AS letter, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM nr),
+j AS (SELECT *, NOT blank AND NOT duplicate AND right(body, 1) NOT IN ('.', '!', '?') AS truncated FROM nd),
+ways AS (SELECT [{', '.join(_ways())}] AS ways),
+dp(conv_id, i, st) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, [{{c: 0::BIGINT, a: '', r: ''}}, NULL, NULL, NULL] FROM dm
+  UNION ALL
+  SELECT conv_id, i, CASE WHEN gone THEN list_transform(st, lambda x: CASE WHEN x IS NULL THEN NULL ELSE {{c: x.c + 2, a: x.a || 'D', r: x.r}} END) ELSE [{best}] END FROM (
+    SELECT dp.conv_id, j.i, st, blank OR duplicate AS gone, list_transform(
+      list_filter(ways, lambda x: x.k IN ('*', letter) AND st[x.f] IS NOT NULL), lambda x: {{t: x.t, v: {{
+        c: st[x.f].c + x.c + CASE WHEN truncated AND x.stays THEN 5 ELSE 0 END, a: st[x.f].a || x.x,
+        r: st[x.f].r || replace(x.pre, '~', chr(10)) || CASE WHEN NOT x.stays THEN '' ELSE chr(10) || CASE WHEN x.role = '' THEN role ELSE x.role END || ':' || text END}}}}) AS w
+    FROM dp JOIN j ON j.conv_id IS NOT DISTINCT FROM dp.conv_id AND j.i = dp.i + 1, ways)),
+finished AS (SELECT conv_id, list_min(list_filter([st[1], st[4],
+      CASE WHEN st[2] IS NULL THEN NULL ELSE {{c: st[2].c + 10, a: st[2].a || 'II', r: st[2].r || chr(10) || 'user:' || chr(10) || 'assistant:'}} END,
+      CASE WHEN st[3] IS NULL THEN NULL ELSE {{c: st[3].c + 5, a: st[3].a || 'I', r: st[3].r || chr(10) || 'assistant:'}} END], lambda x: x IS NOT NULL)) AS v
+    FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+ended AS (SELECT conv_id, v.c AS c, v.a AS a, v.r AS r FROM finished),
+told AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+                count(*) FILTER (truncated) AS truncated, count(*) FILTER (before IS NOT NULL AND before || letter NOT IN ('su', 'ua', 'au')) AS illegal FROM j GROUP BY conv_id)"""
+
+
+def _turned(x: str, by: int) -> str:
+    return f"((({x}) & {(1 << (60 - by)) - 1}) << {by} | (({x}) >> {60 - by}))"
+
+
+def winnowed() -> str:
+    """CTEs e (doc_id, t, nx, ed) and fp (x, print, hashes) over documents; ids are unique."""
+    turned = ", ".join(f"{_turned(f'h[i + {4 - by}]', by)}" for by in (4, 3, 2, 1))
+    a, b, c, d = turned.split(", ")
+    return rf"""
+d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS nx FROM d),
+e AS (SELECT doc_id, t, nx, left(t, length(t) - length(t) // 4) || left(nx, length(t) // 4) AS ed FROM n),
+x AS (SELECT t AS x FROM e UNION SELECT ed FROM e),
+w AS (SELECT x, {_item_words('x')} AS w FROM x),
+u AS (SELECT x, CASE WHEN len(w) > 0 THEN flatten(list_transform(w, lambda y: CASE WHEN length(y) > 24 THEN regexp_extract_all(y, '(?s).') ELSE [y] END))
+                     WHEN x = '' THEN [] ELSE [x] END AS u FROM w),
+h AS (SELECT x, list_transform(u, lambda y: CAST('0x' || substr(md5(y), 1, 15) AS BIGINT)) AS h FROM u),
+g AS (SELECT x, CASE WHEN len(h) >= 5 THEN list_transform(range(1, len(h) - 3), lambda i: xor(xor(xor(xor({a}, {b}), {c}), {d}), h[i + 4]))
+                     WHEN len(h) > 0 THEN [list_reduce(h, lambda p, q: xor({_turned('p', 1)}, q))] ELSE [] END AS g FROM h),
+p AS (SELECT x, g, list_transform(range(1, len(g) + 1), lambda j: (g[j] >> 28) * 2147483648 + 2147483648 - j) AS p FROM g),
+s AS (SELECT x, g, CASE WHEN len(g) = 0 THEN [] ELSE list_sort(list_transform(list_distinct(list_transform(range(1, greatest(len(g) - 7, 1) + 1), lambda i: list_min(p[i:i + 7]))),
+             lambda k: 2147483647 - (k & 2147483647))) END AS s FROM p),
+fp AS (SELECT x, array_to_string(list_transform(s, lambda q: q || ':' || format('{{:x}}', g[q + 1])), ',') AS print, list_distinct(list_transform(s, lambda q: g[q + 1])) AS hashes FROM s)"""
+
+
+def _alike(a: str, b: str) -> str:
+    both = f"len(list_intersect({a}, {b}))"
+    return f"CASE WHEN len({a}) + len({b}) = 0 THEN 1.0 ELSE CAST({both} AS DOUBLE) / (len({a}) + len({b}) - {both}) END"
+
+
 SQL = {
     "op1_decontaminate": f"""WITH {hits('documents', 'benchmark')}
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
@@ -108,4 +197,13 @@ fit AS (SELECT page_id, max_by(struct_pack(rule := rh || rp, action := action),
 SELECT c.page_id, host, path, best.rule AS rule, coalesce(best.action, 'allow') AS verdict FROM c LEFT JOIN fit USING (page_id)""",
     "op9_line_dedup": f"""WITH {lines('documents')}
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM cleaned""",
+    "op12_repair_conversations": f"""WITH RECURSIVE {repaired()}
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(c, 0) AS cost, coalesce(a, '') AS audit, sha256(substr(coalesce(r, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN told ON told.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM i.conv_id""",
+    "op13_fingerprints": f"""WITH {winnowed()}
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(ed) AS edited_sha256, own.print AS fingerprint, edit.print AS edited_fingerprint,
+       {_alike('own.hashes', 'edit.hashes')} AS near_edited, {_alike('own.hashes', 'follow.hashes')} AS near_next
+FROM e JOIN fp own ON own.x = e.t JOIN fp edit ON edit.x = e.ed JOIN fp follow ON follow.x = e.nx""",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidelog.llm import align, langid, lm, packing, pii, quality
+from tidelog.llm import align, fingerprint, langid, lm, packing, pii, quality, repair
 from tidelog.llm.common import table
 from tidelog.llm.decontaminate import decontaminate
 from tidelog.llm.extract import extract
@@ -86,5 +86,14 @@ def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.summarize(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair(repair.damage(turns), all_ids=turns)
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.near_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_quality_rules, op4_html_text, op5_best_fit_packing, op6_language_id, op7_personal_data, op8_url_rules, op9_line_dedup, op10_lm_score,
-                                   op11_align_tokens)}
+                                   op11_align_tokens, op12_repair_conversations, op13_fingerprints)}
