@@ -1,8 +1,10 @@
 """Winnowed fingerprints against a plain version that slides a window over each text."""
 
+import base64
 import hashlib
 import random
 import re
+import zlib
 
 import pytest
 
@@ -31,7 +33,7 @@ def rolled(hashes):
 
 
 def plain(text):
-    h = [int(hashlib.md5(u.encode()).hexdigest()[:15], 16) for u in units(text or "")]
+    h = [zlib.crc32(u.encode()) << 28 | zlib.crc32(base64.b64encode(u.encode())) >> 4 for u in units(text or "")]
     grams = [rolled(h[i:i + 5]) for i in range(max(1, len(h) - 4))] if h else []
     kept = {}
     for i in range(max(1, len(grams) - 7) if grams else 0):

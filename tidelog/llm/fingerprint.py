@@ -34,8 +34,8 @@ def units(text: Column) -> Column:
 
 
 def unit_hash(unit: Column) -> Column:
-    """The first 60 bits of the MD5."""
-    return F.conv(F.substring(F.md5(unit), 1, BITS // 4), 16, 10).cast("long")
+    """The CRC-32 of the unit's UTF-8, then the upper 28 bits of that of its Base64. Both are cheap, and units that share one differ in the other."""
+    return F.shiftleft(F.crc32(unit.cast("binary")), 28).bitwiseOR(F.shiftright(F.crc32(F.base64(unit.cast("binary")).cast("binary")), 4))
 
 
 def _turned(x: Column, by: int) -> Column:
@@ -108,7 +108,7 @@ def passages(prints: DataFrame, by: str = "doc_id") -> DataFrame:
 
 
 def _successors(docs: DataFrame) -> DataFrame:
-    """Rows (key, next_key, n_chars): each different document (doc_id, key, n_chars) and the one behind it by id; the first follows the last.
+    """Rows (doc_id, key, next_key, n_chars): each different document (doc_id, key, n_chars) and the one behind it by id; the first follows the last.
 
     Ids are put in order by chunks of consecutive ones; only the first document of each chunk meets the other chunks'.
     """
@@ -116,7 +116,7 @@ def _successors(docs: DataFrame) -> DataFrame:
     head = each.agg(F.min(F.struct("doc_id", "key"))).first()[0]
     cut = scans.with_chunk(each, "doc_id", "cut", ORDERED_ROWS)
     behind = scans.scan(cut, [], ["doc_id", "key"], F.coalesce("cut", F.lit(-1)), next_key=scans.following(F.col("key")))
-    return behind.select("key", F.coalesce("next_key", F.lit(head["key"] if head else None)).alias("next_key"), "n_chars")
+    return behind.select("doc_id", "key", F.coalesce("next_key", F.lit(head["key"] if head else None)).alias("next_key"), "n_chars")
 
 
 def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -129,14 +129,16 @@ def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = rows.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
     follows = written(_successors(keyed.select("doc_id", "key", F.char_length("text").cast("long").alias("n_chars"))))
-    wanted = follows.select(F.col("next_key").alias("key"), F.col("key").alias("for_key"), F.floor(F.col("n_chars") / 4).cast("int").alias("n"))
+    wanted = follows.select(F.col("next_key").alias("key"), F.col("key").alias("for_key"), "doc_id", F.floor(F.col("n_chars") / 4).cast("int").alias("n"))
     # Rows that repeat say the same for the document before them: one of them is enough.
+    # Both joins deal out the same two columns, so that the texts are shuffled once.
+    keyed = keyed.select("key", "text")
     told = keyed.join(wanted, "key").select("for_key", F.struct(
-        F.substr(F.col("text"), F.lit(1), F.col("n")).alias("head"), hashes_of(fingerprint(F.col("text"))).alias("hashes")).alias("next"))
+        "doc_id", F.substr(F.col("text"), F.lit(1), F.col("n")).alias("head"), hashes_of(fingerprint(F.col("text"))).alias("hashes")).alias("next"))
     told = told.groupBy("for_key").agg(F.first("next").alias("next")).withColumnRenamed("for_key", "key")
     n = F.char_length("text")
     kept = F.substr(F.col("text"), F.lit(1), n - F.floor(n / 4).cast("int"))
-    return keyed.join(told, "key").select("doc_id", "text", F.concat(kept, F.col("next.head")).alias("edited"), F.col("next.hashes").alias("next_hashes"))
+    return keyed.join(told, "key").select(F.col("next.doc_id").alias("doc_id"), "text", F.concat(kept, F.col("next.head")).alias("edited"), F.col("next.hashes").alias("next_hashes"))
 
 
 def near_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

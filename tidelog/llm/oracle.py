@@ -90,10 +90,10 @@ near AS (SELECT d.doc_id, least(d.doc_id, coalesce(r.m, d.doc_id)) AS class_id,
 
 
 def _crc32(c: str) -> str:
-    """Of ASCII text."""
+    """Of UTF-8 text."""
     step = "lambda x, i: xor(x >> 1, 3988292384 * (x & 1))"
     byte = f"list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), {step})"
-    codes = f"list_transform(range(1, length({c}) + 1), lambda p: CAST(ascii(({c})[p]) AS BIGINT))"
+    codes = f"list_transform(range(1, strlen({c}) + 1), lambda p: CAST('0x' || substr(hex(encode({c})), 2 * p - 1, 2) AS BIGINT))"
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {byte}), 4294967295)"
 
 
@@ -164,7 +164,9 @@ x AS (SELECT t AS x FROM e UNION SELECT ed FROM e),
 w AS (SELECT x, {_item_words('x')} AS w FROM x),
 u AS (SELECT x, CASE WHEN len(w) > 0 THEN flatten(list_transform(w, lambda y: CASE WHEN length(y) > 24 THEN regexp_extract_all(y, '(?s).') ELSE [y] END))
                      WHEN x = '' THEN [] ELSE [x] END AS u FROM w),
-h AS (SELECT x, list_transform(u, lambda y: CAST('0x' || substr(md5(y), 1, 15) AS BIGINT)) AS h FROM u),
+each AS (SELECT y, ({_crc32('y')} << 28) | ({_crc32('to_base64(encode(y))')} >> 4) AS v FROM (SELECT DISTINCT unnest(u) AS y FROM u)),
+place AS (SELECT x, unnest(u) AS y, unnest(range(len(u))) AS i FROM u),
+h AS (SELECT u.x, coalesce(list(v ORDER BY i) FILTER (v IS NOT NULL), []) AS h FROM u LEFT JOIN place ON place.x = u.x LEFT JOIN each ON each.y = place.y GROUP BY u.x),
 g AS (SELECT x, CASE WHEN len(h) >= 5 THEN list_transform(range(1, len(h) - 3), lambda i: xor(xor(xor(xor({a}, {b}), {c}), {d}), h[i + 4]))
                      WHEN len(h) > 0 THEN [list_reduce(h, lambda p, q: xor({_turned('p', 1)}, q))] ELSE [] END AS g FROM h),
 p AS (SELECT x, g, list_transform(range(1, len(g) + 1), lambda j: (g[j] >> 28) * 2147483648 + 2147483648 - j) AS p FROM g),
