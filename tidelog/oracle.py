@@ -58,6 +58,12 @@ commits AS (SELECT topic, "partition", floor(0.8 * "end")::BIGINT AS committed F
 
 on_log("as_log", 'SELECT topic, "partition", "offset", key, event_id, ts_us FROM log6')
 on_log("append_then_read_log", 'SELECT topic, "partition", "offset", key, event_id FROM log6')
+on_log("log_index", """SELECT topic, "partition", min("offset") AS "begin", max("offset") + 1 AS "end", count(*) AS records, min(ts_us) AS first_us,
+max(ts_us) AS last_us, count(DISTINCT day(ts) // 8) AS appends FROM log6 GROUP BY ALL""")
+on_log("seek_by_index", """SELECT 'time' AS replay, l."partition", l."offset", event_id FROM log6 l
+JOIN (SELECT "partition" AS p, min("offset") AS s FROM log6 WHERE ts >= TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1) ON l."partition" = p WHERE l."offset" >= s
+UNION ALL SELECT 'last', l."partition", l."offset", event_id FROM log6 l JOIN (SELECT "partition" AS p, count(*) AS n FROM log6 GROUP BY 1) ON l."partition" = p
+WHERE l."offset" >= n - 100""")
 SQL["append_reports_unplaceable"] = """
 SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'no partition' ELSE 'partition out of range' END AS reason
 FROM events WHERE event_id % 17 = 0 OR event_id % 19 = 0"""
@@ -580,6 +586,14 @@ SQL["stream_exactly_once"] = "SELECT event_id, upper(event_type) AS value FROM e
 SQL["stream_dedup"] = "SELECT event_id, user_id FROM events"
 SQL["stream_commit_every_n"] = """
 SELECT count(*) AS records, count(*) - 1 AS last_seen, true AS bounded FROM events"""
+SQL["stream_row_limits"] = """
+WITH n AS (SELECT count(*) AS n, (count(*) + 8) // 9 AS most FROM events)
+SELECT k AS batch_id, least(most, n - k * most) AS records, least(most, n - k * most) AS input_rows, n - least(n, (k + 1) * most) AS lag
+FROM n, range(9) r(k) WHERE k * most < n"""
+SQL["stream_paced"] = "SELECT count(*) AS records, count(DISTINCT event_id) AS events, true AS paced FROM events"
+SQL["stream_append_segments"] = f"""WITH {log6()}
+SELECT topic, "partition", 0 AS "begin", count(*) AS "end", count(*) AS records, NULL AS reason FROM log6 WHERE event_id % 17 <> 0 GROUP BY ALL
+UNION ALL SELECT NULL, NULL, NULL, NULL, count(*), 'no partition' FROM events WHERE event_id % 17 = 0"""
 SQL["stream_rate_limits"] = "SELECT count(*) AS records, 3 AS batches FROM events"
 SQL["stream_append_rejects"] = """
 SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'no partition' WHEN event_id % 19 = 0 THEN 'partition out of range' END AS reason FROM events"""

@@ -15,7 +15,7 @@ from tidelog.plans import scans
 from tidelog.operators import (
     audit, failures, handlers, partitioning, progress, queue, records, runs, schemas, timelines, visibility)
 from tidelog.session import shared_folder
-from tidelog.sources import generate, log as source, sinks
+from tidelog.sources import generate, log as source, segments, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -54,6 +54,34 @@ def append_then_read_log(spark, sf):
         "topic", "partition", "offset", "key", F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("bigint").alias("event_id"))
 
 
+def _indexed(spark, sf):
+    """The events as a log written in four appends."""
+    path = shared_folder(spark)
+    rows = _rows_to_append(spark, sf)
+    for quarter in range(4):
+        source.append_log(rows.filter(F.floor(F.dayofmonth("timestamp") / 8) == quarter), path, "event_id", w.PARTITIONS, chunk_rows=w.QUERY_CHUNK)
+    return path
+
+
+@query
+def log_index(spark, sf):
+    """What the index of a log tells of its partitions, without opening a segment."""
+    index = segments.log_index(spark, _indexed(spark, sf))
+    return index.groupBy("topic", "partition").agg(
+        F.min("base").alias("begin"), F.max("end").alias("end"), F.sum("records").alias("records"), F.unix_micros(F.min("least")).alias("first_us"),
+        F.unix_micros(F.max("greatest")).alias("last_us"), F.count_distinct("version").alias("appends"))
+
+
+@query
+def seek_by_index(spark, sf):
+    """A replay from a time and the last 100 of each partition, from the segments that hold them alone."""
+    path = _indexed(spark, sf)
+    late = segments.replay_by_index(spark, path, source.LOG_SCHEMA, from_time=F.lit("2024-01-15 12:00:00").cast("timestamp"))
+    last = segments.replay_by_index(spark, path, source.LOG_SCHEMA, last=100)
+    each = lambda df, name: df.select(F.lit(name).alias("replay"), "partition", "offset", F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("bigint").alias("event_id"))
+    return each(late, "time").unionByName(each(last, "last"))
+
+
 @query
 def append_reports_unplaceable(spark, sf):
     """Rows that cannot be appended come back with a reason."""

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.keys import key_partition
-from tidelog.sources.log import append_log, exists, read_log, require_placeable
+from tidelog.sources.log import append_log
+from tidelog.sources.segments import log_index
 
 STATIONS = ["harbour", "ridge", "meadow", "quarry", "delta"]
 ORDER_CUSTOMERS = 20
@@ -78,7 +79,7 @@ def top_up(spark: SparkSession, path: str, topic: str, n: int, target: int, size
     Rows are made for the numbers 0 to target - 1, or for the rows of ``ids`` whose ``id`` is among them. A row that
     cannot be placed fails the call before anything is written.
     """
-    present = read_log(spark, path, topic).count() if exists(spark, path) else 0
+    present = _held(spark, path, topic)
     if present >= target:
         return present
     # Keys count from the first missing row, sequence numbers go on from what is there.
@@ -87,6 +88,10 @@ def top_up(spark: SparkSession, path: str, topic: str, n: int, target: int, size
         "key", customer_key(F.col("seq") - present, cardinality)).select(
         F.lit(topic).alias("topic"), key_partition(F.col("key"), n).alias("partition"),
         (F.current_timestamp() if at is None else at).alias("timestamp"), "key", "value", "seq")
-    require_placeable([rows], n)
-    append_log(rows, path, "seq", n)
-    return read_log(spark, path, topic).count()
+    append_log(rows, path, "seq", n, all_or_nothing=True)
+    return _held(spark, path, topic)
+
+
+def _held(spark: SparkSession, path: str, topic: str) -> int:
+    """Records of a topic, by the index."""
+    return log_index(spark, path).filter(F.col("topic") == topic).agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]

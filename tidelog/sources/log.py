@@ -1,7 +1,8 @@
 """The log table: any dataset with (topic, partition, offset) coordinates.
 
 On disk a log is parquet with ``topic`` and ``partition`` directories; ``offset`` and ``timestamp`` stay plain
-columns, so a read from fixed partitions and offsets prunes directories and row groups.
+columns, so a read from fixed partitions and offsets prunes directories and row groups. What ``append_log`` writes has a
+segment index as well (``sources/segments.py``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from tidelog.functions.headers import HEADERS_TYPE, no_headers
 from tidelog.functions.keys import key_partition
 from tidelog.plans import scans
 from tidelog.plans.facts import attach
+from tidelog.plans.once import materialised
+from tidelog.sources import segments
+from tidelog.sources.segments import LogIndex
 
 LOG_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
@@ -66,9 +70,12 @@ def as_log(
 
 
 def read_log(spark: SparkSession, path: str, topic: str | None = None, schema: T.StructType = LOG_SCHEMA) -> DataFrame:
-    """Bounded read: everything the table holds now."""
-    log = spark.read.schema(schema).parquet(path)
-    return log if topic is None else log.filter(F.col("topic") == topic)
+    """Bounded read: everything the table holds now. Of a log with an index the files that are in it, and no others."""
+    if not LogIndex(path).exists():
+        log = spark.read.schema(schema).parquet(path)
+        return log if topic is None else log.filter(F.col("topic") == topic)
+    picked = segments.log_index(spark, path)
+    return segments.read_files(spark, path, picked if topic is None else picked.filter(F.col("topic") == topic), schema)
 
 
 def read_log_stream(
@@ -191,28 +198,39 @@ def require_placeable(frames: Iterable[DataFrame], n: int) -> None:
 def append_log(
     df: DataFrame, path: str, order: str, n: int, txn_id: str | None = None,
     chunk_rows: int = scans.CHUNK_ROWS, max_rows_per_file: int = 0,
+    writer: tuple[str, int] | None = None, outcome: str | None = None, epoch: int = 0, all_or_nothing: bool = False,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Append rows that have a topic and a partition; they get the offsets after each partition's current end.
 
-    Returns the rows that could not be placed, with a ``reason``. One writer per log at a time: offsets are
-    handed out by the job, as a partition leader does.
+    Returns the rows that could not be placed, with a ``reason``; with ``all_or_nothing`` such a row fails the call before
+    anything is written. Each row of ``df`` is worked out once: rows are written to the shared folder with the reason, and
+    placed and refused ones are read from there. The ends come from the segment index, whatever the length of the log, and
+    all files become visible with one index file, together with the transaction's ``outcome`` and the batch of a named
+    ``writer`` if given. With ``rejects`` the refused rows are in that table, with the transaction's id, before. One writer per log at a time: a second one fails at its commit.
     """
     spark = df.sparkSession
-    checked = df.withColumn("reason", unplaceable(df, n))
-    good = checked.filter(F.col("reason").isNull()).drop("reason", "offset")
+    untyped = {f.name: F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, T.NullType)}
+    staged = materialised(df.withColumns({**untyped, "reason": unplaceable(df, n)}))
+    refused = staged.filter(F.col("reason").isNotNull())
+    if all_or_nothing and (first := refused.select("reason").first()) is not None:
+        raise ValueError(f"a row cannot be appended: {first['reason']}")
+    if rejects is not None:
+        refused.withColumn("txn_id", F.lit(txn_id)).write.mode("append").parquet(rejects)
+    index = LogIndex(path)
+    if not index.exists() and exists(spark, path):
+        segments.adopt(spark, spark.read.schema(LOG_SCHEMA).parquet(path), path)
+    state = index.state()
+    good = staged.filter(F.col("reason").isNull()).drop("reason", "offset")
     cut = scans.with_chunk(good, order, "__cut", chunk_rows)
     numbered = scans.scan(cut, ["topic", "partition"], [order], F.col("__cut"), offset=scans.index())
-    if exists(spark, path):
-        ends = log_ends(read_log(spark, path)).select("topic", "partition", F.col("end").alias("__end"))
-        numbered = attach(numbered, ends, ["topic", "partition"]).withColumn(
-            "offset", F.col("offset") + F.coalesce("__end", F.lit(0))).drop("__end")
+    if state.ends:
+        ends = spark.createDataFrame([(t, p, e) for (t, p), e in state.ends.items()], "topic string, partition int, __end long")
+        numbered = attach(numbered, ends, ["topic", "partition"]).withColumn("offset", F.col("offset") + F.coalesce("__end", F.lit(0))).drop("__end")
     if txn_id is not None:
         numbered = numbered.withColumn("txn_id", F.lit(txn_id))
-    writer = with_log_columns(numbered).write.mode("append").partitionBy("topic", "partition")
-    if max_rows_per_file:
-        writer = writer.option("maxRecordsPerFile", max_rows_per_file)
-    writer.parquet(path)
-    return checked.filter(F.col("reason").isNotNull())
+    segments.write_segments(with_log_columns(numbered), path, state.version, txn_id, max_rows_per_file or segments.SEGMENT_ROWS, writer, outcome, epoch)
+    return refused
 
 
 def kafka_log(spark: SparkSession, options: Mapping[str, str], streaming: bool = False) -> DataFrame:

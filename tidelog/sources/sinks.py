@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.sources.log import append_log, exists, require_placeable
+from tidelog.sources.log import append_log, exists
 
 # The codecs a log client offers, by the name the parquet writer uses.
 CODECS = ("uncompressed", "lz4_raw", "snappy", "zstd", "gzip")
@@ -59,20 +59,23 @@ def write_by_type(df: DataFrame, type_column: str, raw: str, typed: Mapping[str,
 
 
 def atomic_append(
-    frames: Mapping[str, DataFrame], path: str, markers: str, txn_id: str, order: str, n: int,
+    frames: Mapping[str, DataFrame], path: str, markers: str | None, txn_id: str, order: str, n: int,
     outcome: str = "commit", epoch: int = 0,
 ) -> None:
     """Append rows to several topics that become visible together.
 
-    The rows carry the transaction id and count only once the single marker row is there. A job that dies before
-    the marker leaves an open transaction, which committed reads hide. All or nothing: a row that cannot be placed
-    fails the call before anything is written.
+    All frames are one append: each of their rows is worked out once, and one index file shows them all. The rows carry the
+    transaction id. Without ``markers`` the outcome is in that same file (``segments.index_markers``). With the folder of a
+    markers table it is a row there, written last: a job that dies before leaves an open transaction, which committed reads
+    hide. All or nothing: a row that cannot be placed fails the call before anything is written.
     """
-    frames = {topic: frame.withColumn("topic", F.lit(topic)) for topic, frame in frames.items()}
-    require_placeable(frames.values(), n)
-    for frame in frames.values():
-        append_log(frame, path, order, n, txn_id=txn_id)
-    write_marker(next(iter(frames.values())).sparkSession, markers, txn_id, outcome, epoch)
+    tagged = [frame.withColumn("topic", F.lit(topic)) for topic, frame in frames.items()]
+    rows = tagged[0]
+    for frame in tagged[1:]:
+        rows = rows.unionByName(frame, allowMissingColumns=True)
+    append_log(rows, path, order, n, txn_id=txn_id, all_or_nothing=True, outcome=outcome if markers is None else None, epoch=epoch)
+    if markers is not None:
+        write_marker(rows.sparkSession, markers, txn_id, outcome, epoch)
 
 
 def write_marker(spark: SparkSession, markers: str, txn_id: str, outcome: str, epoch: int = 0) -> None:

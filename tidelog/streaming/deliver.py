@@ -13,7 +13,9 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from tidelog.operators.audit import skip_handled
 from tidelog.plans.facts import seek
 from tidelog.sources.log import append_log, exists, read_log_stream
+from tidelog.sources.segments import LogIndex
 from tidelog.sources.sinks import read_markers, write_marker
+from tidelog.streaming.source import log_stream
 
 AT_MOST_ONCE, AT_LEAST_ONCE, EFFECTIVELY_ONCE = "at_most_once", "at_least_once", "effectively_once"
 POSITION = ("topic", "partition", "offset")
@@ -123,6 +125,21 @@ def append_log_stream(stream: DataFrame, path: str, markers: str, name: str, ord
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
 
+def append_segments_stream(stream: DataFrame, path: str, name: str, order: str, n: int, checkpoint: str, rejects: str | None = None) -> DataStreamWriter:
+    """Append every micro-batch to a log in one step: files, index rows, the transaction's outcome and the batch's number.
+
+    A batch that ran before is known by the number kept for the writer ``name``, so it is in the log once, whatever dies where.
+    Rows that cannot be placed are in ``rejects`` (``<path>-rejects`` unless given) before; those whose transaction is in
+    ``segments.index_markers`` count. No data file is read to find the ends, so a stream's cost does not grow with its log.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if LogIndex(path).state().writers.get(name, -1) < batch_id:
+            append_log(batch, path, order, n, txn_id=f"{name}-{batch_id}-{uuid.uuid4().hex}", writer=(name, batch_id), outcome="commit",
+                       rejects=rejects or f"{path}-rejects")
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+
+
 def exactly_once(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
                  partition_by: Sequence[str] = ()) -> DataStreamWriter:
     """Consume, transform, produce: each input once in the output across crashes and restarts.
@@ -167,12 +184,12 @@ def commit_cadence(writer: DataStreamWriter, every: str | None = None) -> DataSt
 
 
 def commit_every_n(spark: SparkSession, path: str, n: int, topic: str | None = None) -> DataFrame:
-    """A stream of a log whose micro-batches, and so whose commits, hold at most ``n`` records and one file.
+    """A stream of a log whose micro-batches, and so whose commits, hold ``n`` records, the last one what is left.
 
-    The source admits whole files, so the log has to be written with at most ``n`` records per file
-    (``append_log(..., max_rows_per_file=n)``). n = 1 commits every single record.
+    The log has a segment index (``append_log`` writes one); its files may be of any size. n = 1 commits every single record.
+    Run it with ``drain_log``, or with a ``commit_cadence`` in time.
     """
-    return read_log_stream(spark, path, topic, files_per_trigger=1)
+    return log_stream(spark, path, topic, max_rows=n)
 
 
 def rate_limits(source: str, max_rows: int | None = None, min_rows: int | None = None, max_wait: str | None = None,

@@ -14,9 +14,11 @@ from tidelog.operators import failures, queue, records, visibility
 from tidelog.queries import query
 from tidelog.session import shared_folder
 from tidelog.sources import log as source
-from tidelog.sources import sinks
+from tidelog.sources import segments, sinks
+from tidelog.sources.segments import LogIndex
 from tidelog.streaming import deliver as d
 from tidelog.streaming import progress, state
+from tidelog.streaming.source import drain_log, log_lag, log_stream
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,18 +76,75 @@ def stream_read_log(spark, sf):
     return spark.read.parquet(f"{folder}/out")
 
 
+def _events_log(spark, sf, path, partitions=1, **more):
+    """Events appended to a log with a segment index, in files of any size."""
+    partition = F.lit(0) if partitions == 1 else (F.col("event_id") % partitions).cast("int")
+    rows = w.events(spark, sf).select(F.lit("events").alias("topic"), partition.alias("partition"), F.col("ts").alias("timestamp"), "event_id",
+                                      F.col("event_id").cast("string").cast("binary").alias("value"))
+    source.append_log(rows, path, "event_id", partitions, chunk_rows=w.QUERY_CHUNK, **more)
+
+
 @query
 def stream_commit_every_n(spark, sf):
     """A log read with a commit after every 400 records at most: what the last commit covers, and that none held more."""
-    folder = shared_folder(spark)
-    rows = w.events(spark, sf).select(
-        F.lit("events").alias("topic"), F.lit(0).alias("partition"), F.col("ts").alias("timestamp"), "event_id")
-    source.append_log(rows, f"{folder}/log", "event_id", 1, max_rows_per_file=(n := 400))
-    d.drain(d.deliver(d.commit_every_n(spark, f"{folder}/log", n), d.append_effect(f"{folder}/effects"), d.AT_LEAST_ONCE, f"{folder}/checkpoint"))
+    folder, n = shared_folder(spark), 400
+    _events_log(spark, sf, f"{folder}/log")
+    stream = d.commit_every_n(spark, f"{folder}/log", n)
+    drain_log(d.deliver(stream, d.append_effect(f"{folder}/effects"), d.AT_LEAST_ONCE, f"{folder}/checkpoint"), f"{folder}/log")
     batches = spark.read.parquet(f"{folder}/effects").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last"))
     return batches.agg(F.sum("n").alias("records"), F.max("last").alias("last_seen"), (F.max("n") <= n).alias("bounded"))
 
 
+@query
+def stream_row_limits(spark, sf):
+    """A log of six partitions read in micro-batches of a ninth of its records: what each took, and what it left."""
+    folder = shared_folder(spark)
+    path = f"{folder}/log"
+    _events_log(spark, sf, path, w.PARTITIONS)
+    most = -(-sum(LogIndex(path).state().ends.values()) // 9)
+    recorder = progress.ProgressRecorder()
+    spark.streams.addListener(recorder)
+    try:
+        stream = log_stream(spark, path, "events", max_rows=most, min_rows=1, max_wait_s=1)
+        running = drain_log(d.deliver(stream, d.append_effect(f"{folder}/out"), d.AT_LEAST_ONCE, f"{folder}/checkpoint"), path, "events")
+        recorder.wait_for_end(running)
+    finally:
+        spark.streams.removeListener(recorder)
+    recorder.flush(spark, f"{folder}/progress")
+    told = progress.progress_table(spark, f"{folder}/progress", running).filter("input_rows > 0")
+    left = log_lag(spark, path, told).groupBy("batch_id").agg(F.sum("lag").alias("lag"))
+    read = spark.read.parquet(f"{folder}/out").groupBy("batch_id").agg(F.count(F.lit(1)).alias("records"))
+    return read.join(left, "batch_id").join(told.select("batch_id", "input_rows"), "batch_id").select("batch_id", "records", "input_rows", "lag")
+
+
+@query
+def stream_paced(spark, sf):
+    """A log read at a steady rate that two seconds suffice for: every record once, none before its time."""
+    folder = shared_folder(spark)
+    path = f"{folder}/log"
+    _events_log(spark, sf, path, w.PARTITIONS)
+    total = sum(LogIndex(path).state().ends.values())
+    began = time.monotonic()
+    stream = log_stream(spark, path, rows_per_second=max(1, total / 2))
+    drain_log(d.deliver(stream, d.append_effect(f"{folder}/out"), d.AT_LEAST_ONCE, f"{folder}/checkpoint"), path)
+    paced = time.monotonic() - began >= 2
+    rows = spark.read.parquet(f"{folder}/out")
+    return rows.agg(F.count(F.lit(1)).alias("records"), F.count_distinct(F.col("value").cast("string")).alias("events"), F.lit(paced).alias("paced"))
+
+
+@query
+def stream_append_segments(spark, sf):
+    """A stream appended to a log, each micro-batch in one step, read again by its index."""
+    folder = shared_folder(spark)
+    path = f"{folder}/log"
+    partition = F.when(F.col("event_id") % 17 == 0, None).otherwise(fk.key_partition(w.user_key(), w.PARTITIONS))
+    rows = events_stream(spark, sf).select(F.lit("events").alias("topic"), partition.alias("partition"), F.col("ts").alias("timestamp"), w.user_key().alias("key"), "event_id")
+    d.drain(d.append_segments_stream(rows, path, "events", "event_id", w.PARTITIONS, f"{folder}/checkpoint"))
+    refused = spark.read.parquet(f"{path}-rejects").join(segments.index_markers(spark, path), "txn_id").groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    held = segments.index_bounds(spark, path).select("topic", "partition", "begin", "end", "records", F.lit(None).cast("string").alias("reason"))
+    return held.unionByName(refused, allowMissingColumns=True)
+
+
 @query
 def stream_rate_limits(spark, sf):
     """Twelve files at five per micro-batch: rows read and batches taken."""
