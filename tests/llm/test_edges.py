@@ -104,7 +104,7 @@ def test_quality(docs, nothing):
 def test_repeat_words_by_brute_force(docs_of):
     r = random.Random(4)
     rows = [(i, " ".join(r.choice("abc") for _ in range(r.randrange(0, 25)))) for i in range(200)]
-    got = {x.doc_id: x.n for x in docs_of(rows).select("doc_id", quality.n_repeat_words(F.col("text")).alias("n")).collect()}
+    got = {x.doc_id: x.n for x in docs_of(rows).select("doc_id", quality.n_repeat_words(quality.space_words(F.col("text"))).alias("n")).collect()}
     for i, t in rows:
         w = t.split()
         windows = [tuple(w[k:k + 3]) for k in range(len(w) - 2)]
@@ -152,7 +152,7 @@ def test_toxic_stems_with_many_endings(spark, docs_of):
     assert quality.cascade(held, quality.default_rules([], weights)[-1:]).where("kept").count() == 3
     some = {"vile": 1.0, "vilest": 2.0, "vilest ": 3.0, "vileste": 1.5, "\u00e9t\u00e9": 2.5, "abc ": 4.0}
     texts = ["vilest Vilest vilestes vile evile, \u00c9T\u00c9s abc abcd", "abc", "vil", "x-vilely"]
-    got = [x.s for x in docs_of(list(enumerate(texts))).orderBy("doc_id").select(quality.toxic_score(F.col("text"), some).alias("s")).collect()]
+    got = [x.s for x in docs_of(list(enumerate(texts))).orderBy("doc_id").select(quality.toxic_score(quality.letter_runs(F.col("text")), some).alias("s")).collect()]
     assert got == [3.0 + 2.0 + 1.0 + 2.5 + 4.0, 4.0, 0.0, 1.0]
     assert quality.learned(table, labels.limit(0)) == ([], {}) and quality.learned(table, labels.where("toxic = 1")) == ([], {})
 

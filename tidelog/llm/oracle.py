@@ -46,20 +46,27 @@ m AS (SELECT d0.doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(transl
       FROM d0 LEFT JOIN cov USING (doc_id)),
 lab AS (SELECT doc_id, max(toxic) AS toxic FROM labels WHERE doc_id IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id
         ORDER BY md5(CAST(doc_id AS VARCHAR)) LIMIT 20000),
-known AS (SELECT toxic > 0 AS bad, list_distinct(list_filter(regexp_extract_all(lower(coalesce(text, '')), '\p{{L}}+'), lambda x: length(x) >= 4)) AS s
-          FROM documents JOIN lab USING (doc_id)),
-held AS (SELECT DISTINCT bad, list_min(list_transform(s, lambda x: md5(x))) AS sketch, unnest(list_append(s, '')) AS word FROM known WHERE len(s) > 0),
-seen AS (SELECT word, count(*) FILTER (bad) AS bad, count(*) AS n FROM held GROUP BY word),
-tot AS (SELECT bad AS all_bad, n AS all_n FROM seen WHERE word = ''),
-toxic AS (SELECT list(word) AS s FROM (SELECT word FROM seen, tot WHERE word <> '' AND bad >= 5 AND bad * 100 >= all_bad
-          AND bad * (all_n - all_bad + 1) >= 30 * (n - bad + 0.5) * (all_bad + 1) ORDER BY bad DESC, word LIMIT 512)),
-judged AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+known AS (SELECT toxic > 0 AS bad, list_sort(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '\p{{L}}{{3,}}'))) AS s FROM documents JOIN lab USING (doc_id)),
+taught AS (SELECT DISTINCT bad, s FROM known WHERE len(s) > 0),
+part AS (SELECT row_number() OVER () AS id, bad, s FROM taught),
+feat AS (SELECT DISTINCT id, bad, unnest(list_append([x[1:k] FOR k IN range(3, 9)], x || ' ')) AS f FROM (SELECT id, bad, unnest(s) AS x FROM part)),
+tot AS (SELECT count(*) FILTER (bad) AS all_bad, count(*) AS all_n FROM part),
+seen AS (SELECT f, count(*) FILTER (bad) AS bad, count(*) AS n, any_value(all_bad) AS all_bad, any_value(all_n) AS all_n FROM feat, tot GROUP BY f),
+toxic AS (SELECT f[:-2] AS w FROM seen WHERE suffix(f, ' ') AND length(f) > 4 AND bad >= 5 AND bad * 100 >= all_bad
+          AND bad * (all_n - all_bad + 1) >= 30 * (n - bad + 0.5) * (all_bad + 1)),
+odds AS (SELECT f, ln((bad + 0.5) / (all_bad + 1)) - ln((n - bad + 0.5) / (all_n - all_bad + 1)) AS odds, sqrt(1 / (bad + 0.5) + 1 / (n - bad + 0.5)) AS dev
+         FROM seen WHERE bad >= 3 AND all_n > all_bad),
+weight AS (SELECT f, odds - 1.64 * dev AS v FROM odds WHERE odds > 3.3 * dev),
+runs AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(t), '\p{{L}}+'))) AS w FROM m),
+worth AS (SELECT w, max(v) AS v FROM (SELECT w, unnest(list_append([w[1:k] FOR k IN range(3, 9)], w || ' ')) AS f FROM (SELECT DISTINCT w FROM runs)) JOIN weight USING (f) GROUP BY w),
+score AS (SELECT doc_id, count(*) FILTER (w IN (SELECT w FROM toxic)) AS n_toxic, coalesce(sum(v), 0) AS score FROM runs LEFT JOIN worth USING (w) GROUP BY doc_id),
+judged AS (SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
              (n_words < 50 OR n_repeat_words * 100 > n_words * 50) AS base_failed,
              NOT (n_symbols * 10 > n_words
                   OR (2 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) AND length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) >= 50)
                   OR (n_lines >= 5 AND 2 * n_dup_lines > n_lines)
                   OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words
-                  OR list_has_any(list_filter(regexp_extract_all(lower(t), '\p{{L}}+'), lambda x: length(x) >= 4), coalesce((SELECT s FROM toxic), []))) AS verdict FROM m)"""
+                  OR coalesce(n_toxic, 0) >= 2 OR coalesce(score, 0) > 0.5 * sqrt(length(t) / 10)) AS verdict FROM m LEFT JOIN score USING (doc_id))"""
 
 
 def lines(docs: str) -> str:

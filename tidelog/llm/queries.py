@@ -31,12 +31,12 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality.order_rules(docs, quality.default_rules(*quality.learned(docs, table(spark, sf_dir, "labels"))))
-    text = F.coalesce("text", F.lit(""))
-    measured = quality.cascade(docs, rules, kept="verdict").select(
-        "doc_id", quality.n_words(text).alias("n_words"), quality.word_chars(text).alias("word_chars"), quality.n_symbols(text).alias("n_symbols"),
-        quality.n_dup_lines(text).alias("n_dup_lines"), quality.n_repeat_words(text).alias("n_repeat_words"), "verdict")
-    failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    return measured.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("verdict")).drop("verdict")
+    rows = quality.compute_once(quality.measured(docs), n_repeat_words=quality.n_repeat_words(F.col("__words")))
+    failed = (F.col("__n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("__n_words") * 50)
+    rows = rows.withColumn("base_failed", failed)
+    return quality.judged(rows, rules, spare=F.col("base_failed")).select(
+        "doc_id", F.col("__n_words").alias("n_words"), quality.word_chars(F.col("__words")).alias("word_chars"), quality.n_symbols(F.col("__text")).alias("n_symbols"),
+        quality.n_dup_lines(F.col("__text")).alias("n_dup_lines"), "n_repeat_words", "base_failed", "kept")
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
