@@ -128,9 +128,12 @@ def n_repeat_words(words: Column, width: int = 3) -> Column:
 
 
 def _caps(text: Column) -> Column:
-    letters = F.char_length(F.regexp_replace(text, r"[^A-Za-z]+", ""))
-    upper = F.char_length(F.regexp_replace(text, r"[^A-Z]+", ""))
-    return (upper * 2 > letters) & (letters >= 50)
+    """More capitals than other letters of A-Z, and fifty letters at least. There are no fewer small letters than runs of them,
+    so most texts are done once these are counted."""
+    upper = F.size(F.split(text, "[A-Z]")) - 1
+    runs = F.size(F.split(text, "[a-z]+")) - 1
+    lower = F.char_length(F.regexp_replace(text, r"[^a-z]+", ""))
+    return bind(upper, lambda n: (n >= 26 - 1) & (n > runs) & bind(lower, lambda m: (n > m) & (n + m >= 50)))
 
 
 def default_rules(toxic: list[str], weights: dict[str, float] | None = None) -> list[Rule]:
@@ -145,7 +148,7 @@ def default_rules(toxic: list[str], weights: dict[str, float] | None = None) ->
     if toxic:
         rules.append(Rule("toxic", lambda m: F.size(F.array_intersect(m.letters, known)) >= TOXIC_WORDS))
     if weights:
-        rules.append(Rule("toxic_score", lambda m: toxic_score(m.letters, weights) > SCORE * F.sqrt(F.char_length(m.text) / 10)))
+        rules.append(Rule("toxic_score", lambda m: toxic_score(m.text, weights) > SCORE * F.sqrt(F.char_length(m.text) / 10)))
     return rules
 
 
@@ -171,12 +174,12 @@ def _tree(features: set[str]) -> str:
     return f"(?:{'|'.join(_tree({x for x in features if x[0] == a}) for a in heads)})"
 
 
-def toxic_score(letters: Column, weights: dict[str, float]) -> Column:
-    """The sum over a text's distinct runs of letters of the largest weight among a run's features.
+def toxic_score(text: Column, weights: dict[str, float]) -> Column:
+    """The sum over the distinct words of the text of the largest weight among a word's features.
 
-    A tree of all features passes the runs that have one. A literal table, dealt by hash, holds all weights, however many: a
-    lookup meets the few that share a place. A feature that weighs no more than a beginning of its own never is the largest
-    and is left out.
+    Only words that have a feature are taken from the text, by a tree of all features. A literal table, dealt by hash, holds
+    all weights, however many: a lookup meets the few that share a place. A feature that weighs no more than a beginning of
+    its own never is the largest and is left out.
     """
     best = {x: v for x, v in weights.items() if all(weights.get(x[:k], float("-inf")) < v for k in STEMS if k < len(x))}
     size = PLACES * len(best)
@@ -185,12 +188,12 @@ def toxic_score(letters: Column, weights: dict[str, float]) -> Column:
     for word, value in best.items():
         table[zlib.crc32(word.encode()) % size][word] = value
     places = F.from_json(F.lit(json.dumps(table)), "array<map<string,double>>")
-    found = F.filter(letters, lambda w: w.rlike(f"^(?:{_tree(set(best))})"))
+    found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?<!\p{{L}})(?:{_tree(set(best))})\p{{L}}*"), F.lit(0))
 
     def weight(word: Column) -> Column:
         return F.array_max(F.transform(_features(word), lambda x: F.get(places, F.pmod(F.crc32(x), F.lit(size)).cast("int"))[x]))
 
-    return F.aggregate(found, F.lit(0.0), lambda total, w: total + F.coalesce(weight(w), F.lit(0.0)))
+    return F.aggregate(F.array_distinct(found), F.lit(0.0), lambda total, w: total + F.coalesce(weight(w), F.lit(0.0)))
 
 
 def _known(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: str, words: Callable[[Column], Column]) -> DataFrame:
