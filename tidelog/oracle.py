@@ -291,6 +291,11 @@ on_log("rewind", """SELECT 'g' AS "group", topic, "partition", 0::BIGINT AS comm
 UNION ALL SELECT 'h', topic, "partition", committed FROM commits""", more=ENDS)
 on_log("done_watermark", """SELECT topic, "partition", coalesce(min("offset") FILTER (event_id % 101 = 7), max("offset") + 1) AS watermark,
 max("offset") + 1 AS "end" FROM log6 GROUP BY ALL""")
+SQL["ledger_watermark"] = SQL["done_watermark"]
+SQL["skip_handled_by_runs"] = SQL["skip_handled"]
+on_log("ledger_runs", """SELECT topic, "partition", min("offset") AS "begin", max("offset") + 1 AS "end" FROM (
+SELECT *, "offset" - row_number() OVER (PARTITION BY "partition" ORDER BY "offset") AS island FROM log6 WHERE event_id % 101 <> 7)
+GROUP BY topic, "partition", island""")
 FAILED = """
 f AS (SELECT "partition" AS p, min("offset") AS failed_at FROM log6 WHERE event_id % 1009 = 900 GROUP BY 1)"""
 on_log("stop_at_failure", """SELECT "partition", "offset", event_id FROM log6 LEFT JOIN f ON "partition" = p

@@ -12,8 +12,9 @@ from tidelog.functions import headers as hdr
 from tidelog.functions import keys as fk
 from tidelog.functions import orders as fo
 from tidelog.plans import scans
+from tidelog.plans.once import materialised
 from tidelog.operators import (
-    audit, failures, handlers, partitioning, progress, queue, records, runs, schemas, timelines, visibility)
+    audit, failures, handlers, ledger, partitioning, progress, queue, records, runs, schemas, timelines, visibility)
 from tidelog.session import shared_folder
 from tidelog.sources import generate, log as source, segments, sinks
 
@@ -493,6 +494,31 @@ def done_watermark(spark, sf):
     return progress.done_watermark(log, w.done(log))
 
 
+@query
+def ledger_runs(spark, sf):
+    """Handled positions stored in four batches that interleave, read as merged runs."""
+    handled = w.done(materialised(w.log6(spark, sf).select("topic", "partition", "offset", "event_id")))
+    store = ledger.RunLedger(spark, shared_folder(spark), w.QUERY_CHUNK)
+    for i in range(4):
+        store.add(ledger.runs_of(handled.filter(F.col("event_id") % 4 == i), w.QUERY_CHUNK))
+    return store.runs()
+
+
+@query
+def ledger_watermark(spark, sf):
+    """The done watermark from the index of a written log and the runs of what was handled."""
+    path = shared_folder(spark)
+    source.append_log(_rows_to_append(spark, sf), path, "event_id", w.PARTITIONS, chunk_rows=w.QUERY_CHUNK)
+    return ledger.watermark_of_runs(segments.index_bounds(spark, path), ledger.runs_of(w.done(w.log6(spark, sf)), w.QUERY_CHUNK))
+
+
+@query
+def skip_handled_by_runs(spark, sf):
+    log = w.log6(spark, sf)
+    runs_done = ledger.runs_of(log.filter(F.col("event_id") % 3 == 0), w.QUERY_CHUNK)
+    return ledger.skip_runs(_seen_dup(log), runs_done, w.QUERY_CHUNK).select("event_id", "partition", "offset")
+
+
 @query
 def stop_at_failure(spark, sf):
     log = w.log6(spark, sf)

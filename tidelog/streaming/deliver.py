@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tidelog.operators.audit import skip_handled
+from tidelog.operators.ledger import RunLedger, runs_of, skip_runs
 from tidelog.plans.facts import seek
 from tidelog.sources.log import append_log, exists, read_log_stream
 from tidelog.sources.segments import LogIndex
@@ -42,9 +43,10 @@ def deliver(
     """A writer that hands every micro-batch to ``handle(batch, batch_id)``; start it with a trigger.
 
     * ``at_least_once``: handle, then the checkpoint records progress. A crash in between repeats the batch.
-    * ``at_most_once``: the batch's ``ids`` go to the ``started`` table first, and rows found there are skipped, whichever
-      run or checkpoint they come from. A crash loses the rest of the interrupted batch and nothing else. With log
-      positions as ids only the batch's own offset ranges of the table are read.
+    * ``at_most_once``: the batch's ``ids`` go to the ``started`` ledger first, and rows found there are skipped, whichever
+      run or checkpoint they come from. A crash loses the rest of the interrupted batch and nothing else. Log positions are
+      kept as runs (``RunLedger``), so the ledger grows with the gaps and no batch is copied. With other ids there is a
+      row per record, and a copy of the batch until it is handled.
     * ``effectively_once``: rows whose ids are in the ledger are left out. ``ledger`` reads the table the handler
       writes its effect to, so effect and ledger are one write.
     """
@@ -57,10 +59,16 @@ def deliver(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if mode == AT_MOST_ONCE:
+        if mode == AT_MOST_ONCE and tuple(ids) == POSITION:
+            begun = RunLedger(spark, started)
+            if not begun.exists() and exists(spark, started):
+                # A table with a row per record, as other ids leave it.
+                begun.add(runs_of(spark.read.parquet(started)))
+            # The frame reads the versions of before the mark, which stay as they are, so marking does not change it.
+            batch = skip_runs(batch, begun.parts())
+            begun.add(runs_of(batch))
+        elif mode == AT_MOST_ONCE:
             begun = spark.read.parquet(started) if exists(spark, started) else None
-            if begun is not None and tuple(ids) == POSITION:
-                begun = ledger_slice(begun, batch)
             batch = batch.dropDuplicates(list(ids)) if begun is None else skip_handled(batch, begun, ids)
             # The rows to hand over are fixed before they are marked: afterwards the table would hide them.
             mine = f"{started}-batches/{uuid.uuid4().hex}"
