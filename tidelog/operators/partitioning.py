@@ -45,14 +45,13 @@ def hot_keys(df: DataFrame, k: int) -> DataFrame:
 def number_records(df: DataFrame, order: str, out: str, by: tuple[str, ...] = ("topic",),
                    chunk_rows: int = scans.CHUNK_ROWS) -> DataFrame:
     """A dense 0-based counter along a unique integer column."""
-    return scans.scan(df, by, [order], scans.id_chunk(order, chunk_rows), **{out: scans.index()})
+    return scans.scan_measured(df, by, order, chunk_rows, **{out: scans.index()})
 
 
 def assign_tenants(df: DataFrame, n: int, order: str, chunk_rows: int = scans.CHUNK_ROWS) -> DataFrame:
     """Tenant placement; rows without a key take turns over partitions 1..n-1."""
     keyless = df.withColumn("__has_key", F.col("key").isNotNull())
-    numbered = scans.scan(keyless, ["topic", "__has_key"], [order], scans.id_chunk(order, chunk_rows),
-                          __turn=scans.index())
+    numbered = scans.scan_measured(keyless, ["topic", "__has_key"], order, chunk_rows, __turn=scans.index())
     return numbered.withColumn("partition", tenant_partition(F.col("key"), n, F.col("__turn"))).drop("__turn", "__has_key")
 
 

@@ -89,15 +89,15 @@ def judge_acks(acks: DataFrame, ids: Sequence[str], order: str, lock_us: int,
     lock anew, so a lock is lost at the first gap longer than ``lock_us``.
     """
     group = [*ids, "delivery"]
-    chunk = scans.id_chunk(order, chunk_rows)
-    answered = scans.scan(acks, group, [order], chunk, __since=scans.previous(F.col("acked_us")),
+    cut = scans.with_chunk(acks, order, "__cut", chunk_rows)
+    answered = scans.scan(cut, group, [order], F.col("__cut"), __since=scans.previous(F.col("acked_us")),
                           __settled=scans.running_sum(F.when(F.col("type") != RENEW, 1).otherwise(0)))
     gap = F.col("acked_us") - F.coalesce("__since", F.col("delivered_us"))
     own = F.when(F.col("type") != RENEW, 1).otherwise(0)
     late = answered.withColumn("__late", (gap > lock_us).cast("int")).withColumn("__settled", F.col("__settled") - own)
-    lapsed = scans.scan(materialised(late), group, [order], chunk, __lapsed=scans.running_max(F.coalesce("__late", F.lit(0))))
+    lapsed = scans.scan(materialised(late), group, [order], F.col("__cut"), __lapsed=scans.running_max(F.coalesce("__late", F.lit(0))))
     applied = F.col("type").isNotNull() & (F.col("__lapsed") == 0) & (F.col("__settled") == 0)
-    return lapsed.withColumn("applied", applied).drop("__since", "__settled", "__late", "__lapsed")
+    return lapsed.withColumn("applied", applied).drop("__since", "__settled", "__late", "__lapsed", "__cut")
 
 
 def queue_state(acks: DataFrame, ids: Sequence[str], order: str, limit: int, lock_us: int, now_us: int | None = None,
@@ -110,8 +110,7 @@ def queue_state(acks: DataFrame, ids: Sequence[str], order: str, limit: int, loc
     """
     ids = list(ids)
     group = [*ids, "delivery"]
-    placed = scans.scan(acks, group, [order], scans.id_chunk(order, chunk_rows),
-                        __i=scans.index(), __since=scans.previous(F.col("acked_us")))
+    placed = scans.scan_measured(acks, group, order, chunk_rows, __i=scans.index(), __since=scans.previous(F.col("acked_us")))
     final = F.col("type").isNotNull() & (F.col("type") != RENEW)
     late = F.col("acked_us") - F.coalesce("__since", F.col("delivered_us")) > lock_us
     # Acks count from the first one up to the settling one, unless an earlier gap lost the lock: both are positions,

@@ -10,39 +10,57 @@ from pyspark.sql import functions as F
 from tidelog.functions.headers import SENT_AT, header_bytes, header_text
 from tidelog.plans import scans
 from tidelog.plans.facts import attach
-from tidelog.plans.scans import CHUNK
+from tidelog.plans.once import materialised
 
 MIB = 1_048_576
+#: Bins of a round of ``rank_percentile``.
+BINS = 4096
 
 
 def rank_percentile(df: DataFrame, column: str, probabilities: Sequence[float], by: Sequence[str],
                     cut_rows: int = scans.CHUNK_ROWS) -> DataFrame:
     """Exact percentile as the value at index ``round(p * (n - 1))`` of the sorted values; NaN for an empty group.
 
-    Equal values collapse into a histogram before the shuffle. The histogram is cut into value ranges, their
-    totals say which single range holds each wanted index, and only that range is walked in order.
+    A selection without a sort. The table is read once, for its keys, the value and the value's place on a line of integers
+    (``scans.order_code``). Around each wanted index lies an interval of that line, at first the group's range. A round counts
+    the rows of an interval in ``BINS`` equal bins and goes on in the one that holds the index, until an interval holds at
+    most ``cut_rows`` rows or a single place. Only the rows of these last intervals are put in order, equal values as one.
     """
     by = list(by)
-    present = df.filter(F.col(column).isNotNull())
-    histogram = scans.with_value_chunk(present, column, CHUNK, cut_rows).groupBy(*by, CHUNK, column).agg(
-        F.count(F.lit(1)).alias("__n"))
-    ranges = histogram.groupBy(*by, CHUNK).agg(F.sum("__n").alias("__t"))
-    up_to = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*by)
-    placed = ranges.select(*by, CHUNK, F.sum("__t").over(up_to).alias("__upto"), F.sum("__t").over(whole).alias("__all"), "__t")
-    wanted = placed.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-    rank = F.least(F.floor(F.col("p") * (F.col("__all") - 1) + 0.5), F.col("__all") - 1)
-    picks = wanted.withColumn("__rank", rank.cast("bigint")).filter(
-        (F.col("__rank") < F.col("__upto")) & (F.col("__rank") >= F.col("__upto") - F.col("__t"))
-    ).select(*by, CHUNK, "p", (F.col("__rank") - (F.col("__upto") - F.col("__t"))).alias("__rank"))
-    inside = Window.partitionBy(*by, CHUNK, "p").orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = scans.join_null_safe(histogram, picks, by, [CHUNK]).withColumn("__cum", F.sum("__n").over(inside)).filter(
-        (F.col("__rank") < F.col("__cum")) & (F.col("__rank") >= F.col("__cum") - F.col("__n"))
-    ).select(*by, "p", F.col(column).alias("__v"))
-    groups = df.groupBy(*by).agg(F.count(column).alias("n"))
-    slots = groups.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-    return scans.join_null_safe(slots, found, by, ["p"], "left").select(
-        *by, "p", "n", F.coalesce(F.col("__v").cast("double"), F.lit(float("nan"))).alias("value"))
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
+    thin = materialised(df.select(F.struct(F.lit(0).alias("_"), *by).alias("__g"), F.col(column).alias("__v"), scans.order_code(df, column).alias("__code")))
+    present = thin.filter(F.col("__v").isNotNull())
+    groups = materialised(thin.groupBy("__g").agg(
+        F.count("__v").alias("n"), F.min(F.when(F.col("__v").isNotNull(), F.col("__code"))).alias("__low"), F.max("__code").alias("__high")))
+    rank = F.least(F.floor(F.col("p") * (F.col("n") - 1) + 0.5), F.col("n") - 1).cast("bigint")
+    states = groups.filter(F.col("n") > 0).select("__g", "n", "__low", "__high", wanted).select(
+        "__g", "p", "__low", "__high", F.col("n").alias("__m"), rank.alias("__rank"))
+
+    def inside(intervals: DataFrame) -> DataFrame:
+        held = attach(present, intervals.select("__g", "__low", "__high").distinct(), ["__g"], "inner")
+        return held.filter((F.col("__code") >= F.col("__low")) & (F.col("__code") <= F.col("__high")))
+
+    interval = ["__g", "__low", "__high"]
+    whole = Window.partitionBy(*interval)
+    wide = (F.col("__m") > cut_rows) & (F.col("__low") < F.col("__high"))
+    while not states.filter(wide).isEmpty():
+        width = F.expr(f"(__high - __low) div {BINS} + 1")
+        bins = inside(states.filter(wide)).withColumn("__width", width).groupBy(*interval, "__width", F.expr("(__code - __low) div __width").alias("__bin")).agg(
+            F.count(F.lit(1)).alias("__c"))
+        upto = bins.withColumn("__upto", F.sum("__c").over(whole.orderBy("__bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        low = F.col("__low") + F.col("__bin") * F.col("__width")
+        # Greater than the rest of the line by less than a width, so the sum does not overflow.
+        narrowed = states.filter(wide).join(upto, interval).filter(
+            (F.col("__rank") < F.col("__upto")) & (F.col("__rank") >= F.col("__upto") - F.col("__c"))).select(
+            "__g", "p", low.alias("__low"), F.least(low + F.col("__width") - 1, "__high").alias("__high"),
+            F.col("__c").alias("__m"), (F.col("__rank") - F.col("__upto") + F.col("__c")).alias("__rank"))
+        states = materialised(narrowed.unionByName(states.filter(~wide)))
+    values = inside(states).groupBy(*interval, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    upto = values.withColumn("__upto", F.sum("__c").over(whole.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    found = states.join(upto, interval).filter(
+        (F.col("__rank") < F.col("__upto")) & (F.col("__rank") >= F.col("__upto") - F.col("__c"))).select("__g", "p", "__v")
+    return groups.select("__g", "n", wanted).join(found, ["__g", "p"], "left").select(
+        *[F.col("__g").getField(c).alias(c) for c in by], "p", "n", F.coalesce(F.col("__v").cast("double"), F.lit(float("nan"))).alias("value"))
 
 
 def approx_percentile(df: DataFrame, column: str, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
@@ -166,8 +184,7 @@ def counter_rate(samples: DataFrame, by: Sequence[str], order: str, at_us: str,
     full length, so it reports short runs too low.
     """
     by = list(by)
-    steps = scans.scan(samples, by, [order], scans.id_chunk(order, chunk_rows),
-                       __prev=scans.previous(F.col(total)))
+    steps = scans.scan_measured(samples, by, order, chunk_rows, __prev=scans.previous(F.col(total)))
     grown = F.when(F.col("__prev").isNull(), 0).when(F.col(total) < F.col("__prev"), F.col(total)).otherwise(
         F.col(total) - F.col("__prev"))
     ends = samples.groupBy(*by).agg(F.max(at_us).alias("__end"))

@@ -15,7 +15,7 @@ PART = ["topic", "partition"]
 
 def attempt_no(deliveries: DataFrame, ids: Sequence[str], order: str, chunk_rows: int = scans.CHUNK_ROWS) -> DataFrame:
     """1-based delivery number per record; one record redelivered without end is still cut into chunks."""
-    numbered = scans.scan(deliveries, list(ids), [order], scans.id_chunk(order, chunk_rows), __i=scans.index())
+    numbered = scans.scan_measured(deliveries, list(ids), order, chunk_rows, __i=scans.index())
     return numbered.withColumn("attempt", F.col("__i") + 1).drop("__i")
 
 
@@ -30,7 +30,7 @@ def attempt_report(deliveries: DataFrame, ids: Sequence[str], by: Sequence[str])
 def poll_overruns(polls: DataFrame, by: Sequence[str], order: str, at_us: str, limit_us: int,
                   chunk_rows: int = scans.CHUNK_ROWS) -> DataFrame:
     """Gaps between consecutive polls longer than the limit: the worker counts as dead."""
-    gaps = scans.scan(polls, list(by), [order], scans.id_chunk(order, chunk_rows), __prev=scans.previous(F.col(at_us)))
+    gaps = scans.scan_measured(polls, list(by), order, chunk_rows, __prev=scans.previous(F.col(at_us)))
     return gaps.withColumn("gap_us", F.col(at_us) - F.col("__prev")).filter(F.col("gap_us") > limit_us).drop("__prev")
 
 
@@ -53,11 +53,10 @@ def pause_intervals(inflight: DataFrame, by: Sequence[str], order: str, value: s
     by = list(by)
     crossing = F.when(F.col(value) > hi, 1).when(F.col(value) < lo, 0)
     crossings = inflight.select(*by, order, crossing.alias("__x")).filter(F.col("__x").isNotNull())
-    chunk = scans.id_chunk(order, chunk_rows)
-    edges = scans.scan(crossings, by, [order], chunk, __before=scans.previous(F.col("__x"))).filter(
+    edges = scans.scan_measured(crossings, by, order, chunk_rows, __before=scans.previous(F.col("__x"))).filter(
         F.col("__x") != F.coalesce("__before", F.lit(0)))
     # The crossings are few, and both branches of the next scan read them: they are worked out once.
-    spans = scans.scan(materialised(edges.drop("__before")), by, [order], chunk, resumed_at=scans.following(F.col(order)))
+    spans = scans.scan_measured(materialised(edges.drop("__before")), by, order, chunk_rows, resumed_at=scans.following(F.col(order)))
     return spans.filter(F.col("__x") == 1).select(*by, F.col(order).alias("paused_at"), "resumed_at")
 
 
@@ -70,8 +69,8 @@ def rebalance_cost(events: DataFrame, marks: DataFrame, order: str, chunk_rows:
     e = events.select("group", order, "member", "action", F.size("partitions").alias("moved"), F.lit(0).alias("is_mark"))
     m = marks.select("group", order, F.lit(None).cast("string").alias("member"), F.lit(None).cast("string").alias("action"),
                      F.lit(0).alias("moved"), F.lit(1).alias("is_mark"))
-    tracked = scans.scan(e.unionByName(m), ["group"], [order], scans.id_chunk(order, chunk_rows),
-                         segment=scans.running_sum(F.col("is_mark")))
+    tracked = scans.scan_measured(e.unionByName(m), ["group"], order, chunk_rows,
+                                  segment=scans.running_sum(F.col("is_mark")))
     total = lambda action: F.sum(F.when(F.col("action") == action, F.col("moved")).otherwise(0))
     return tracked.filter(F.col("is_mark") == 0).groupBy("group", "segment", "member").agg(
         total("revoked").alias("revoked"), total("LOST").alias("lost"), total("assigned").alias("gained"),

@@ -71,7 +71,7 @@ def fence_zombies(log: DataFrame, order: str = "log_order", chunk_rows: int = sc
 
     Writes without a transactional id or without an epoch are no one's zombies and pass.
     """
-    tracked = scans.scan(log.filter(F.col("transactional_id").isNotNull()), ["transactional_id"], [order], scans.id_chunk(order, chunk_rows),
-                         __highest=scans.running_max(F.col("epoch")))
+    tracked = scans.scan_measured(log.filter(F.col("transactional_id").isNotNull()), ["transactional_id"], order, chunk_rows,
+                                  __highest=scans.running_max(F.col("epoch")))
     kept = tracked.filter(F.col("epoch").isNull() | (F.col("epoch") >= F.col("__highest"))).drop("__highest")
     return kept.unionByName(log.filter(F.col("transactional_id").isNull()))

@@ -17,13 +17,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.plans.facts import attach
+from tidelog.plans.once import materialised
+
 CHUNK_ROWS = 250_000
-MAX_CUTS = 10_000
+BLOCK_PIECES = 1024
 CHUNK = "__chunk"
 _FIRST = "__first"
 _LAST = "__last"
@@ -39,9 +41,7 @@ def with_chunk(df: DataFrame, column: str, out: str, rows: int = CHUNK_ROWS) ->
     """Add a chunk number that follows the order of a unique column of any integer, float or time type.
 
     Integers that lie densely (their span is within four times their number, as one aggregate tells) are divided.
-    Sparse ones and other types are cut at approximate quantiles: one pass over that column alone, which brings back
-    only the cut points. Rounding a value to double keeps the order, so results are exact whatever the cuts are; they
-    only balance the chunks.
+    Sparse ones and other types are cut where the values lie.
     """
     if isinstance(df.schema[column].dataType, T.IntegralType):
         low, high, n = df.agg(F.min(column), F.max(column), F.count(column)).first()
@@ -51,25 +51,63 @@ def with_chunk(df: DataFrame, column: str, out: str, rows: int = CHUNK_ROWS) ->
 
 
 def with_value_chunk(df: DataFrame, column: str, out: str, rows: int = CHUNK_ROWS) -> DataFrame:
-    pieces = min(MAX_CUTS, max(1, -(-df.count() // rows)))
-    cuts: list[float] = []
-    numbered = df.withColumn("__as_number", _as_double(df, column))
-    if pieces > 1:
-        probabilities = [i / pieces for i in range(1, pieces)]
-        cuts = sorted(set(numbered.select("__as_number").approxQuantile("__as_number", probabilities, 1.0 / (4 * pieces))))
-    if not cuts:
-        return df.withColumn(out, F.lit(0).cast("bigint"))
-    # A value that is not a number sorts last in Spark and gets the last bucket here.
-    place = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="__as_number", outputCol=out, handleInvalid="keep")
-    return place.transform(numbered).withColumn(out, F.col(out).cast("bigint")).drop("__as_number")
+    """Chunks of less than twice ``rows`` rows, or of a single value, however many there are.
 
-
-def _as_double(df: DataFrame, column: str) -> Column:
+    The range of the values (as ``order_code``) is cut evenly, in four times as many pieces as there would be full chunks. A
+    piece that holds too many rows is cut again, between its own least and greatest value, until none does: each round is an
+    aggregate of that column, and only pieces to be cut again are joined to the rows. At last neighbours are put together up
+    to a chunk's size. Cuts are tables, so their number has no limit.
+    """
+    coded = df.withColumn("__code", order_code(df, column))
+    low, high, n = coded.agg(F.min("__code"), F.max("__code"), F.count(F.lit(1))).first()
+    if n <= rows or low == high:
+        return df.withColumn(out, F.lit(0).cast("bigint"))
+    width = (high - low) // (4 * -(-n // rows)) + 1
+    cut = coded.withColumn(out, F.expr(f"{low}L + (__code - {low}L) div {width}L * {width}L"))
+    while True:
+        pieces = materialised(cut.groupBy(out).agg(F.count(F.lit(1)).alias("__n"), F.min("__code").alias("__low"), F.max("__code").alias("__high")))
+        full = pieces.filter((F.col("__n") > rows) & (F.col("__low") < F.col("__high")))
+        if full.isEmpty():
+            break
+        again = full.select(out, "__low", F.expr(f"(__high - __low) div (4 * ((__n - 1) div {rows} + 1)) + 1").alias("__width"))
+        inside = F.coalesce(F.expr("__low + (__code - __low) div __width * __width"), F.col(out))
+        cut = attach(cut, again, [out]).withColumn(out, inside).drop("__low", "__width")
+    # Windows of so many even pieces (and what became of them), so that no task orders them all.
+    block = F.expr(f"(__low - {low}L) div {width}L div {BLOCK_PIECES}")
+    before = Window.partitionBy("__block").orderBy("__low").rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.expr(f"coalesce(__before, 0L) div {rows}")
+    numbered = pieces.withColumn("__block", block).withColumn("__before", F.sum("__n").over(before)).withColumn("__group", filled)
+    joint = Window.partitionBy("__block", "__group")
+    merged = numbered.select(out, F.min(out).over(joint).alias("__merged"))
+    return attach(cut, materialised(merged), [out]).select(*[c for c in df.columns if c != out], F.col("__merged").alias(out))
+
+
+def order_code(df: DataFrame, column: str) -> Column:
+    """A 64-bit integer that never decreases as the value grows; differences of two codes do not overflow.
+
+    Null comes first and NaN last, as Spark sorts them. Values that lie very close may share a code: integers next to each
+    other, and doubles that agree in 50 bits of their fraction. Whoever needs exact results compares the values inside one code.
+    """
     kind = df.schema[column].dataType
     c = F.col(column)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    return c.cast("double")
+        code = F.shiftright(F.unix_micros(c.cast("timestamp")), 1)
+    elif isinstance(kind, T.DateType):
+        code = F.unix_date(c).cast("bigint")
+    elif isinstance(kind, T.IntegralType):
+        code = F.shiftright(c.cast("bigint"), 1)
+    else:
+        x = c.cast("double")
+        size = F.abs(x)
+        # The logarithm may round to the power above or below; within one power the fraction is exact and kept in bounds,
+        # so the code still never decreases. Infinity is above every power.
+        power = F.least(F.floor(F.log2(size)), F.lit(1023))
+        half = F.pow(F.lit(2.0), F.floor(power / 2))
+        fraction = size / half / F.pow(F.lit(2.0), power - F.floor(power / 2)) - 1
+        steps = F.floor(F.least(F.greatest(fraction, F.lit(0.0)), F.lit(1 - 2.0 ** -50)) * F.lit(2.0 ** 50)).cast("bigint")
+        above = F.when(size == 0, F.lit(0).cast("bigint")).when(size == math.inf, F.lit(2100 << 50)).otherwise((power + 1076).cast("bigint") * (1 << 50) + steps)
+        code = F.when(F.isnan(x), F.lit(2101 << 50)).otherwise(F.when(x < 0, -above).otherwise(above))
+    return F.when(c.isNull(), F.lit(-(1 << 62))).otherwise(code)
 
 
 @dataclass(frozen=True)
@@ -187,3 +225,8 @@ def scan(df: DataFrame, by: Sequence[str], order: Sequence[str], chunk: Column,
     carries = chunked.groupBy(*keys).agg(*summary).select(*keys, *carry)
     rows = chunked.select("*", *local)
     return rows.join(carries, keys, "left").select(*[c for c in kept if c not in steps], *merged)
+
+
+def scan_measured(df: DataFrame, by: Sequence[str], order: str, rows: int = CHUNK_ROWS, **steps: Step) -> DataFrame:
+    """A scan along a column of the caller's, whose values may lie densely or far apart: they are looked at before they are cut."""
+    return scan(with_chunk(df, order, "__cut", rows), by, [order], F.col("__cut"), **steps).drop("__cut")
