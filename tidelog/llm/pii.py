@@ -29,9 +29,11 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Wider patterns for what the base patterns miss.
+_DOT = r"(?:\x20?(?:\(dot\)|\[dot\]|\{dot\})\x20?|\x20dot\x20)"
+#: Wider patterns for what the base patterns miss. A plain word "at" is part of an address only where the dots are spelled out
+#: too, and a dot as such has no space behind it: "we met at noon. Then" is no address.
 WIDE = {
-    "email": rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+\x20?(?:\(at\)|\[at\]|\{{at\}}|\x20at\x20)\x20?[A-Za-z0-9-]{{1,63}}+(?:\x20?(?:\(dot\)|\[dot\]|\{{dot\}}|\x20dot\x20|\.)\x20?[A-Za-z]{{2,63}}+){{1,4}}+",
+    "email": rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+(?:\x20?(?:\(at\)|\[at\]|\{{at\}})\x20?[A-Za-z0-9-]{{1,63}}+(?:(?:{_DOT}|\.)[A-Za-z]{{2,63}}+){{1,4}}+|\x20at\x20[A-Za-z0-9-]{{1,63}}+(?:{_DOT}[A-Za-z]{{2,63}}+){{1,4}}+)",
     "card": r"(?<![0-9./_-])[0-9]{4}(?:[./_][0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+./-])(?:00[0-9]{1,3}[\x20.-]?|1[\x20.-])?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
@@ -73,7 +75,7 @@ def candidates(docs: DataFrame, key: Column, text: str) -> DataFrame:
     # A text without the characters that a pattern needs is not searched.
     digit = t.rlike("[0-9]")
     needs = {("email", False): t.contains("@"), ("ip", False): digit, ("card", False): digit, ("phone", False): t.contains("+"),
-             ("email", True): t.rlike(r"[(\[{ ]at[)\]} ].*(?:\.|dot)"), ("card", True): digit, ("phone", True): digit}
+             ("email", True): t.rlike(r"[(\[{ ]at[)\]} ]") & t.rlike(r"\.|dot"), ("card", True): digit, ("phone", True): digit}
     none = F.array().cast("array<struct<gap:int,left:string,m:string,right:string>>")
     named = [F.struct(F.lit(k).alias("kind"), F.lit(wide).alias("wide"), F.when(needs[k, wide], _matches(t, p)).otherwise(none).alias("found"))
              for wide, patterns in ((False, BASE), (True, WIDE)) for k, p in patterns.items()]
