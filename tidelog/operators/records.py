@@ -73,7 +73,7 @@ def parse_plan(df: DataFrame, key: str = "key") -> DataFrame:
     )
     return compute_once(
         parts, kind=kind, failures=F.when(kind == "FLAKY", times).when(kind.isNotNull(), 0),
-        plan_error=F.when(kind.isNull(), F.concat(F.lit("not a scripted key: "), F.coalesce(F.col(key), F.lit("null")))),
+        plan_error=F.when(kind.isNull(), F.concat(F.lit("no script for key "), F.coalesce(F.col(key), F.lit("null")))),
     ).drop("__word", "__times")
 
 

@@ -125,7 +125,7 @@ SELECT event_id, key,
             WHEN key LIKE 'flaky%' THEN 'FLAKY' END AS kind,
        CASE WHEN key LIKE 'flaky2%' THEN 2 WHEN key LIKE 'flaky9%' THEN 9
             WHEN key LIKE 'ok-%' OR key LIKE 'fatal-%' OR key LIKE 'poison-%' THEN 0 END::INT AS failures,
-       CASE WHEN key IS NULL OR key LIKE 'customer%' THEN 'not a scripted key: ' || coalesce(key, 'null') END AS plan_error FROM k"""
+       CASE WHEN key IS NULL OR key LIKE 'customer%' THEN 'no script for key ' || coalesce(key, 'null') END AS plan_error FROM k"""
 SQL["narrow"] = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 31 <> 0 AND o_orderkey % 29 <> 0 THEN 'ORD-' || o_orderkey END AS "orderId",
        CASE WHEN o_orderkey % 31 <> 0 AND o_orderkey % 29 <> 0 THEN o_totalprice::DECIMAL(12,2)::VARCHAR END AS "totalAmount" FROM orders"""
