@@ -617,6 +617,12 @@ SELECT event_id, CASE WHEN last_ok AND last_type = 'ACCEPT' THEN 'acknowledged'
 FROM (SELECT event_id, max(delivery) AS deliveries, count(*) FILTER (ok) AS applied, count(*) FILTER (NOT ok) AS refused,
              count(*) FILTER (NOT ok) AS expired, arg_max(ok, delivery) AS last_ok, arg_max(type, delivery) AS last_type
       FROM (SELECT *, event_id % 20 <> 0 AS ok FROM acks) GROUP BY 1)""", more=DELIVERIES)
+SQL["stream_queue_worker"] = """
+SELECT event_id, 1 AS delivery, CASE WHEN event_id % 50 = 0 THEN 'REJECT' WHEN event_id % 7 = 0 THEN 'RELEASE' ELSE 'ACCEPT' END AS type,
+       event_id % 20 <> 0 AS applied FROM events
+UNION ALL
+SELECT event_id, 2, CASE WHEN event_id % 50 = 0 THEN 'REJECT' ELSE 'ACCEPT' END, true
+FROM events WHERE event_id % 20 = 0 OR (event_id % 7 = 0 AND event_id % 50 <> 0)"""
 SQL["stream_progress"] = "SELECT count(*) AS input_rows, count(*) FILTER (event_type = 'error') AS errors FROM events"
 on_log("stream_append_log", 'SELECT topic, "partition", count(*) AS records, count(*) AS offsets, count(*) AS "end" FROM log6 GROUP BY ALL')
 on_log("stream_read_log", 'SELECT "partition", "offset", event_type AS value FROM log6')

@@ -17,7 +17,7 @@ from tidelog.sources import log as source
 from tidelog.sources import segments, sinks
 from tidelog.sources.segments import LogIndex
 from tidelog.streaming import deliver as d
-from tidelog.streaming import progress, state
+from tidelog.streaming import progress, state, worker
 from tidelog.streaming.source import drain_log, log_lag, log_stream
 
 
@@ -260,6 +260,21 @@ def stream_queue_state(spark, sf):
     return state.latest_states(spark.read.parquet(f"{folder}/states")).withColumn("event_id", F.col("id").cast("bigint")).drop("id")
 
 
+@query
+def stream_queue_worker(spark, sf):
+    """The explicit script over a log read in four micro-batches; every 20th record's first answer comes after its lock."""
+    folder = shared_folder(spark)
+    path = f"{folder}/log"
+    _events_log(spark, sf, path, w.PARTITIONS)
+    most = -(-sum(LogIndex(path).state().ends.values()) // 4)
+    records = log_stream(spark, path, max_rows=most).select(F.col("value").cast("string").cast("bigint").alias("event_id"))
+    work = worker.by_decision(
+        lambda n: queue.scripted_decision("explicit", F.col("event_id"), n),
+        lambda n: F.when((F.col("event_id") % 20 == 0) & (n == 1), 3_000_000).otherwise(1_000_000))
+    drain_log(worker.queue_worker_stream(records, f"{folder}/work", work, 5, f"{folder}/checkpoint", lock_us=2_000_000), path)
+    return worker.read_acks(spark, f"{folder}/work").select("event_id", "delivery", "type", "applied")
+
+
 @query
 def stream_progress(spark, sf):
     """Rows that went through a query, from its own progress reports."""
