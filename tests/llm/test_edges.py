@@ -11,10 +11,10 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.llm import extract, langid, lm, packing, pii, quality, urls
+from tidelog.llm import extract, langid, lm, ngram_join, packing, pii, quality, urls
 from tidelog.llm.decontaminate import decontaminate
 from tidelog.llm.linededup import CuckooFilter, LineDedup
-from tidelog.llm.ngram_join import near_duplicates, one_of_each, prefix_depth
+from tidelog.llm.ngram_join import near_duplicates, one_of_each
 
 random.seed(5)
 WORDS = ["".join(random.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
@@ -66,7 +66,11 @@ def test_near_duplicates(docs, nothing, docs_of):
     assert near_duplicates(nothing).count() == one_of_each(nothing).count() == 0
 
 
-def test_near_duplicates_against_all_pairs(docs_of):
+@pytest.mark.parametrize("crowd, sets", [(500, 500), (3, 500), (3, 4), (500, 2)])
+def test_near_duplicates_against_all_pairs(docs_of, monkeypatch, crowd, sets):
+    """Also with crowds and blocks so small that prefixes grow, more trees are asked and groups go by prefixes or by blocks."""
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", sets)
     rows, r = [], random.Random(3)
     for k in range(12):
         base = prose(r.choice([30, 200]), 1000 + k).split()
@@ -86,9 +90,32 @@ def test_near_duplicates_against_all_pairs(docs_of):
     assert got == {(i, least(i), len(links[i])) for i in sets}
 
 
-def test_prefix_depth_reaches_the_target():
-    d = prefix_depth(0.8)
-    assert 1 - (1 - 0.8 ** d) ** 32 >= 0.99999 > 1 - (1 - 0.8 ** (d + 1)) ** 32
+def test_trees_reach_the_target():
+    for length in range(ngram_join.SHORTEST, ngram_join.DEPTH + 1):
+        trees = ngram_join.trees_for(length)
+        assert 1 - (1 - 0.8 ** length) ** trees >= ngram_join.TARGET > 1 - (1 - 0.8 ** length) ** (trees - 1)
+
+
+def test_prefixes_meet_as_often_as_sets_overlap():
+    r = np.random.default_rng(5)
+    same, pairs = np.zeros(4), 300
+    for _ in range(pairs):
+        codes = r.integers(0, 1 << 63, 110, dtype=np.uint64)
+        a, b = (ngram_join.prefixes(codes[k:k + 100], 63, range(5, 9)) for k in (0, 10))
+        same += (a == b).mean(axis=0)
+    similarity = 90 / 110
+    assert np.allclose(same / pairs, similarity ** np.arange(5, 9), atol=0.02)
+
+
+def test_a_chain_goes_by_its_prefixes(spark, docs_of, monkeypatch):
+    """20 000 texts, each linked to the next alone: a text is compared under its prefixes, not with every block of the chain."""
+    n, sent = 20_000, []
+    meetings = ngram_join._meetings
+    monkeypatch.setattr(ngram_join, "_meetings", lambda *a: sent.append(meetings(*a)) or sent[-1])
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.col("id"), F.col("id") + 13), lambda k: F.concat(F.lit("w"), k.cast("string"))), " ").alias("text"))
+    got = near_duplicates(docs).agg(F.min("class_id"), F.max("class_id"), F.min("n_links"), F.max("n_links"), F.sum("n_links")).first()
+    assert tuple(got) == (0, 0, 1, 2, 2 * (n - 1))
+    assert sent[0].where("tree >= 0").count() == sent[0].count() < 29 * n
 
 
 def test_quality(docs, nothing):
