@@ -101,7 +101,7 @@ def test_prefixes_meet_as_often_as_sets_overlap():
     same, pairs = np.zeros(4), 300
     for _ in range(pairs):
         codes = r.integers(0, 1 << 63, 110, dtype=np.uint64)
-        a, b = (ngram_join.prefixes(codes[k:k + 100], 63, range(5, 9)) for k in (0, 10))
+        a, b = (ngram_join.prefixes(codes[k:k + 100], ngram_join._factors(), 63, range(5, 9)) for k in (0, 10))
         same += (a == b).mean(axis=0)
     similarity = 90 / 110
     assert np.allclose(same / pairs, similarity ** np.arange(5, 9), atol=0.02)

@@ -20,7 +20,6 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,21 +56,19 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return np.unique(code)
 
 
-@cache
 def _factors() -> np.ndarray:
     """One odd number for each level and tree: a MinHash is the least product with it."""
     return np.random.default_rng(2).integers(1, 1 << 63, (DEPTH, trees_for(DEPTH)), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def prefixes(codes: np.ndarray, trees: int, lengths: range) -> np.ndarray:
+def prefixes(codes: np.ndarray, factors: np.ndarray, trees: int, lengths: range) -> np.ndarray:
     """For each tree the codes of its prefixes of these lengths. A code names its tree and length too."""
-    factors = _factors()
     prefix = np.arange(trees, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     out = np.zeros((trees, len(lengths)), np.uint64)
     for level in range(lengths[-1] if len(codes) else 0):
         least = np.full(trees, np.iinfo(np.uint64).max)
         for a in range(0, len(codes), 1000):
-            least = np.minimum(least, (codes[a:a + 1000, None] * factors[level, :trees]).min(axis=0))
+            least = np.minimum(least, (factors[level, :trees, None] * codes[a:a + 1000]).min(axis=1))
         prefix = (prefix ^ least) * np.uint64(0x9E3779B97F4A7C15)
         prefix ^= prefix >> np.uint64(31)
         if level + 1 in lengths:
@@ -85,6 +82,8 @@ def _signed(rows: DataFrame, text: str, trees: int, lengths: range) -> DataFrame
     schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField("cls", T.StringType()), T.StructField("n", T.LongType()),
                            T.StructField("prefixes", T.ArrayType(T.LongType()))])
 
+    factors = _factors()
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = trees * len(lengths)
         for batch in batches:
@@ -95,7 +94,7 @@ def _signed(rows: DataFrame, text: str, trees: int, lengths: range) -> DataFrame
                 codes = shingles(flat[ends[i]:ends[i + 1]])
                 sizes.append(len(codes))
                 names.append(hashlib.blake2b(codes.tobytes(), digest_size=16).hexdigest() if len(codes) else None)
-                found[i] = prefixes(codes, trees, lengths).ravel()
+                found[i] = prefixes(codes, factors, trees, lengths).ravel()
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * width)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in kept], pa.array(names, pa.string()), pa.array(sizes, pa.int64()),
