@@ -112,6 +112,8 @@ def _forest(classes: DataFrame, texts: DataFrame) -> DataFrame:
     short = classes.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
     crowds = written(short.groupBy("prefix").count().where(F.col("count") > CROWD).select("prefix"))
     crowded = written(short.join(crowds, "prefix", "left_semi").select("node").distinct())
+    if crowded.isEmpty():
+        return short.select("node", "tree", "prefix")
     lengths, trees = range(SHORTEST, DEPTH + 1), trees_for(DEPTH)
     again = texts.join(classes.join(crowded, "node", "left_semi").select("key", "node").hint("shuffle_hash"), "key").select("node", "text")
     whole = written(_signed(again, "text", trees, lengths).dropDuplicates(["node"]))
