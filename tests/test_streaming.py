@@ -349,3 +349,69 @@ def test_commits_hold_400_records_however_long_the_log(spark, monkeypatch, folde
     monkeypatch.setattr(workloads, "events", lambda s, sf: s.range(9000).selectExpr("id event_id", "timestamp_seconds(id) ts"))
     assert tuple(queries.stream_commit_every_n(spark, folder).first()) == (9000, 8999, True)
     assert asked == [400]
+
+
+class CountedMap:
+    """A map state in memory that counts the messages it would send."""
+
+    def __init__(self, handle):
+        self.handle, self.held = handle, {}
+
+    def _told(self, result=None):
+        self.handle.calls += 1
+        return result
+
+    def containsKey(self, key):
+        return self._told(key in self.held)
+
+    def getValue(self, key):
+        return self._told(self.held.get(key))
+
+    def updateValue(self, key, value):
+        self._told(self.held.update({key: value}))
+
+    def removeKey(self, key):
+        self._told(self.held.pop(key, None))
+
+    def keys(self):
+        return self._told(iter(list(self.held)))
+
+
+class CountedHandle:
+    def __init__(self, now=0):
+        self.calls, self.timers, self.now = 0, set(), now
+
+    def getMapState(self, name, key, value):
+        return CountedMap(self)
+
+    def registerTimer(self, due):
+        self.calls += 1
+        self.timers.add(due)
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+    def getExpiryTimeInMs(self):
+        return min(self.timers)
+
+
+def test_waiting_records_share_state_entries(spark):
+    import pandas as pd
+
+    from tidelog.streaming.queries import _handle_script
+
+    handle = CountedHandle()
+    processor = state.RetryProcessor("t", _handle_script, failures.RetryPolicy(initial_ms=100, max_ms=400))
+    processor.init(handle)
+    # One hot id among others: 6000 records that fail for good.
+    frame = pd.DataFrame({"id": ["hot"] * 3000 + [f"i{n}" for n in range(3000)], "payload": [f"flaky9-{n}" for n in range(6000)]})
+    out = list(processor.handleInputRows((0,), iter([frame]), handle))
+    while handle.timers:
+        handle.now = handle.getExpiryTimeInMs()
+        due = CountedHandle()
+        due.timers = {handle.now}
+        out += processor.handleExpiredTimer((0,), handle, due)
+        handle.timers.discard(handle.now)
+    rows = pd.concat(out)
+    assert len(rows) == 5 * 6000 and rows.groupby("payload").attempt.max().eq(4).all() and rows.via.value_counts()["t-dlt"] == 6000
+    assert not processor.waiting.held and handle.calls < 150

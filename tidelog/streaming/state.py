@@ -1,15 +1,21 @@
 """Keyed state: retry topics with timers and the queue state of a stream of acks.
 
-State is kept per record id, so no key grows hot. Both need the RocksDB state store
-(``use_rocksdb``), as ``transformWithState`` does.
+A call of a state variable is a message to the JVM and back, and a group of rows is a frame of its own, so neither is made per
+record. Ids are spread over ``buckets`` groups by their hash. A group takes its rows of a micro-batch at once, and keeps records
+that are read together under one state entry: those that wait for the same time, or the ids of one of ``SLOTS`` slots. Only
+entries that a micro-batch or a timer concerns are read and written. Both need the RocksDB state store (``use_rocksdb``), as
+``transformWithState`` does. The number of buckets belongs to the checkpoint: keep it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import json
+import zlib
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -21,67 +27,94 @@ RETRY_ENTRIES = "id string, payload string, attempt int, error string, via strin
 SETTLED = ("acknowledged", "archived")
 QUEUE_STATES = "id string, state string, deliveries int, applied bigint, refused bigint, expired bigint"
 
+BUCKETS = 2048
+#: Entries that a bucket's ids are kept in.
+SLOTS = 4
+#: Records under one entry of those that wait.
+HELD = 1000
+
 
 def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("bucket")
+
+
 class RetryProcessor(StatefulProcessor):
-    """Holds a failed record until its next attempt is due, then tries again, then parks it."""
+    """Holds failed records until their next attempt is due, then tries again, then parks them."""
 
     def __init__(self, topic: str, handler: Callable[[str, str, int], str | None], policy: RetryPolicy):
         self.topic, self.handler, self.policy = topic, handler, policy
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # By the time at which they are due: several records of one id may wait at once.
-        self.waiting = handle.getMapState("waiting", "due_ms bigint, place int", "attempt int, payload string")
+        # By the time at which they are due: JSON of the (id, payload) that wait for the same attempt.
+        self.waiting = handle.getMapState("waiting", "due_ms bigint, place int", "attempt int, held string")
 
-    def _delay(self, retry: int) -> int:
-        return self.policy.delays()[retry - 1]
-
-    def _hold(self, payload: str, attempt: int, due_ms: int) -> None:
+    def _hold(self, held: list[tuple[str, str]], attempt: int, due_ms: int) -> None:
         place = 0
-        while self.waiting.containsKey((due_ms, place)):
-            place += 1
-        self.waiting.updateValue((due_ms, place), (attempt, payload))
+        for at in range(0, len(held), HELD):
+            while self.waiting.containsKey((due_ms, place)):
+                place += 1
+            self.waiting.updateValue((due_ms, place), (attempt, json.dumps(held[at:at + HELD])))
         self.handle.registerTimer(due_ms)
 
-    def _try(self, id_: str, payload: str, attempt: int, now_ms: int) -> pd.DataFrame:
-        error = self.handler(id_, payload, attempt)
-        via = self.topic if attempt == 1 else f"{self.topic}-retry-{self._delay(attempt - 1)}"
-        rows = [] if error == UNDECODABLE else [(id_, payload, attempt, error, via)]
-        dead = error is not None and (error in self.policy.fatal or attempt > self.policy.retries)
-        if dead:
-            rows.append((id_, payload, 0 if error == UNDECODABLE else attempt, error, f"{self.topic}-dlt"))
-        if error is not None and not dead:
-            self._hold(payload, attempt, now_ms + self._delay(attempt))
-        return pd.DataFrame(rows, columns=["id", "payload", "attempt", "error", "via"])
+    def _try(self, records: Iterable[tuple[str, str]], attempt: int) -> tuple[pd.DataFrame, list[tuple[str, str]]]:
+        """Deliveries of the records, and those that are to be tried again."""
+        delays = self.policy.delays()
+        via = self.topic if attempt == 1 else f"{self.topic}-retry-{delays[attempt - 2]}"
+        rows, held = [], []
+        for id_, payload in records:
+            error = self.handler(id_, payload, attempt)
+            if error != UNDECODABLE:
+                rows.append((id_, payload, attempt, error, via))
+            if error is not None and (error in self.policy.fatal or attempt > self.policy.retries):
+                rows.append((id_, payload, 0 if error == UNDECODABLE else attempt, error, f"{self.topic}-dlt"))
+            elif error is not None:
+                held.append((id_, payload))
+        return pd.DataFrame(rows, columns=["id", "payload", "attempt", "error", "via"]), held
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now, waiting = timerValues.getCurrentProcessingTimeInMs(), []
         for frame in rows:
-            for payload in frame["payload"]:
-                yield self._try(key[0], payload, 1, timerValues.getCurrentProcessingTimeInMs())
+            out, held = self._try(zip(_plain(frame["id"]), _plain(frame["payload"])), 1)
+            waiting += held
+            yield out
+        if waiting:
+            self._hold(waiting, 1, now + self.policy.delays()[0])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
         due = sorted((int(k[0]), int(k[1])) for k in self.waiting.keys() if int(k[0]) <= expiredTimerInfo.getExpiryTimeInMs())
-        held = [self.waiting.getValue(k) for k in due]
+        again = defaultdict(list)
         for k in due:
+            attempt, held = self.waiting.getValue(k)
             self.waiting.removeKey(k)
-        for attempt, payload in held:
-            yield self._try(key[0], payload, int(attempt) + 1, now)
+            out, failed = self._try(json.loads(held), int(attempt) + 1)
+            again[int(attempt) + 1] += failed
+            yield out
+        for attempt, failed in again.items():
+            if failed:
+                self._hold(failed, attempt, now + self.policy.delays()[attempt - 1])
 
     def close(self) -> None:
         pass
 
 
-def retry_topics(stream: DataFrame, topic: str, handler: Callable[[str, str, int], str | None], policy: RetryPolicy) -> DataFrame:
+def _plain(column: pd.Series) -> list:
+    """Values with None where there is none."""
+    return column.astype(object).where(column.notna(), None).tolist()
+
+
+def retry_topics(stream: DataFrame, topic: str, handler: Callable[[str, str, int], str | None], policy: RetryPolicy,
+                 buckets: int = BUCKETS) -> DataFrame:
     """Deliver (id, payload) rows with retries after processing-time delays; one row per delivery.
 
     A failed record leaves the stream and comes back when due, so the order of one key's records is given up.
     """
-    return stream.groupBy("id").transformWithStateInPandas(
+    return stream.select("id", "payload", _bucket(buckets)).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=RetryProcessor(topic, handler, policy), outputStructType=RETRY_ENTRIES,
         outputMode="append", timeMode="ProcessingTime")
 
