@@ -415,3 +415,18 @@ def test_waiting_records_share_state_entries(spark):
     rows = pd.concat(out)
     assert len(rows) == 5 * 6000 and rows.groupby("payload").attempt.max().eq(4).all() and rows.via.value_counts()["t-dlt"] == 6000
     assert not processor.waiting.held and handle.calls < 150
+
+
+def test_queue_states_share_state_entries(spark):
+    import pandas as pd
+
+    handle = CountedHandle()
+    processor = state.QueueProcessor(2, 2_000_000, forget_ms=500)
+    processor.init(handle)
+    acks = lambda n, kind: pd.DataFrame({"id": [f"i{i}" for i in range(5000)], "delivery": n, "delivered_us": n * 10_000_000, "acked_us": n * 10_000_000 + 1, "type": kind, "seq": range(5000)})
+    first = pd.concat(list(processor.handleInputRows((0,), iter([acks(1, queue.RELEASE)]), handle)))
+    second = pd.concat(list(processor.handleInputRows((0,), iter([acks(2, queue.ACCEPT)]), handle)))
+    assert set(first.state) == {"available"} and set(second.state) == {"acknowledged"} and len(second) == 5000
+    assert second.applied.eq(2).all() and second.deliveries.eq(2).all()
+    list(processor.handleExpiredTimer((0,), handle, handle))
+    assert not processor.records.held and not processor.settled.held and handle.calls < 50

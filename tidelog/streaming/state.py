@@ -120,61 +120,100 @@ def retry_topics(stream: DataFrame, topic: str, handler: Callable[[str, str, int
 
 
 class QueueProcessor(StatefulProcessor):
-    """Folds the acks of one record, in arrival order, into its queue state."""
+    """Folds the acks of each record, in arrival order, into its queue state."""
 
     def __init__(self, limit: int, lock_us: int, forget_ms: int | None = None):
         self.limit, self.lock_us, self.forget_ms = limit, lock_us, forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.record = handle.getValueState(
-            "record", "delivery int, alive_us bigint, lapsed boolean, ended string, applied bigint, refused bigint, expired bigint")
+        # JSON of [id, delivery, alive_us, lapsed, ended, applied, refused, expired] of the ids of a slot.
+        self.records = handle.getMapState("records", "slot int", "held string")
+        # JSON of the ids that settled, by the time at which they are forgotten.
+        self.settled = handle.getMapState("settled", "due_ms bigint", "held string")
+
+    def _read(self, slot: int) -> dict[str, list]:
+        held = self.records.getValue((slot,))
+        return {} if held is None else {r[0]: r[1:] for r in json.loads(held[0])}
+
+    def _write(self, slot: int, held: dict[str, list]) -> None:
+        if held:
+            self.records.updateValue((slot,), (json.dumps([[id_, *r] for id_, r in held.items()]),))
+        else:
+            self.records.removeKey((slot,))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        delivery, alive, lapsed, ended, applied, refused, expired = (
-            self.record.get() if self.record.exists() else (0, 0, False, None, 0, 0, 0))
-        acks = pd.concat(list(rows)).sort_values("seq")
-        for d, delivered, acked, kind in zip(acks["delivery"], acks["delivered_us"], acks["acked_us"], acks["type"]):
+    def _fold(self, record: list, acks: list[tuple]) -> list:
+        delivery, alive, lapsed, ended, applied, refused, expired = record
+        for d, delivered, acked, kind in acks:
             if d != delivery:
                 expired += int(delivery > 0 and ended is None)
-                delivery, alive, lapsed, ended = int(d), int(delivered), False, None
-            if pd.isna(acked) or kind is None:
+                delivery, alive, lapsed, ended = d, delivered, False, None
+            if acked is None or kind is None:
                 continue
-            late = int(acked) - alive > self.lock_us
-            lapsed = lapsed or late
+            lapsed = lapsed or acked - alive > self.lock_us
             if lapsed or ended is not None:
                 refused += 1
                 continue
             applied += 1
-            alive = int(acked)
+            alive = acked
             if kind != RENEW:
                 ended = kind
-        self.record.update((delivery, alive, bool(lapsed), ended, applied, refused, expired))
+        return [delivery, alive, lapsed, ended, applied, refused, expired]
+
+    def _state(self, delivery: int, lapsed: bool, ended: str | None) -> str:
         if ended == ACCEPT:
-            state = "acknowledged"
-        elif ended == REJECT:
-            state = "archived"
-        elif ended == RELEASE or lapsed:
-            state = "archived" if delivery >= self.limit else "available"
-        else:
-            state = "acquired"
-        if self.forget_ms is not None and state in SETTLED:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.forget_ms)
-        open_expiry = int(ended is None and lapsed)
-        yield pd.DataFrame([(key[0], state, delivery, applied, refused, expired + open_expiry)],
-                           columns=["id", "state", "deliveries", "applied", "refused", "expired"])
+            return "acknowledged"
+        if ended == REJECT:
+            return "archived"
+        if ended == RELEASE or lapsed:
+            return "archived" if delivery >= self.limit else "available"
+        return "acquired"
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        acks = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        by_slot: dict[int, dict[str, list]] = defaultdict(lambda: defaultdict(list))
+        for id_, ack in zip(_plain(acks["id"]), zip(*(_plain(acks[c]) for c in ("delivery", "delivered_us", "acked_us", "type")))):
+            by_slot[_slot(id_)][id_].append(ack)
+        out, settled = [], []
+        for slot, ids in by_slot.items():
+            held = self._read(slot)
+            for id_, own in ids.items():
+                record = self._fold(held.get(id_, [0, 0, False, None, 0, 0, 0]), own)
+                held[id_] = record
+                delivery, _, lapsed, ended, applied, refused, expired = record
+                state = self._state(delivery, lapsed, ended)
+                out.append((id_, state, delivery, applied, refused, expired + int(ended is None and lapsed)))
+                if state in SETTLED:
+                    settled.append(id_)
+            self._write(slot, held)
+        if self.forget_ms is not None and settled:
+            due = timerValues.getCurrentProcessingTimeInMs() + self.forget_ms
+            before = self.settled.getValue((due,))
+            self.settled.updateValue((due,), (json.dumps([*(json.loads(before[0]) if before else ()), *settled]),))
+            self.handle.registerTimer(due)
+        yield pd.DataFrame(out, columns=["id", "state", "deliveries", "applied", "refused", "expired"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # A settled record takes no further ack, so nothing has changed since its timer was set.
-        if self.record.exists():
-            self.record.clear()
+        due = (expiredTimerInfo.getExpiryTimeInMs(),)
+        settled = self.settled.getValue(due)
+        by_slot = defaultdict(set)
+        for id_ in json.loads(settled[0]) if settled else ():
+            by_slot[_slot(id_)].add(id_)
+        for slot, ids in by_slot.items():
+            self._write(slot, {id_: r for id_, r in self._read(slot).items() if id_ not in ids})
+        self.settled.removeKey(due)
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def queue_state_stream(acks: DataFrame, limit: int, lock_us: int, forget_ms: int | None = None) -> DataFrame:
+def _slot(id_: str | None) -> int:
+    return zlib.crc32((id_ or "").encode()) % SLOTS
+
+
+def queue_state_stream(acks: DataFrame, limit: int, lock_us: int, forget_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Current state per record id after each micro-batch (update mode).
 
     ``acks`` has (id, delivery, delivered_us, acked_us, type, seq). A delivery that nobody answered yet is
@@ -182,7 +221,10 @@ def queue_state_stream(acks: DataFrame, limit: int, lock_us: int, forget_ms: int
     leaves the state that long after it settled, so the state holds open records only; choose it well beyond the lock,
     as an ack that comes later still would open the record anew. Without it every record stays.
     """
-    return acks.groupBy("id").transformWithStateInPandas(
+    # Numbers without nulls stay whole numbers in a frame: an ack without a time counts for as little as one without a type.
+    rows = acks.select(F.col("id"), "delivery", F.coalesce("delivered_us", F.lit(0)).alias("delivered_us"), F.coalesce("acked_us", F.lit(0)).alias("acked_us"),
+                       F.when(F.col("acked_us").isNotNull(), F.col("type")).alias("type"), "seq", _bucket(buckets))
+    return rows.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=QueueProcessor(limit, lock_us, forget_ms), outputStructType=QUEUE_STATES,
         outputMode="update", timeMode="None" if forget_ms is None else "ProcessingTime")
 
