@@ -25,6 +25,20 @@ def test_codec_report(spark, folder, smallest):
     assert 0 < rows["zstd"]["bytes"] < rows["uncompressed"]["bytes"]
 
 
+def test_codec_report_shuffles_the_rows_once(spark, folder, smallest, monkeypatch):
+    from tidelog.sources import sinks
+
+    spread = []
+    bulk = sinks.write_bulk
+    monkeypatch.setattr(sinks, "write_bulk", lambda df, path, codec, **more: spread.append(codec) or bulk(df, path, codec, **more))
+    table = spark.read.parquet(f"{smallest}/lineitem.parquet")
+    sinks.codec_report(table, folder, ("zstd", "uncompressed", "gzip")).collect()
+    assert spread == ["zstd"]
+    for codec in ("uncompressed", "gzip"):
+        back = spark.read.parquet(f"{folder}/{codec}")
+        assert back.schema == table.schema and back.exceptAll(table).isEmpty() and table.exceptAll(back).isEmpty()
+
+
 def test_register_gate_accepts_the_first_candidate_of_each_subject(spark, smallest):
     rows = QUERIES["register_gate"](spark, smallest).toPandas().sort_values(["subject", "candidate"])
     assert rows.groupby("subject").first()["accepted"].all()

@@ -32,12 +32,21 @@ def table_bytes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def codec_report(df: DataFrame, folder: str, codecs: Sequence[str] = CODECS) -> DataFrame:
-    """The same rows written once per codec: rows read back, files, bytes and share of the uncompressed bytes."""
+    """The same rows written once per codec: rows read back, files, bytes and share of the uncompressed bytes.
+
+    The rows are worked out and spread over large files once, for the first codec. The others are written from those files, each
+    piece of them by one task, so they are large as well and need no shuffle of their own.
+    """
     spark = df.sparkSession
     reports = []
+    rows = df
     for codec in codecs:
         path = f"{folder}/{codec}"
-        write_bulk(df, path, codec)
+        if rows is df:
+            write_bulk(df, path, codec)
+            rows = spark.read.schema(df.schema).parquet(path)
+        else:
+            rows.write.option("compression", codec).parquet(path)
         back = spark.read.parquet(path).agg(F.count(F.lit(1))).scalar()
         reports.append(table_bytes(spark, path).select(F.lit(codec).alias("codec"), back.alias("records"), "files", "bytes"))
     out = reports[0]
