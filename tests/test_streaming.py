@@ -430,3 +430,26 @@ def test_queue_states_share_state_entries(spark):
     assert second.applied.eq(2).all() and second.deliveries.eq(2).all()
     list(processor.handleExpiredTimer((0,), handle, handle))
     assert not processor.records.held and not processor.settled.held and handle.calls < 50
+
+
+def test_commits_within_a_batch_outlive_a_crash(spark, folder):
+    from tidelog.streaming.source import drain_log
+
+    path, out = folder + "/log", folder + "/effects"
+    rows = spark.range(5050).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.timestamp_seconds("id").alias("timestamp"), "id",
+                                    F.col("id").cast("string").cast("binary").alias("value"))
+    source.append_log(rows, path, "id", 1)
+    failing = lambda df: df.withColumn("ok", F.when(F.col("offset") == 1234, F.raise_error(F.lit("crash")).cast("int")).otherwise(1))
+    run = lambda change: drain_log(d.deliver(d.commit_every_n(spark, path, 10), d.append_effect(out, change, commit_rows=10), d.AT_LEAST_ONCE, folder + "/checkpoint"), path)
+    with pytest.raises(StreamingQueryException):
+        run(failing)
+    before = {r["commit"]: r["n"] for r in spark.read.parquet(out).groupBy("commit").agg(F.count("*").alias("n")).collect()}
+    assert before and set(before.values()) == {10} and "t-0-1230-1239" not in before
+    run(lambda df: df.withColumn("ok", F.lit(2)))
+    done = spark.read.parquet(out)
+    assert done.count() == 5050 and done.select("offset").distinct().count() == 5050
+    # Tasks of the batch that failed may end a commit after it.
+    first = done.filter("ok = 1")
+    assert before.keys() <= {r["commit"] for r in first.select("commit").distinct().collect()} and first.count() < 5050
+    assert done.groupBy("commit").count().filter("count > 10").isEmpty() and done.select("commit").distinct().count() == 505
+    assert done.select("batch_id").distinct().count() == 1

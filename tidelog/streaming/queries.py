@@ -90,9 +90,9 @@ def stream_commit_every_n(spark, sf):
     folder, n = shared_folder(spark), 400
     _events_log(spark, sf, f"{folder}/log")
     stream = d.commit_every_n(spark, f"{folder}/log", n)
-    drain_log(d.deliver(stream, d.append_effect(f"{folder}/effects"), d.AT_LEAST_ONCE, f"{folder}/checkpoint"), f"{folder}/log")
-    batches = spark.read.parquet(f"{folder}/effects").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last"))
-    return batches.agg(F.sum("n").alias("records"), F.max("last").alias("last_seen"), (F.max("n") <= n).alias("bounded"))
+    drain_log(d.deliver(stream, d.append_effect(f"{folder}/effects", commit_rows=n), d.AT_LEAST_ONCE, f"{folder}/checkpoint"), f"{folder}/log")
+    commits = spark.read.parquet(f"{folder}/effects").groupBy("commit").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last"))
+    return commits.agg(F.sum("n").alias("records"), F.max("last").alias("last_seen"), (F.max("n") <= n).alias("bounded"))
 
 
 @query

@@ -3,7 +3,7 @@
 An offset of the source is {"topic/partition": next offset}, as a consumer's. How far a micro-batch goes is decided here: at
 most ``max_rows`` records, shared out by what each partition still holds; no more than ``rows_per_second`` allow since the
 source began; and none until ``min_rows`` are there or ``max_wait_s`` have passed. A batch opens only the segments that hold
-its offsets, one task each.
+its offsets, one task each, or one for every ``slice_rows`` offsets.
 """
 
 from __future__ import annotations
@@ -63,14 +63,14 @@ class SegmentSlice(InputPartition):
 
 
 class SegmentStreamReader(DataSourceStreamReader):
-    """See the module. Options: path, topic, starts (JSON of offsets), max_rows, min_rows, max_wait_s, rows_per_second."""
+    """See the module. Options: path, topic, starts (JSON of offsets), max_rows, min_rows, max_wait_s, rows_per_second, slice_rows."""
 
     def __init__(self, options: Mapping[str, str]):
         self.path, self.topic = options["path"], options.get("topic")
         self.starts: Offsets = json.loads(options.get("starts", "{}"))
         number = lambda name: float(options[name]) if name in options else None
         self.max_rows, self.min_rows, self.max_wait = number("max_rows"), number("min_rows"), number("max_wait_s")
-        self.rate = number("rows_per_second")
+        self.rate, self.slice_rows = number("rows_per_second"), number("slice_rows")
         self.index = LogIndex(self.path)
         self.at: Offsets | None = None
         self.given = 0
@@ -115,9 +115,15 @@ class SegmentStreamReader(DataSourceStreamReader):
         for s in self.index.rows(keep).select(["file", "topic", "partition", "base", "end"]).to_pylist():
             a, b = wanted.get((s["topic"], s["partition"]), (0, 0))
             if s["end"] > a and s["base"] < b:
-                out.append(SegmentSlice(s["file"], s["topic"], s["partition"], max(a, s["base"]), min(b, s["end"])))
+                out += self._slices(s["file"], s["topic"], s["partition"], max(a, s["base"]), min(b, s["end"]))
         return out
 
+    def _slices(self, file: str, topic: str, partition: int, start: int, stop: int) -> list[SegmentSlice]:
+        """Tasks end at multiples of ``slice_rows``, wherever a segment or a batch begins."""
+        step = int(self.slice_rows) if self.slice_rows else stop
+        cuts = [start, *range((start // step + 1) * step, stop, step), stop]
+        return [SegmentSlice(file, topic, partition, a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
+
     def read(self, partition: SegmentSlice) -> Iterator[pa.RecordBatch]:
         fs, root = opened(self.path.rstrip("/"))
         schema = to_arrow_schema(LOG_SCHEMA)
@@ -129,10 +135,11 @@ class SegmentStreamReader(DataSourceStreamReader):
 
 
 def log_stream(spark: SparkSession, path: str, topic: str | None = None, max_rows: int | None = None, min_rows: int | None = None,
-               max_wait_s: float | None = None, rows_per_second: float | None = None, starts: Mapping[str, int] | None = None) -> DataFrame:
+               max_wait_s: float | None = None, rows_per_second: float | None = None, starts: Mapping[str, int] | None = None,
+               slice_rows: int | None = None) -> DataFrame:
     """A log with a segment index as a stream, from ``starts`` ({"topic/partition": offset}, others from their begin at 0)."""
     reader = registered(spark).readStream.format("tidelog").option("path", path)
-    given = {"topic": topic, "max_rows": max_rows, "min_rows": min_rows, "max_wait_s": max_wait_s, "rows_per_second": rows_per_second}
+    given = {"topic": topic, "max_rows": max_rows, "min_rows": min_rows, "max_wait_s": max_wait_s, "rows_per_second": rows_per_second, "slice_rows": slice_rows}
     reader = reader.options(**{k: str(v) for k, v in given.items() if v is not None})
     return reader.option("starts", json.dumps(dict(starts or {}))).load()
 
