@@ -26,6 +26,8 @@ from tidelog.llm.common import lower_ascii, space_words, written
 
 BATCH_TOKENS = 2_000_000
 SHARD_TOKENS = 2_000_000
+#: Codes and tokens that are worked on at a time, so that the temporary arrays stay small beside what is held.
+STEP = 250_000
 BUCKETS, BINS, STEPS = 48, 96, 2
 #: Codes of token pairs have so many bits more than the logarithm of the number of tokens.
 SPARE_BITS = 24
@@ -135,34 +137,71 @@ def _requests(batches: DataFrame, shards: int, bits: int, end: int) -> DataFrame
     return batches.select("batch", "fold", "lengths", "words", "tokens").mapInArrow(ask, "kind int, shard int, batch string, codes binary, counts binary")
 
 
+def _cuts(sorted_codes: list[np.ndarray]) -> list[list[int]]:
+    """Places in each array, from its begin to its end, between which all arrays together hold about ``STEP`` codes."""
+    pieces = max(1, -(-sum(map(len, sorted_codes)) // STEP))
+    # Codes are hashes, so a sample of the largest array parts them all alike.
+    longest = max(sorted_codes, key=len)
+    edges = longest[np.arange(1, pieces) * len(longest) // pieces]
+    inner = [np.searchsorted(x, edges).tolist() for x in sorted_codes]
+    return [[0] * len(inner), *map(list, zip(*inner, strict=True)), [len(x) for x in sorted_codes]]
+
+
 def _answers(requests: DataFrame) -> DataFrame:
     """Rows (kind, shard, batch, counts), and one per shard without a batch: its distinct trained n-grams and their total."""
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         asked = [np.cumsum(_open(x), dtype=np.uint64) for x in rows.codes]
-        codes, place = np.unique(np.concatenate(asked), return_inverse=True)
-        total = np.bincount(place, weights=np.concatenate([_open(x) for x in rows.counts]).astype(np.float64), minlength=len(codes)).astype(np.uint64)
-        cuts = np.cumsum([len(x) for x in asked])[:-1]
-        out = pd.DataFrame({"batch": rows.batch, "counts": [_press(total[p]) for p in np.split(place, cuts)], "types": 0, "tokens": 0})
-        out.loc[len(out)] = [None, None, int((total > 0).sum()), int(total.sum())]
+        held = [_open(x) for x in rows.counts]
+        # Equal codes of all batches lie between the same cuts; what a batch held gives way to the answer.
+        cuts = _cuts(asked)
+        total = [np.empty(len(x), np.uint64) for x in asked]
+        types = tokens = 0
+        for at, upto in zip(cuts[:-1], cuts[1:], strict=True):
+            codes, place = np.unique(np.concatenate([x[a:b] for x, a, b in zip(asked, at, upto, strict=True)]), return_inverse=True)
+            counts = np.concatenate([x[a:b] for x, a, b in zip(held, at, upto, strict=True)]).astype(np.float64)
+            sums = np.bincount(place, weights=counts, minlength=len(codes)).astype(np.uint64)
+            types, tokens = types + int((sums > 0).sum()), tokens + int(sums.sum())
+            begin = 0
+            for x, a, b in zip(total, at, upto, strict=True):
+                x[a:b] = sums[place[begin:begin + b - a]]
+                begin += b - a
+        del asked, held
+        answers = []
+        for i, x in enumerate(total):
+            answers.append(_press(x))
+            total[i] = None
+        out = pd.DataFrame({"batch": rows.batch, "counts": answers, "types": 0, "tokens": 0})
+        out.loc[len(out)] = [None, None, types, tokens]
         return out.assign(kind=key[0], shard=key[1])[["kind", "shard", "batch", "counts", "types", "tokens"]]
 
     return written(requests.groupBy("kind", "shard").applyInPandas(add, "kind int, shard int, batch string, counts binary, types long, tokens long"))
 
 
-def _known(row: dict, answers: pd.DataFrame, end: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per token: count of the token, of the one before it, of the pair; and the lengths of the documents."""
+def _known(row: dict, answers: pd.DataFrame, end: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per token: count of the token, of the one before it, of the pair; and the lengths of the documents.
+
+    Some whole documents at a time, in order: about ``STEP`` tokens, or one longer document.
+    """
     words = np.cumsum(_open(row["words"]), dtype=np.uint64)
     index, lengths = _open(row["tokens"]), _open(row["lengths"]).astype(np.int64)
-    starts = np.cumsum(lengths) - lengths
+    ends = np.cumsum(lengths)
     answers = answers.sort_values(["kind", "shard"])
-    counts = {k: np.concatenate([_open(x) for x in part.counts]).astype(np.float64) for k, part in answers.groupby("kind")}
-    word = counts[1][index]
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    before[starts] = counts[1][np.searchsorted(words, np.uint64(end))]
-    _, place = np.unique(_pairs(words, index, starts, end, bits), return_inverse=True)
-    return word, before, counts[2][place], lengths
+    counts = {k: np.concatenate([_open(x) for x in part.counts]) for k, part in answers.groupby("kind")}
+    after_end = counts[1][np.searchsorted(words, np.uint64(end))]
+    pairs = _pairs(words, index, ends - lengths, end, bits)
+    distinct = np.unique(pairs)
+    at = 0
+    while at < len(lengths):
+        begin = int(ends[at] - lengths[at])
+        upto = max(at + 1, int(np.searchsorted(ends, begin + STEP, "right")))
+        stop = int(ends[upto - 1])
+        word = counts[1][index[begin:stop]].astype(np.float64)
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        before[ends[at:upto] - lengths[at:upto] - begin] = after_end
+        yield word, before, counts[2][np.searchsorted(distinct, pairs[begin:stop])].astype(np.float64), lengths[at:upto]
+        at = upto
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -221,13 +260,14 @@ def score(docs: DataFrame, held_out: Column, tuning: Column, doc_id: str = "doc_
         return rows.groupBy("batch").cogroup(answer.groupBy("batch")).applyInPandas(act, schema)
 
     def held_out_counts(batch: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
-        word, before, pair, _ = _known(batch.iloc[0].to_dict(), answer, end, bits)
-        context = before - 1
-        with np.errstate(divide="ignore", invalid="ignore"):
-            after = np.where(context > 0, (pair - 1) / context, 0)
-        cells = (_bucket(context) * BINS + _bins(after)) * BINS + _bins((word - 1) / max(1, tokens - 1))
-        cells, n = np.unique(cells, return_counts=True)
-        return pd.DataFrame({"cell": cells, "n": n})
+        found = []
+        for word, before, pair, _ in _known(batch.iloc[0].to_dict(), answer, end, bits):
+            context = before - 1
+            with np.errstate(divide="ignore", invalid="ignore"):
+                after = np.where(context > 0, (pair - 1) / context, 0)
+            cells = (_bucket(context) * BINS + _bins(after)) * BINS + _bins((word - 1) / max(1, tokens - 1))
+            found.append(pd.DataFrame(dict(zip(("cell", "n"), np.unique(cells, return_counts=True), strict=True))))
+        return pd.concat(found).groupby("cell", as_index=False).n.sum()
 
     tune = batches.where("fold = 1").select("batch", "lengths", "words", "tokens")
     cells = joined(tune, given.join(tune.select("batch"), "batch", "left_semi"), held_out_counts, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
@@ -235,13 +275,18 @@ def score(docs: DataFrame, held_out: Column, tuning: Column, doc_id: str = "doc_
 
     def scores(batch: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
         row = batch.iloc[0]
-        word, before, pair, lengths = _known(row.to_dict(), answer, end, bits)
-        starts = np.cumsum(lengths) - lengths
-        mix = weights[_bucket(before)]
-        p = mix[:, 0] * np.where(before > 0, pair / np.maximum(before, 1), 0) + mix[:, 1] * (word / max(1, tokens)) + mix[:, 2] / (types + 1)
-        return pd.DataFrame({
-            "doc_id": list(row.ids), "held_out": list(row.held_out), "n_tokens": lengths, "n_known": np.add.reduceat((word > 0).astype(np.int64), starts), "train_tokens": tokens,
-            "base_score": np.add.reduceat(np.log10((word + 1) / (tokens + types + 1)), starts), "score": np.add.reduceat(np.log10(p), starts)})
+        parts = []
+        for word, before, pair, lengths in _known(row.to_dict(), answer, end, bits):
+            starts = np.cumsum(lengths) - lengths
+            mix = weights[_bucket(before)]
+            p = mix[:, 0] * np.where(before > 0, pair / np.maximum(before, 1), 0) + mix[:, 1] * (word / max(1, tokens)) + mix[:, 2] / (types + 1)
+            parts.append(pd.DataFrame({
+                "n_tokens": lengths, "n_known": np.add.reduceat((word > 0).astype(np.int64), starts), "train_tokens": tokens,
+                "base_score": np.add.reduceat(np.log10((word + 1) / (tokens + types + 1)), starts), "score": np.add.reduceat(np.log10(p), starts)}))
+        out = pd.concat(parts, ignore_index=True)
+        out.insert(0, "doc_id", list(row.ids))
+        out.insert(1, "held_out", list(row.held_out))
+        return out
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("held_out", T.BooleanType()), *[
         T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")], T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
