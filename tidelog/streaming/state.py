@@ -221,8 +221,9 @@ def queue_state_stream(acks: DataFrame, limit: int, lock_us: int, forget_ms: int
     leaves the state that long after it settled, so the state holds open records only; choose it well beyond the lock,
     as an ack that comes later still would open the record anew. Without it every record stays.
     """
-    # Numbers without nulls stay whole numbers in a frame: an ack without a time counts for as little as one without a type.
-    rows = acks.select(F.col("id"), "delivery", F.coalesce("delivered_us", F.lit(0)).alias("delivered_us"), F.coalesce("acked_us", F.lit(0)).alias("acked_us"),
+    # Numbers without nulls stay whole numbers in a frame: an ack without a time counts for as little as one without a type,
+    # and one whose delivery has no time is not late.
+    rows = acks.select(F.col("id"), "delivery", F.coalesce("delivered_us", "acked_us", F.lit(0)).alias("delivered_us"), F.coalesce("acked_us", F.lit(0)).alias("acked_us"),
                        F.when(F.col("acked_us").isNotNull(), F.col("type")).alias("type"), "seq", _bucket(buckets))
     return rows.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=QueueProcessor(limit, lock_us, forget_ms), outputStructType=QUEUE_STATES,
